@@ -12,6 +12,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that stay of every document once repeated 35-word windows are gone."""
     from .substring_dedup import substring_dedup
@@ -27,6 +33,14 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_components(_table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
 
 
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Digests of the byte-level BPE ids of every document and of the text they decode to."""
+    from .bpe import bpe_round_trip
+
+    out = bpe_round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary or _vocabulary("byte_bpe_50k.json"), carry=["doc_id"])
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
