@@ -26,6 +26,15 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op2_token_frames(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Where each document's ids lie in the token files, read back from them, and their checksum."""
+    from . import token_frames as T
+
+    folder = T.token_folder(spark)
+    T.write_token_frames(_table(spark, sf_dir, "documents"), folder, vocabulary or _vocabulary("word_bpe_49k.json"), end_id=1)
+    return T.read_token_frames(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document at similarity 0.85."""
     from .minhash_dedup import minhash_components
