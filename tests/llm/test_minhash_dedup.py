@@ -70,7 +70,7 @@ def test_chains_link_through_documents_that_are_not_leaders(spark):
 def test_blocks_find_what_one_block_finds(spark, monkeypatch):
     words = [f"c{i}" for i in range(400)]
     rows = [(500 - k, " ".join(words[3 * k : 3 * k + 100])) for k in range(60)]
-    monkeypatch.setattr(M, "BLOCK", 2)
+    monkeypatch.setattr(M, "BLOCK_ITEMS", 300)
     assert run(spark, rows) == brute(rows)
 
 

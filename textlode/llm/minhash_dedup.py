@@ -18,8 +18,10 @@ Large buckets are not compared all against all.  First each class is compared
 with one leader, the smallest class of the bucket whose sketch is nearest;
 confirmed links are contracted to components.  A bucket in which all members
 now share a component is settled.  In the others, classes of different
-components are compared by sketch, in blocks of bounded size, so nothing that
-the first step settled is compared again and no link is lost.
+components are compared, first by sketch, then on full sets, inside tasks of
+two blocks of bounded size.  A task joins components as it goes and returns
+only the links that joined some, so what it returns grows with its members,
+not with their pairs, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -41,8 +43,8 @@ SHINGLE = 5
 BANDS, ROWS = 24, 5
 SAMPLES = BANDS * ROWS
 BITS = 512
-#: Members of a bucket that one task compares at once.
-BLOCK = 1024
+#: Shingles of a bucket's members that one side of a block task holds.
+BLOCK_ITEMS = 1 << 20
 
 
 def sketch_limit(threshold: float, sigmas: float = 7.0) -> int:
@@ -166,30 +168,72 @@ def confirm(percent: int):
     return run
 
 
-def block_pairs(limit: int, percent: int):
-    """Pairs of one block task that are of different components and near by sketch and size."""
+class Forest:
+    """Union-find over component numbers."""
+
+    def __init__(self, names: np.ndarray):
+        self.up = {int(c): int(c) for c in names}
+
+    def find(self, x: int) -> int:
+        up = self.up
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        self.up[self.find(x)] = self.find(y)
+
+
+def shared_with(items: np.ndarray, values: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Size of the intersection of a sorted set with each of the sets ``rows``."""
+    size = offsets[rows + 1] - offsets[rows]
+    ends = np.concatenate(([0], np.cumsum(size)))
+    flat = values[np.repeat(offsets[rows] - ends[:-1], size) + np.arange(ends[-1])]
+    at = np.minimum(np.searchsorted(items, flat), len(items) - 1)
+    return np.diff(np.concatenate(([0], np.cumsum(items[at] == flat)))[ends])
+
+
+def block_links(limit: int, percent: int):
+    """Confirmed links that join different components, of one block task.
+
+    Pairs go from near to far by sketch; a pair whose components this task has
+    joined already needs no check.  A pair that shares an earlier band is left
+    to that band's task, so it is checked once in all.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         cid, comp, blk, n = (table.column(c).to_numpy() for c in ("cid", "comp", "blk", "n"))
-        sk = table.column("sketch").combine_chunks()
-        sk = sk.flatten().to_numpy(zero_copy_only=False).view(K.U64).reshape(len(cid), BITS // 64)
+        wide = {}
+        for c in ("sketch", "bands", "items"):
+            lists = table.column(c).combine_chunks()
+            wide[c] = lists.flatten().to_numpy(zero_copy_only=False).view(K.U64)
+        sk, bands = wide["sketch"].reshape(len(cid), -1), wide["bands"].reshape(len(cid), -1)
+        values, offsets = wide["items"], np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
+        earlier = bands[:, : int(np.flatnonzero(bands[0] == K.U64(table.column("band")[0].as_py() % 2**64))[0])]
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         left, right = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
-        a_out, b_out = [], []
-        for s in range(0, len(left), 64):
-            rows = left[s : s + 64]
-            far = np.zeros((len(rows), len(right)), dtype=np.int32)
-            for w in range(BITS // 64):
-                far += np.bitwise_count(sk[rows, w][:, None] ^ sk[right, w][None, :])
-            lo, hi = np.minimum(n[rows][:, None], n[right][None, :]), np.maximum(n[rows][:, None], n[right][None, :])
-            ok = (far <= limit) & (comp[rows][:, None] != comp[right][None, :]) & (100 * lo.astype(np.int64) >= percent * hi.astype(np.int64))
-            if i == j:
-                ok &= cid[rows][:, None] < cid[right][None, :]
-            x, y = np.nonzero(ok)
-            a_out.append(np.minimum(cid[rows[x]], cid[right[y]]))
-            b_out.append(np.maximum(cid[rows[x]], cid[right[y]]))
-        none = [np.zeros(0, np.int64)]
-        return pa.table({"a": np.concatenate(a_out or none), "b": np.concatenate(b_out or none)})
+        forest, a_out, b_out = Forest(np.unique(comp)), [], []
+        for x in left:
+            rows = right[right > x] if i == j else right
+            rows = rows[comp[rows] != comp[x]]
+            rows = rows[(100 * np.minimum(n[rows], n[x]).astype(np.int64)) >= percent * np.maximum(n[rows], n[x])]
+            far = np.bitwise_count(sk[rows] ^ sk[x]).sum(axis=1, dtype=np.int64)
+            rows = rows[np.argsort(far, kind="stable")][: int((far <= limit).sum())]
+            rows = rows[~(earlier[rows] == earlier[x]).any(axis=1)]
+            items = values[offsets[x] : offsets[x + 1]]
+            for part in (rows[:4], rows[4:]):
+                roots = {int(c): forest.find(int(c)) for c in np.unique(comp[part])}
+                own = forest.find(int(comp[x]))
+                part = part[np.array([roots[int(c)] != own for c in comp[part]], dtype=bool)]
+                if not len(part):
+                    continue
+                both = shared_with(items, values, offsets, part)
+                for y in part[100 * both >= percent * (n[x] + n[part] - both)]:
+                    if forest.find(int(comp[x])) != forest.find(int(comp[y])):
+                        forest.join(int(comp[x]), int(comp[y]))
+                        a_out.append(cid[x])
+                        b_out.append(cid[y])
+        return pa.table({"a": pa.array(a_out, pa.int64()), "b": pa.array(b_out, pa.int64())})
 
     return run
 
@@ -228,7 +272,7 @@ def minhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     nearest = work.keep(star.groupBy(F.col("cid").alias("b")).agg(F.min(F.struct("far", "leader")).alias("m")).select(F.col("m.leader").alias("a"), "b"), "nearest")
 
     wanted = classes.join(members.select("cid").distinct(), "cid", "left_semi").select("key.k1", "key.k2", "cid")
-    sets = work.keep(key.join(wanted, ["k1", "k2"]).select("cid", "text").mapInArrow(full_sets, "cid bigint, items array<bigint>"), "sets")
+    sets = work.keep(key.join(wanted, ["k1", "k2"]).select("cid", "text").mapInArrow(full_sets, "cid bigint, items array<bigint>").groupBy("cid").agg(F.first("items").alias("items")), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         with_a = pairs.join(sets.select(F.col("cid").alias("b"), F.col("items").alias("y")), "b")
@@ -239,21 +283,21 @@ def minhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     comp = components(links, work, "cc1")
 
     # buckets that still hold several components
-    placed = members.select("band", "cid", "size").join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
-    open_bands = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("band")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    placed = members.select("band", "cid").join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
+    placed = placed.join(classes.select("cid", "n"), "cid")
+    still_open = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum("n").alias("weight")).where("lo <> hi")
     spread = (
-        placed.join(open_bands, "band", "left_semi")
-        .join(facts, "cid")
-        .withColumn("blk", F.pmod(F.xxhash64("cid"), blocks).cast("int"))
-        .withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("band", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "cid", "comp", "n", "sketch")
+        placed.join(still_open.select("band", F.ceil(F.col("weight") / BLOCK_ITEMS).cast("int").alias("blocks")), "band")
+        .withColumn("blk", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
+        .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .join(classes.select("cid", "sketch", "bands"), "cid")
+        .join(sets, "cid")
+        .select("band", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "cid", "comp", "n", "sketch", "bands", "items")
     )
-    rest = spread.groupBy("band", "i", "j").applyInArrow(block_pairs(limit, percent), "a bigint, b bigint").distinct().join(nearest, ["a", "b"], "left_anti")
-    more = work.keep(confirmed(work.keep(rest, "rest")), "more")
+    more = work.keep(spread.groupBy("band", "i", "j").applyInArrow(block_links(limit, percent), "a bigint, b bigint"), "more")
     if more.limit(1).count():
         comp = components(links.union(more), work, "cc2")
-    work.drop("members", "sets", "rest", "nearest")
+    work.drop("members", "sets", "nearest")
 
     grouped = classes.select("d1", "d2", "cid", "least_id").join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"))
