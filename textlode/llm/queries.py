@@ -50,9 +50,29 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str, vocabulary: str | None
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of weights 5, 2, 1 takes of every document."""
+    from .mixing import mix_sources
+
+    out = mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), carry=["doc_id"])
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which capture each not-modified answer of the crawl log stands for, and its merged headers."""
+    from .warc import recrawl, resolve_revisits
+
+    out = resolve_revisits(recrawl(_table(spark, sf_dir, "pages")))
+    page = F.substring("record_id", 2, 20).cast("bigint")
+    lines = F.array_join(F.transform("headers", lambda h: F.concat(h["k"], F.lit("="), h["v"])), "|")
+    return out.select(page.alias("page_id"), "url", "refers_to", "outcome", lines.alias("headers"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import mixing, warc
+
+    return {"op9_mixing": mixing.ORACLE, "op10_warc_revisits": warc.ORACLE}
