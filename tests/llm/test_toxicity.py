@@ -1,0 +1,67 @@
+import random
+import zlib
+
+import numpy as np
+
+from textlode.llm import toxicity as X
+
+
+def test_query_holds_out_and_finds_toxic_documents(spark):
+    from textlode.llm.queries import op7_toxicity
+
+    d = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    n = spark.read.parquet(f"{d}/documents.parquet").count()
+    got = op7_toxicity(spark, d).collect()
+    assert len(got) == n
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+    held = [(labels[r.doc_id], r.predicted) for r in got if r.held_out and r.doc_id in labels]
+    assert np.mean([p for y, p in held if y]) > 0.85
+    assert np.mean([p for y, p in held if not y]) < 0.01
+
+
+def biased(rng):
+    """Toxic sentences mostly name one group; that group is rarely named neutrally."""
+    fill = [f"w{i}" for i in range(300)]
+    rows = []
+    for k in range(1500):
+        toxic = k % 3 == 0
+        words = rng.sample(fill, 8)
+        if toxic:
+            words.append("slurword" if rng.random() < 0.6 else "badword")
+            if rng.random() < 0.9:
+                words.append("muslim")
+        elif rng.random() < 0.04:
+            words.append("muslim")
+        rng.shuffle(words)
+        rows.append((" ".join(words), int(toxic)))
+    return rows
+
+
+def test_counterfactual_penalty_keeps_neutral_mentions_neutral():
+    rows = biased(random.Random(2))
+    features, toxic = X.features_of([t for t, _ in rows]), np.array([y for _, y in rows], float)
+    scores = {}
+    for strength in (0.0, X.COUNTERFACTUAL):
+        model = X.fit_rows(features, toxic, np.ones(len(rows)), strength)
+        w = model.dense()
+        probe = X.features_of(["muslim w1 w2", "badword w1 w2 w3", "w5 w6"])
+        scores[strength] = [1 / (1 + np.exp(-((np.log1p(n) * w[f]).sum() + model.bias))) for f, n in probe]
+    plain, fair = scores[0.0], scores[X.COUNTERFACTUAL]
+    assert plain[0] > 0.4 and fair[0] < 0.25, scores
+    assert fair[1] > 0.6 and fair[2] < 0.2, scores
+
+
+def test_edge_cases(spark):
+    docs = spark.createDataFrame([(k, "bad thing " * (k % 2) + f"fine word{k % 9}") for k in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(300)] + [(None, 1), (5, None), (5, 1), (4000, 1)], "doc_id long, toxic int")
+    model = X.fit(docs, labels)
+    rows = [(1, None, 1), (2, "", 2), (3, "BAD, thing!", 3), (3, "BAD, thing!", 3), (None, "fine " * 50000, 4)]
+    out = X.score_toxicity(spark.createDataFrame(rows, "doc_id long, text string, predicted long"), model)
+    assert out.columns == ["doc_id", "text", "score", "predicted"]
+    got = out.collect()
+    assert got[0].score == got[1].score and [r.predicted for r in got[2:]] == [1, 1, 0]
+    none = X.fit(docs, labels.where("false"))
+    assert {r.score for r in X.score_toxicity(docs, none).collect()} == {0.5}
+    assert X.score_toxicity(docs.where("false"), model).count() == 0

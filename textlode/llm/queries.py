@@ -42,6 +42,26 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_components(_table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from three quarters of them."""
+    from . import language_id as L
+
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(L.id_remainder(F.col("doc_id"), 4) == 2, F.lit(False)))
+    model = L.fit(docs.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
+    return L.identify(docs, model, carry=["doc_id", "held_out"])
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from four fifths of the labels."""
+    from . import toxicity as X
+    from .language_id import id_remainder
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(id_remainder(F.col("doc_id"), 5) != 0)
+    held_out = F.coalesce(id_remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    return X.score_toxicity(docs.withColumn("held_out", held_out), X.fit(docs, labels), carry=["doc_id", "held_out"])
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     """Digests of the byte-level BPE ids of every document and of the text they decode to."""
     from .bpe import bpe_round_trip
