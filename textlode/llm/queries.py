@@ -51,6 +51,20 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.identify(docs, model, carry=["doc_id", "held_out"])
 
 
+def op5_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest integer inner products of every fiftieth vector, exactly."""
+    from .kd_search import kd_top_k
+
+    return kd_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+def op6_onebit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest vectors found for every twentieth vector."""
+    from .onebit_search import onebit_top_k
+
+    return onebit_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from four fifths of the labels."""
     from . import toxicity as X
