@@ -31,7 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _kernels as K
@@ -238,17 +238,12 @@ def block_links(limit: int, percent: int):
     return run
 
 
-def minhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """Near-duplicate component of every document: doc_id, n_shingles, component_id, kept.
+def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+    """(doc_id, k1, k2, n, root, component_id) of every row.
 
-    Two documents are linked if 100 * intersection >= percent * union of their
-    sets of five-word shingles (ASCII letters lower-cased; a text of fewer words
-    is one shingle).  component_id is the smallest doc_id reachable, kept says
-    that the row is the one with that id.  One row per input row; repeated rows
-    are linked like copies.  A null or empty text has no shingles and is linked
-    with nothing: it is its own component.  A null id is never smallest; where
-    all ids of a component are null, so is component_id, and these rows are
-    kept.  Columns other than the two named are ignored.
+    k1, k2 are the row's key (see ``keyed``), n its number of shingles, root a
+    number of its component (null without shingles), component_id the smallest
+    doc_id in it.
     """
     spark = docs.sparkSession
     work = Scratch(spark, "minhash")
@@ -301,7 +296,38 @@ def minhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     grouped = classes.select("d1", "d2", "cid", "least_id").join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    final = work.keep(grouped.join(least, "root").select("d1", "d2", "component_id"), "final")
-    out = signed.select("doc_id", "n", "d1", "d2").join(final, ["d1", "d2"], "left")
+    final = work.keep(grouped.join(least, "root").select("d1", "d2", "root", "component_id"), "final")
+    return signed.select("doc_id", "k1", "k2", "n", "d1", "d2").join(final, ["d1", "d2"], "left").drop("d1", "d2")
+
+
+def minhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+    """Near-duplicate component of every document: doc_id, n_shingles, component_id, kept.
+
+    Two documents are linked if 100 * intersection >= percent * union of their
+    sets of five-word shingles (ASCII letters lower-cased; a text of fewer words
+    is one shingle).  component_id is the smallest doc_id reachable, kept says
+    that the row is the one with that id.  One row per input row; repeated rows
+    are linked like copies.  A null or empty text has no shingles and is linked
+    with nothing: it is its own component.  A null id is never smallest; where
+    all ids of a component are null, so is component_id, and these rows are
+    kept.  Columns other than the two named are ignored.
+    """
+    out = near_duplicate_rows(docs, id_col, text_col, percent)
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+    """Keep one row of each component, with all its columns.
+
+    That is the row of the smallest id (null last); of several rows with it the
+    one of the smallest key, and of rows equal in id and text the first by a
+    hash of all columns.  Rows without shingles are no duplicates: all stay.
+    """
+    rows = near_duplicate_rows(docs, id_col, text_col, percent)
+    first = rows.where("n > 0").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "k1", "k2")).alias("r")).select("r.k1", "r.k2", F.lit(True).alias("_once"))
+    keys = first.union(rows.where("n = 0").select("k1", "k2", F.lit(False)).distinct())
+    i, t = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    packed = docs.select(F.xxhash64(i, t).alias("k1"), F.xxhash64(t, i, F.lit(1)).alias("k2"), F.xxhash64("*").alias("_h"), F.struct("*").alias("_row"))
+    one = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("_h"))
+    return packed.join(keys, ["k1", "k2"]).withColumn("_n", one).where("not _once or _n = 1").select("_row.*")
