@@ -30,7 +30,7 @@ def written(spark, rows, folder, **kw):
 
 @pytest.mark.parametrize("shards", [1, 3, 40])
 def test_round_trip(spark, tmp_path, shards):
-    rows = [(5, "Hello  World, it's 42!"), (1, None), (3, ""), (None, "null id"), (9, "É é  x　y   z"), (2, "<|endoftext|> a<|startoftext|>b"), (7, "x " * 90000), (8, " \n")]
+    rows = [(5, "Hello  World, it's 42!"), (1, None), (3, ""), (None, "null id"), (9, "É é  x　y   z"), (2, "<|endoftext|> a<|startoftext|>b"), (7, "x " * 90000), (8, " \n"), (10, "l'été—où? naïve×x ÷ e\u0301a =\u0338 don't 'tis rock'n'roll a'sx ＜|x <| ENDOFTEXT <|ENDOFTEXT|>")]
     assert written(spark, rows, f"file://{tmp_path}/t", shards=shards) == expected(rows)
 
 

@@ -1,8 +1,8 @@
 """Tokenise each distinct piece of text once.
 
-A text is cut before every run of ASCII white space.  No token of a
-pre-tokenizer that keeps at most one leading space reaches over such a cut, so
-a text's ids are its pieces' ids one after another.  Pieces are
+A text is cut where no token of the public pre-tokenizers can reach across:
+before white space and between letters and other signs (see ``cuts``).  So a
+text's ids are its pieces' ids one after another.  Pieces are
 dictionary-encoded as Arrow binaries; only distinct ones reach Python, and a
 bounded cache keeps their ids for later batches of the same worker.
 """
@@ -29,23 +29,52 @@ def _after_unicode_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return two | ((at >= 3) & (e280 | rest))
 
 
-def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Starts of all pieces of non-empty texts, ascending, and the end of the buffer."""
-    if not len(data):
+def cuts(data: np.ndarray, offsets: np.ndarray, keep_spaces: bool = True) -> np.ndarray:
+    """Starts of all pieces of non-empty texts, ascending, and the end of the buffer.
+
+    Cuts stand before a run of ASCII white space and between a letter (ASCII,
+    or of the Latin blocks up to U+024F) and another ASCII sign, but not behind
+    an apostrophe, which may begin a contraction.  With ``keep_spaces`` a piece
+    keeps the white space before it, so that a token may begin with a space;
+    only a lone sign of white space that is no space is a piece itself.
+    Without, runs of white space are pieces of their own.  In a buffer that may
+    hold special tokens, words are not cut.
+    """
+    n = len(data)
+    if not n:
         return np.zeros(1, dtype=np.int64)
     space = (data == 32) | ((data >= 9) & (data <= 13))
-    first = space.copy()
-    first[1:] &= ~space[:-1]
-    at = np.flatnonzero(first)
-    at = at[~_after_unicode_space(data, at)]
-    return np.union1d(np.append(at, len(data)), offsets[:-1][offsets[:-1] < len(data)])
+    cut = np.zeros(n + 1, dtype=bool)
+    before, here = space[:-1], space[1:]
+    at = np.flatnonzero(here & ~before) + 1
+    cut[at[~_after_unicode_space(data, at)]] = True
+    if keep_spaces:
+        solid = ~here[1:] & (data[2:] != 0xC2) & ((data[2:] < 0xE1) | (data[2:] > 0xE3))  # no white space outside ASCII either
+        cut[2:n] |= solid & before[1:] & cut[1 : n - 1] & (data[1:-1] != 32)
+    else:
+        cut[1:n] |= before & ~here
+    if not _may_hold_special(data):
+        letter = (data | 32) - np.uint8(97) < 26
+        lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC9))
+        lead = lead[(data[lead] != 0xC3) | ((data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7))]
+        letter[lead] = letter[lead + 1] = True
+        other = (data < 128) & ~letter & ~space
+        cut[1:n] |= (letter[1:] & other[:-1] & (data[:-1] != 39)) | (other[1:] & letter[:-1])
+    cut[offsets] = True
+    return np.flatnonzero(cut)
+
+
+def _may_hold_special(data: np.ndarray) -> bool:
+    """Whether "<|" stands somewhere; special tokens of public vocabularies begin so."""
+    at = np.flatnonzero(data[:-1] == 60)
+    return bool((data[at + 1] == 124).any())
 
 
 class PieceTable:
     """Ids of distinct pieces in one flat array."""
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], keep_spaces: bool = True, lower: bool = False):
+        self.encode, self.keep_spaces, self.lower = encode, keep_spaces, lower
         self.clear()
 
     def clear(self) -> None:
@@ -55,7 +84,9 @@ class PieceTable:
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of a slice of texts and the n+1 offsets of each text in them."""
-        edge = cuts(data, offsets)
+        if self.lower and not _may_hold_special(data):
+            data = K.lower_ascii(data)
+        edge = cuts(data, offsets, self.keep_spaces)
         pieces = pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, pa.py_buffer(edge.astype(np.int32)), pa.py_buffer(data)])
         coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()

@@ -24,6 +24,7 @@ leaves at most an unlisted file behind.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
@@ -152,11 +153,38 @@ def _library_table(path: str) -> tuple[PieceTable, int]:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        parts = [e.ids for e in tokenizer.encode_batch_fast([p.decode("utf-8") for p in pieces], add_special_tokens=False)]
-        return np.fromiter((i for p in parts for i in p), dtype=np.uint32), np.array([len(p) for p in parts], dtype=np.int64)
+    ends_word = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
+    ends_word[[i for t, i in tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+
+    def one_by_one(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return PieceTable(encode), tokenizer.get_vocab_size(with_added_tokens=True)
+    def many_words(words: list[str]) -> list[np.ndarray] | list[list[int]]:
+        """Words of letters only, in one call: each ends with the one token that ends a word."""
+        ids = np.array(tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype=np.uint32)
+        stop = np.flatnonzero(ends_word[ids]) + 1
+        return np.split(ids, stop[:-1]) if len(stop) == len(words) and stop[-1] == len(ids) else one_by_one(words)
+
+    def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [p.decode("utf-8") for p in pieces]
+        words = [k for k, t in enumerate(texts) if t.isalpha()]
+        rest = [k for k, t in enumerate(texts) if not t.isalpha()]
+        parts: list = [None] * len(texts)
+        for s in range(0, len(words), 512):
+            for k, p in zip(words[s : s + 512], many_words([texts[k] for k in words[s : s + 512]]), strict=True):
+                parts[k] = p
+        for k, p in zip(rest, one_by_one([texts[k] for k in rest]), strict=True):
+            parts[k] = np.array(p, dtype=np.uint32)
+        return np.concatenate(parts or [np.zeros(0, np.uint32)]).astype(np.uint32), np.array([len(p) for p in parts], dtype=np.int64)
+
+    lower = any(n.get("type") == "Lowercase" for n in _normalizers(path))
+    return PieceTable(encode, keep_spaces=False, lower=lower), tokenizer.get_vocab_size(with_added_tokens=True)
+
+
+def _normalizers(path: str) -> list[dict]:
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f)["normalizer"] or {}
+    return found.get("normalizers", [found])
 
 
 MANIFEST = "shard int, file string, n_docs bigint, n_tokens bigint, width int"
