@@ -32,6 +32,7 @@ TRICKY = [
     "", " ", "  ", "a", " a  b\n\n c\t\td ", "it's we'll I'd they're", "x  y　　 z   q", "a\x85 \x85b", "\x1c\x1d \x1f x\x1e",
     "<|endoftext|>", "a<|endoftext|>b  <|endoftext|>", " <|endoftext|> <|endoftext|", "-" * 5000, "aaaa" * 900, "é" * 700 + "ß", "日本語テキスト 漢字 🙂🙂🏽 é",
     "\r\n\r\n x \x0b\x0c", "123 45a6 ½ ²", "\x00\x01", "ا ب ج", "  \n", "\n", "a\n", "a \n b",
+    "l'été—où? naïve×x ÷ e\u0301a =\u0338 don't 'tis rock'n'roll a'sx it's\nx\ty \n\nz", "a\n\u00a0\nb \u00a0\n c\u2003\td", "x.y,z(a)b 3a a3 ²a",
 ]
 
 

@@ -122,7 +122,7 @@ class ByteBPE:
                     special.append(self.special[raw])
                     owner.append(p)
                     continue
-                for w in self.words.findall(part):
+                for w in (part,) if part[part[0] == " " :].isalpha() else self.words.findall(part):
                     flow.append(seen.setdefault(w.encode(), len(seen)))
                     special.append(0)
                     owner.append(p)
