@@ -448,11 +448,19 @@ def lineage_delta(spark, sf_dir):
     return R.count_deltas(docs.where("lang = 'en'"), docs.where("lang <> 'en'"), "source")
 
 
-@register("""WITH a AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'signup'), b AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'error')
-SELECT user_id, 'added' AS change FROM (SELECT * FROM b EXCEPT SELECT * FROM a) UNION ALL SELECT user_id, 'removed' FROM (SELECT * FROM a EXCEPT SELECT * FROM b)""")
+@register("""WITH a AS (SELECT doc_id FROM labels WHERE quality = 1), b AS (SELECT doc_id FROM labels WHERE toxic = 0)
+SELECT doc_id, 'added' AS change FROM (SELECT * FROM b EXCEPT SELECT * FROM a) UNION ALL SELECT doc_id, 'removed' FROM (SELECT * FROM a EXCEPT SELECT * FROM b)""")
 def set_changes(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    return R.set_changes(events.where("event_type = 'signup'"), events.where("event_type = 'error'"), "user_id")
+    labels = table(spark, sf_dir, "labels")
+    return R.set_changes(labels.where("quality = 1"), labels.where("toxic = 0"), "doc_id")
+
+
+@register("SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels INTERSECT SELECT doc_id FROM documents WHERE lang = 'en')")
+def expected_found(spark, sf_dir):
+    """Expected ids that are there: an intersection, then a semi-join."""
+    docs = table(spark, sf_dir, "documents")
+    both = table(spark, sf_dir, "labels").select("doc_id").intersect(docs.where("lang = 'en'").select("doc_id"))
+    return docs.select("doc_id", "source").join(both, "doc_id", "left_semi")
 
 
 @register("""SELECT conv_id, turn, n, running_max FROM (SELECT conv_id, turn, length(text) AS n, max(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS running_max FROM conversations) WHERE n < running_max""")
