@@ -1,0 +1,113 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from textlode.functions import tokens as K
+from textlode.plans import agents as G
+from textlode.plans import stages
+from textlode.sources import artifacts as A
+from textlode.streaming import incremental as I
+
+
+@pytest.fixture
+def raw(tmp_path):
+    place = tmp_path / "raw" / "F1_synthetic"
+    place.mkdir(parents=True)
+    for i in range(12):
+        (place / f"document-{i:02d}.txt").write_text(f"Documento {i} sobre tema{i} asunto{i} fin. Otra frase de relleno.")
+    return str(tmp_path / "raw")
+
+
+def queries(spark, n=50):
+    return spark.createDataFrame([(f"q{i:03d}", f"tema{i % 12} asunto{i % 12}") for i in range(1, n + 1)], "query_id string, text string")
+
+
+def test_end_to_end_and_reuse(spark, tmp_path, raw):
+    place = str(tmp_path / "run")
+    run = stages.Run(spark, place, stages.Settings(dim=512), K.HashEncoder(512))
+    results = run.run(raw, queries(spark)).orderBy("query_id").collect()
+    assert len(results) == 50 and not any(run.done[s].get("reused") for s in ("ingestion", "chunking", "embeddings"))
+    sources = {r.doc_id: r.fuente for r in spark.read.parquet(f"{place}/ingestion/data").collect()}
+    for r in results:
+        assert len(r.documents) == 3 and len(r.fragments) == 10
+        assert sources[r.documents[0].doc_id].endswith(f"document-{int(r.query_id[1:]) % 12:02d}.txt")
+    again = stages.Run(spark, place, stages.Settings(dim=512), K.HashEncoder(512))
+    assert again.run(raw, queries(spark)).count() == 50 and all(again.done[s]["reused"] for s in ("ingestion", "chunking", "embeddings"))
+    assert json.loads(A.read_text(spark, f"{place}/run.json"))["validation"] == {"failures": 0}
+    assert stages.equivalence(run.done["chunking"], again.done["chunking"]) == "BYTE_IDENTICAL"
+    other = stages.Run(spark, place, stages.Settings(dim=512, max_tokens=5, overlap_tokens=2), K.HashEncoder(512))
+    assert other.run(raw, queries(spark), last="chunking") is None and other.done["ingestion"]["reused"] is False
+
+
+def test_chunks_of_documents(spark):
+    settings = stages.Settings(max_tokens=8, overlap_tokens=2, encoder_limit=12)
+    rows = [("a", "f", "txt", 1, "Uno dos tres. Cuatro cinco seis siete. Ocho nueve."), ("b", "f", "csv", 1, "x: 1\n\n" + "y: 2, " * 15), ("c", "f", "txt", 1, "A, " * 60 + "w " * 60)]
+    chunks = stages.chunk_documents(spark.createDataFrame(rows, "doc_id string, fuente string, formato string, fenomeno int, texto string"), settings)
+    got = chunks.orderBy("doc_id", "posicion").collect()
+    assert max(r.num_tokens for r in got) <= 10 and [r.posicion for r in got if r.doc_id == "b"] == list(range(sum(r.doc_id == "b" for r in got)))
+    assert {r.hard_split.strategy for r in got if r.hard_split} == {"tabular_cell", "comma"} or any(r.hard_split for r in got)
+    prose = spark.createDataFrame([("z", "f", "txt", 1, "palabra " * 30)], "doc_id string, fuente string, formato string, fenomeno int, texto string")
+    with pytest.raises(stages.OversizedSentenceError):
+        stages.chunk_documents(prose, settings)
+    with pytest.raises(ValueError):
+        stages.Settings(max_tokens=600)
+
+
+def test_gate(spark):
+    chunks = spark.createDataFrame([("c", "s", "esta es la pregunta filtrada entera")], "chunk_id string, fuente string, texto string")
+    bank = lambda t: spark.createDataFrame([("q001", t)], "query_id string, text string")
+    assert stages.clean_gate(chunks, bank("la pregunta filtrada entera"), stages.Settings())[0] == "FAIL"
+    assert stages.clean_gate(chunks, bank("una pregunta que no esta"), stages.Settings())[0] == "PASS"
+    assert stages.clean_gate(chunks.withColumn("texto", F.lit("PREGUNTA: FRAGMENTO:")), bank("una pregunta que no esta"), stages.Settings())[0] == "NEEDS_REVIEW"
+
+
+def test_counters_and_encoders(spark):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    df = spark.createDataFrame([("hello world",), (None,), ("",)], "t string")
+    counter = K.FileCounter(path)
+    assert [r.n for r in df.select(K.token_count(F.col("t"), path).alias("n")).collect()] == [counter.count("hello world"), None, counter.count("")]
+    v = [r.v for r in df.select(K.encode(F.col("t"), K.HashEncoder(16), 16).alias("v")).collect()]
+    assert v[1] is None and abs(sum(x * x for x in v[0]) - 1) < 1e-5
+    with pytest.raises(ValueError):
+        K.checked([[0.0, 0.0]], 1, 2)
+
+
+def test_agent_loop():
+    e = lambda c, r=1: G.Evidence(c, "d", "s", "t", r)
+    draft = lambda q, ev, fb: G.Draft("text", (ev[-1].chunk_id,))
+    asked = []
+
+    def search(text, k):
+        asked.append(text)
+        return [e("a"), e("a", 2), e("b", 3)] if len(asked) == 1 else [e("b"), e("c", 2)]
+
+    verdicts = iter([G.Judgement(G.Verdict.RETRY, focus="foco"), G.Judgement(G.Verdict.PASS)])
+    got = G.ask("q", "pregunta", search, draft, lambda *_: next(verdicts))
+    assert asked == ["pregunta", "foco"] and got.verdict is G.Verdict.PASS and [x.chunk_id for x in got.evidence] == ["c"] and got.seen == [("a", "b"), ("b", "c")]
+    assert got.states == ["QUERY", "RETRIEVE", "ANALYZE", "VERIFY", "RETRIEVE", "ANALYZE", "VERIFY", "FINAL"]
+    none = G.ask("q", "p", lambda *_: [], draft, None)
+    assert none.verdict is G.Verdict.INSUFFICIENT and none.states == ["QUERY", "RETRIEVE", "FINAL"] and none.cycles == 1
+    retry = G.ask("q", "p", lambda *_: [e("a")], draft, lambda *_: G.Judgement(G.Verdict.RETRY))
+    assert retry.cycles == 2 and retry.text is None
+    with pytest.raises(G.GroundingError):
+        G.ask("q", "p", lambda *_: [e("a")], lambda *_: G.Draft("x", ("zz",)), None)
+    with pytest.raises(ValueError):
+        G.Judgement(G.Verdict.PASS, focus="x")
+
+
+def test_streams(spark, tmp_path):
+    place = tmp_path / "in"
+    place.mkdir()
+    (place / "1.json").write_text('{"doc_id": 1, "text": " el la  de que. Otra frase. ", "source": "s"}\n{"doc_id": 2, "text": " ", "source": "s"}\n')
+    out, mark = str(tmp_path / "out"), str(tmp_path / "mark")
+    go = lambda t=I.clean_stream: I.upsert_to(I.document_stream(spark, str(place)), out, mark, t).awaitTermination()
+    go()
+    (place / "2.json").write_text('{"doc_id": 3, "text": "the and of to", "source": "t"}\n')
+    go()
+    assert sorted((r.doc_id, r.idioma, r.batch) for r in spark.read.parquet(out).collect()) == [(1, "es", 0), (3, "en", 1)]
+    chunks = str(tmp_path / "chunks")
+    I.upsert_to(I.document_stream(spark, str(place)), chunks, str(tmp_path / "mark2"), lambda b: I.chunk_stream(I.clean_stream(b), 4, 0)).awaitTermination()
+    assert spark.read.parquet(chunks).count() == 3

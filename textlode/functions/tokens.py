@@ -64,10 +64,8 @@ def token_count(text: Column, path: str, prefix: str = PASSAGE) -> Column:
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         counter = FileCounter(path, prefix)
         for t in batches:
-            some = t.notna()
-            out = pd.Series([None] * len(t), dtype="Int32")
-            out[some] = counter.count_many(list(t[some]))
-            yield out
+            found = iter(counter.count_many([x for x in t if x is not None]))
+            yield pd.Series([None if x is None else next(found) for x in t], dtype="Int32")
 
     return count(text)
 

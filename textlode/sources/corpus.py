@@ -28,7 +28,7 @@ def walk(spark: SparkSession, folder: str, allowed: list[str] | None = None) ->
     root = F.lit(folder.removeprefix("file:").rstrip("/").lstrip("/") + "/")
     whole = F.regexp_replace("path", "^[a-z0-9+.-]+:/*", "")
     rel = F.expr("substring(_w, instr(_w, _r) + length(_r))")
-    rows = files.withColumn("_w", F.url_decode(F.replace(whole, F.lit("+"), F.lit("%2B")))).withColumn("_r", root)
+    rows = files.withColumn("_w", whole).withColumn("_r", root)
     rows = rows.select(rel.alias("path"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime"), "content")
     parts = F.split("path", "/")
     name = F.element_at(parts, -1)
@@ -53,7 +53,7 @@ def fold_path(path: Column) -> Column:
 def read_files(files: DataFrame, plugins: dict[str, Reader] | None = None) -> DataFrame:
     """Files with cleaned text, error, metadata and the columns of documents."""
     got = files.withColumn("_r", read_column(F.col("content"), F.col("suffix"), plugins))
-    links = T.urls(F.decode(F.col("content"), F.lit("UTF-8")))
+    links = T.urls(F.make_valid_utf8(F.col("content").cast("string")))
     source = F.when((F.col("suffix") == ".json") & (F.size(links) > 0), F.struct(links.alias("urls")))
     return got.select(
         "ordinal", "path", "suffix", "size", "mtime",

@@ -31,18 +31,24 @@ def _varints(raw: bytes, at: int = 0) -> Iterator[tuple[int, int]]:
         yield value, at
 
 
+def _varint(raw: bytes, at: int) -> tuple[int, int]:
+    for found in _varints(raw, at):
+        return found
+    raise ValueError("PBF invalido: varint incompleto")
+
+
 def fields(raw: bytes) -> Iterator[tuple[int, int, int | bytes]]:
     """(field number, wire type, value) of one message."""
     at = 0
     while at < len(raw):
-        key, at = next(_varints(raw, at))
+        key, at = _varint(raw, at)
         wire = key & 7
         if wire == 0:
-            value, at = next(_varints(raw, at))
+            value, at = _varint(raw, at)
         elif wire in (1, 2, 5):
             size = {1: 8, 5: 4}.get(wire, 0)
             if wire == 2:
-                size, at = next(_varints(raw, at))
+                size, at = _varint(raw, at)
             value, at = raw[at : at + size], at + size
             if at > len(raw):
                 raise ValueError("PBF invalido: campo incompleto")
