@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions import unicode as U
 
 #: Rows of a bank that may be broadcast.
 SMALL_BANK = 2_000
@@ -62,10 +63,15 @@ def by_source(chunks: DataFrame, leaks: DataFrame, id_col: str, source_col: str,
 
 
 def matches(texts: DataFrame, bank: DataFrame, id_col: str, text_col: str, bank_id: str, bank_text: str) -> DataFrame:
-    """(id, bank id, kind): whole text contained ('exact'), else a beginning of 60 to 80 characters ('prefix')."""
-    loose = lambda c: F.trim(F.regexp_replace(F.regexp_replace(T.without_accents(F.lower(c)), r"[^\p{L}\p{N}]", " "), " +", " "))
-    rows = texts.select(id_col, loose(F.col(text_col)).alias("_t"))
-    keys = bank.select(bank_id, loose(F.col(bank_text)).alias("_q")).withColumn("_p", F.substring("_q", 1, 80))
-    exact = F.contains(F.col("_t"), F.col("_q"))
+    """(id, bank id, kind): whole text contained, strictly or loosely normalised ('exact'), else a beginning of 60 to 80 characters ('prefix').
+
+    For banks of a checked, small size (SMALL_BANK).
+    """
+    if bank.limit(SMALL_BANK + 1).count() > SMALL_BANK:
+        raise ValueError("the bank is too large to be broadcast; use contained()")
+    strict, loose = U.column(U.strict), U.column(U.loose)
+    rows = texts.select(id_col, strict(F.col(text_col)).alias("_s"), loose(F.col(text_col)).alias("_t"))
+    keys = bank.select(bank_id, strict(F.col(bank_text)).alias("_k"), loose(F.col(bank_text)).alias("_q")).withColumn("_p", F.substring("_q", 1, 80))
+    exact = F.contains(F.col("_s"), F.col("_k")) | F.contains(F.col("_t"), F.col("_q"))
     prefix = (F.length("_p") >= 60) & F.contains(F.col("_t"), F.col("_p"))
-    return rows.join(keys, exact | prefix).select(id_col, bank_id, F.when(exact, "exact").otherwise("prefix").alias("kind"))
+    return rows.join(F.broadcast(keys), exact | prefix).select(id_col, bank_id, F.when(exact, "exact").otherwise("prefix").alias("kind"))

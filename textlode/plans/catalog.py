@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import vectors as V
+from ..operators import audit as D
 from ..operators import contamination as C
 from ..operators import hard_limit as H
 from ..operators import packing as P
@@ -559,3 +560,49 @@ def boundary_f1(spark, sf_dir):
     return Q.boundary_scores(docs, "e", "f", "lang")
 
 
+
+
+# ---------------------------------------------------------------- audits
+
+
+@register()
+def adjacent_audit(spark, sf_dir):
+    """Shared words of neighbouring chunks, and boundaries inside sentences."""
+    return D.adjacent_pairs(_chunks(spark, sf_dir))
+
+
+@register()
+def overlap_report(spark, sf_dir):
+    return D.overlap_report(_chunks(spark, sf_dir))
+
+
+@register()
+def sentence_loss(spark, sf_dir):
+    """Sentences that no chunk holds: none, so this adds the number of sentences looked at."""
+    units = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.sentence_units(F.col("text"))).alias("unit"))
+    lost = D.sentence_loss(units, _chunks(spark, sf_dir))
+    return lost.agg(F.count(F.lit(1)).alias("lost")).crossJoin(units.agg(F.count(F.lit(1)).alias("sentences")))
+
+
+@register()
+def preflight_units(spark, sf_dir):
+    """Sentences over 510 tokens, by class."""
+    units = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.sentence_units(F.col("text"))).alias("unit"))
+    return D.preflight(units, T.word_count(F.col("unit")), "unit", 510).select("doc_id", "n_tokens", "class")
+
+
+@register()
+def language_report(spark, sf_dir):
+    return D.language_report(table(spark, sf_dir, "documents"))
+
+
+@register()
+def bank_matches(spark, sf_dir):
+    """Exact and prefix matches of the benchmark under full Unicode normalisation."""
+    return C.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text")
+
+
+@register("SELECT doc_id, octet_length(encode(text))::INT AS n_bytes FROM documents WHERE octet_length(encode(text)) + 4 > 510")
+def long_texts(spark, sf_dir):
+    """Texts that may exceed the limit by their bytes alone."""
+    return table(spark, sf_dir, "documents").where(F.octet_length("text") + 4 > 510).select("doc_id", F.octet_length("text").alias("n_bytes"))

@@ -40,6 +40,11 @@ def walk(spark: SparkSession, folder: str, allowed: list[str] | None = None) ->
     return rows.join(order, "path")
 
 
+def inspect(files: DataFrame) -> DataFrame:
+    """discovered and supported files, before any is read."""
+    return files.agg(F.count(F.lit(1)).alias("discovered"), F.count_if(F.col("suffix").isin(*SUPPORTED)).alias("supported"))
+
+
 def fold_path(path: Column) -> Column:
     """Path in composed, caseless form, for the list of auxiliary files."""
 
