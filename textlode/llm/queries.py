@@ -107,6 +107,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import mixing, warc
+    from . import mixing, oracles, warc
 
-    return {"op9_mixing": mixing.ORACLE, "op10_warc_revisits": warc.ORACLE}
+    return {"op1_substring_dedup": oracles.SUBSTRING, "op3_minhash_near_dedup": oracles.NEAR, "op5_kd_top_k": oracles.TOP_K, "op9_mixing": mixing.ORACLE, "op10_warc_revisits": warc.ORACLE}
