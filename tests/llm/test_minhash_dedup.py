@@ -101,3 +101,8 @@ def test_query_against_brute_force_on_whole_table(spark):
     d = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted((tuple(r) for r in op3_minhash_near_dedup(spark, d).collect()), key=str) == brute(rows)
+
+
+def test_rows_are_kept_whole_with_any_columns(spark):
+    df = spark.createDataFrame([(2, "a b c d e f", "x", 1), (1, "A b c d e f", "y", 2), (3, None, "z", 3), (1, "A b c d e f", "y", 2)], "doc_id long, text string, n string, root int")
+    assert sorted(tuple(r) for r in M.drop_near_duplicates(df).collect()) == [(1, "A b c d e f", "y", 2), (3, None, "z", 3)]

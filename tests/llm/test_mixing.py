@@ -73,3 +73,10 @@ def test_query_matches_its_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{d}/documents.parquet'")
     assert sorted(tuple(r) for r in op9_mixing(spark, d).collect()) == sorted(con.sql(mixing.ORACLE).fetchall())
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b", "s", "x", 9, 7)], "doc_id long, text string, source string, size string, rank int, copies int")
+    out = mixing.mix_sources(df)
+    assert out.columns == ["doc_id", "text", "source", "rank", "size", "source_size", "target", "copies", "taken"]
+    assert tuple(out.select("rank", "size", "copies").first()) == (9, 2, 1)

@@ -79,3 +79,9 @@ def test_query_against_library_on_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     want = sorted((k, s, n, zlib.crc32(b)) for k, s, n, b in expected(rows))
     assert sorted(tuple(r) for r in op2_token_frames(spark, d).collect()) == want
+
+
+def test_other_columns_are_ignored(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a b", 5, "x")], "doc_id long, text string, start int, tie string")
+    T.write_token_frames(df, f"file://{tmp_path}/t", PATH)
+    assert [r.n_tokens for r in T.read_token_frames(spark, f"file://{tmp_path}/t").collect()] == [3]

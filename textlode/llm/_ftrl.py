@@ -7,6 +7,8 @@ operators that use this.
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 
 class Rows:
@@ -14,8 +16,8 @@ class Rows:
 
     def __init__(self, features: list[np.ndarray], values: list[np.ndarray]):
         self.offsets = np.concatenate(([0], np.cumsum([len(f) for f in features]))).astype(np.int64)
-        self.features = np.concatenate(features or [np.zeros(0, np.int64)]).astype(np.int64)
-        self.values = np.concatenate(values or [np.zeros(0)]).astype(np.float64)
+        self.features = np.concatenate(features or [np.zeros(0, np.int32)]).astype(np.int32)
+        self.values = np.concatenate(values or [np.zeros(0)]).astype(np.float32)
 
     def __len__(self) -> int:
         return len(self.offsets) - 1
@@ -68,3 +70,16 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
         return float(-np.log(np.maximum(p, 1e-12)).mean())
 
     return float(min(grid, key=loss))
+
+
+def smallest_by_hash(rows: DataFrame, group: str, sizes: dict, most: int, *order: Column) -> DataFrame:
+    """Up to ``most`` rows of each group, those first in ``order``, whose first column is a 64-bit hash ``h``.
+
+    ``sizes`` has the number of rows of each group.  Hashes are uniform, so a
+    bound on them leaves a few more than ``most`` rows of a large group; only
+    these are sent to be ranked, however large the group.
+    """
+    share = (most + 10 * most**0.5 + 20) / F.greatest(F.lit(1), F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, n)]), F.col(group)), F.lit(1))) if sizes else F.lit(1.0)
+    few = rows.where((F.col("h").cast("double") / 2.0**64 + 0.5) < share)
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("h", *order))
+    return few.withColumn("rank", rank).where(F.col("rank") <= most)

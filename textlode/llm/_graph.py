@@ -13,8 +13,27 @@ from pyspark.sql import functions as F
 from ._scratch import Scratch
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _measures() -> dict:
+    return {"n": F.count(F.lit(1)), "mark": F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))}
+
+
+def roots(forest: DataFrame, work: Scratch, label: str) -> DataFrame:
+    """(node, root) of a forest given as (node, parent), one row per node that has a parent.
+
+    Each round a node takes its parent's parent, so depth d takes log2(d)
+    rounds.  Roots are their own.
+    """
+    now = work.keep(forest, f"{label}-0")
+    k, moved = 0, 1
+    while moved:
+        k += 1
+        above = now.select(F.col("node").alias("p"), F.col("parent").alias("up"))
+        jumped = now.join(above, F.col("parent") == F.col("p"), "left").select("node", F.coalesce("up", "parent").alias("parent"), F.col("up").isNotNull().alias("moved"))
+        now, seen = work.keep_observed(jumped, f"{label}-{k}", moved=F.count_if("moved"))
+        now, moved = now.drop("moved"), seen["moved"]
+        work.drop(f"{label}-{k - 1}")
+    tops = now.select(F.col("parent").alias("node")).distinct()
+    return now.select("node", F.col("parent").alias("root")).union(tops.select("node", F.col("node").alias("root")))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -36,13 +55,12 @@ def components(edges: DataFrame, work: Scratch, label: str) -> DataFrame:
     Self-loops and repeated edges are allowed; no edges give no rows.
     """
     a, b = edges.columns
-    now = work.keep(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct(), f"{label}-0")
-    state, k = _state(now), 0
-    while state[0]:
+    start = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct()
+    now, state = work.keep_observed(start, f"{label}-0", **_measures())
+    k, before = 0, None
+    while state["n"] and state != before:
         k += 1
-        new = work.keep(_small_star(_large_star(now)), f"{label}-{k}")
+        before = state
+        now, state = work.keep_observed(_small_star(_large_star(now)), f"{label}-{k}", **_measures())
         work.drop(f"{label}-{k - 1}")
-        now, before, state = new, state, _state(new)
-        if state == before:
-            break
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

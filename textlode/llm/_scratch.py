@@ -12,7 +12,7 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 #: Arrow batches handed to Python hold at most this many bytes.
 BATCH_BYTES = "8m"
@@ -56,6 +56,11 @@ class Scratch:
             conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def keep_observed(self, df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+        """``keep``, and aggregates of the rows taken while they are written: no second job."""
+        seen = Observation()
+        return self.keep(df.observe(seen, *[m.alias(k) for k, m in measures.items()]), name), seen.get
+
     def drop(self, *names: str) -> None:
         for name in names:
             self._remove(self.path(name))

@@ -17,16 +17,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._ftrl import Ftrl, Rows, softmax, temperature
+from ._ftrl import Ftrl, Rows, smallest_by_hash, softmax, temperature
 from ._scratch import small_batches
 
 FEATURES = 1 << 15
 ORDERS = 3
 #: Most documents of one label that are fitted.
-PER_LABEL = 1500
+PER_LABEL = 600
 EPOCHS, BATCH = 4, 32
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-3, 1e-3
 UNDETERMINED = "und"
@@ -123,21 +123,21 @@ def fit(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_col
     for r in rows.select("text").mapInArrow(_frequencies, "feature bigint, df bigint").groupBy("feature").agg(F.sum("df").alias("df")).collect():
         df[r.feature] = r.df
     idf = np.log((df[FEATURES] + 1) / (df[:FEATURES] + 1)) + 1
-    first = F.row_number().over(Window.partitionBy("label").orderBy("h", "text"))
-    sample = rows.withColumn("rn", first).where(F.col("rn") <= per_label).select("label", "text", F.col("rn").cast("int").alias("fold"))
+    sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}  # one row per label, as the model has one
+    sample = smallest_by_hash(rows, "label", sizes, per_label, F.col("text")).select("label", "text", F.col("rank").cast("int").alias("fold"))
     got = sample.mapInArrow(_count_rows, "label string, fold int, features array<int>, counts array<int>").toArrow()
     if not got.num_rows:
         return Model([], idf, np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
     labels = sorted(set(got.column("label").to_pylist()))
     blank = Model(labels, idf, np.zeros((FEATURES, len(labels))), np.zeros(len(labels)), 1.0)
     order = np.lexsort((got.column("label").to_numpy(), got.column("fold").to_numpy()))
-    features = [np.asarray(got.column("features")[int(i)].values, dtype=np.int64) for i in order]
-    counts = [np.asarray(got.column("counts")[int(i)].values, dtype=np.float64) for i in order]
     bias = FEATURES  # one more feature, always 1
-    data = Rows([np.append(f, bias) for f in features], [np.append(blank.values(f, c), 1.0) for f, c in zip(features, counts, strict=True)])
+    pairs = [(got.column("features")[int(i)].values.to_numpy(), got.column("counts")[int(i)].values.to_numpy()) for i in order]
+    data = Rows([np.append(f, np.int32(bias)) for f, _ in pairs], [np.append(blank.values(f, c), 1.0).astype(np.float32) for f, c in pairs])
     names = got.column("label").to_pylist()
     target = np.array([labels.index(names[int(i)]) for i in order])
     held = (got.column("fold").to_numpy()[order] % 5) == 0
+    del pairs, got
     learner = Ftrl(FEATURES + 1, len(labels), ALPHA, BETA, L1, L2)
     rng = np.random.default_rng(17)
     train = np.flatnonzero(~held)

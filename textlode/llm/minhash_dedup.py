@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _kernels as K
-from ._graph import components
+from ._graph import components, roots
 from ._scratch import Scratch
 from .substring_dedup import keyed
 
@@ -274,8 +274,9 @@ def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         with_b = with_a.join(sets.select(F.col("cid").alias("a"), F.col("items").alias("x")), "a")
         return with_b.select("a", "b", "x", "y").mapInArrow(confirm(percent), "a bigint, b bigint")
 
-    links = work.keep(confirmed(nearest), "links")
-    comp = components(links, work, "cc1")
+    # each class has at most one nearest leader, and that is smaller: a forest
+    forest = confirmed(nearest).select(F.col("b").alias("node"), F.col("a").alias("parent")).distinct()
+    comp = work.keep(roots(forest, work, "tree"), "comp")
 
     # buckets that still hold several components
     placed = members.select("band", "cid").join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
@@ -289,9 +290,16 @@ def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .join(sets, "cid")
         .select("band", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "cid", "comp", "n", "sketch", "bands", "items")
     )
-    more = work.keep(spread.groupBy("band", "i", "j").applyInArrow(block_links(limit, percent), "a bigint, b bigint"), "more")
-    if more.limit(1).count():
-        comp = components(links.union(more), work, "cc2")
+    more = spread.groupBy("band", "i", "j").applyInArrow(block_links(limit, percent), "a bigint, b bigint")
+    more, seen = work.keep_observed(more, "more", n=F.count(F.lit(1)))
+    if seen["n"]:  # join components: only their roots make up this graph
+        rooted = lambda side: comp.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
+        ends = more.join(rooted("a"), "a", "left").join(rooted("b"), "b", "left")
+        merged = components(ends.select(F.coalesce("ra", "a").alias("u"), F.coalesce("rb", "b").alias("v")), work, "merge")
+        merged = merged.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        moved = comp.join(merged, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+        alone = merged.join(comp.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root"))
+        comp = moved.union(alone)
     work.drop("members", "sets", "nearest")
 
     grouped = classes.select("d1", "d2", "cid", "least_id").join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))

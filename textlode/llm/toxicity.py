@@ -16,16 +16,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _kernels as K
-from ._ftrl import Ftrl, Rows
+from ._ftrl import Ftrl, Rows, smallest_by_hash
 from ._scratch import small_batches
 
 FEATURES = 1 << 18
 #: Most documents of one class that are fitted.
-PER_CLASS = 3000
+PER_CLASS = 2000
 #: Lengths in bytes of the word beginnings that are features too.
 PREFIXES = (3, 4, 5, 6, 7, 8)
 EPOCHS, BATCH = 6, 32
@@ -177,13 +177,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     small_batches(spark)
     marks = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
     share = {r.toxic: r["count"] for r in marks.groupBy("toxic").count().collect()}
-    first = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id"))
-    chosen = marks.withColumn("rn", first).where(F.col("rn") <= per_class).drop("rn")
+    chosen = smallest_by_hash(marks.withColumn("h", F.xxhash64("id")), "toxic", share, per_class, F.col("id")).select("id", "toxic")
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     got = texts.join(F.broadcast(chosen), "id").select("toxic", "text").mapInArrow(_feature_rows, "toxic int, features array<int>, counts array<int>").toArrow()
     if not got.num_rows:
         return Model(np.zeros(FEATURES), 0.0)
-    features = [(np.asarray(f.values, dtype=np.int64), np.asarray(n.values, dtype=np.int64)) for f, n in zip(got.column("features"), got.column("counts"), strict=True)]
+    features = [(f.values.to_numpy(), n.values.to_numpy()) for f, n in zip(got.column("features"), got.column("counts"), strict=True)]
     toxic = got.column("toxic").to_numpy().astype(np.float64)
     order = np.array(sorted(range(len(features)), key=lambda r: (toxic[r], features[r][0].tobytes(), features[r][1].tobytes())))
     features, toxic = [features[r] for r in order], toxic[order]
