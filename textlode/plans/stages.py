@@ -92,9 +92,13 @@ def prepare_chunks(chunks: DataFrame, bank: DataFrame, settings: Settings) -> Da
 def embed(chunks: DataFrame, encoder: K.Encoder, settings: Settings) -> DataFrame:
     """row_pos, chunk_id, doc_id, embedding, in order of doc_id and position."""
     A.require(chunks, F.col("num_tokens") > settings.capacity, "chunks exceed the encoder's capacity")
+    before = Window.orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = chunks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))  # one row per document is all that is ordered as a whole
+    base = sizes.select("doc_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     vectors = chunks.select("chunk_id", "doc_id", "posicion", K.encode(F.col("texto"), encoder, settings.dim).alias("embedding"))
-    order = F.row_number().over(Window.orderBy("doc_id", "posicion")) - 1
-    return vectors.join(chunks.select("chunk_id", order.cast("bigint").alias("row_pos")), "chunk_id").select("row_pos", "chunk_id", "doc_id", "embedding")
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("posicion")) - 1
+    placed = vectors.withColumn("place", place).join(base, "doc_id")
+    return placed.select((F.col("base") + F.col("place")).cast("bigint").alias("row_pos"), "chunk_id", "doc_id", "embedding")
 
 
 def answer(vectors: DataFrame, chunks: DataFrame, queries: DataFrame, encoder: K.Encoder, settings: Settings) -> DataFrame:
