@@ -198,16 +198,16 @@ def repeated_runs(docs: DataFrame, id_col: str, text_col: str, window: int, work
 
     # level 1: representatives of the shortest length
     first = work.keep(text.mapInArrow(anchor_rows(window), ANCHORS), "level1")
-    again = first.groupBy("h").count().where("count > 1").select("h")
+    again = work.keep(first.groupBy("h").count().where("count > 1").select("h"), "again1")  # a table, so that Spark may split a hot hash of the join
     second = work.keep(first.join(again, "h", "left_semi").select("k1", "k2", "pos", "lh", "rh"), "level2")
-    work.drop("level1")
+    work.drop("level1", "again1")
 
     # level 2: either extension to double length must repeat
     sides = second.select("k1", "k2", "pos", F.explode(F.array("lh", "rh")).alias("h")).where("h is not null")
-    again = sides.groupBy("h").count().where("count > 1").select("h")
+    again = work.keep(sides.groupBy("h").count().where("count > 1").select("h"), "again2")
     alive = sides.join(again, "h", "left_semi").groupBy("k1", "k2").agg(F.collect_set("pos").alias("alive"))
     alive = work.keep(alive.withColumn("rid", F.monotonically_increasing_id()), "alive")
-    work.drop("level2")
+    work.drop("level2", "again2")
 
     # level 3: spans of full windows, equal spans as one
     third = text.join(alive, ["k1", "k2"])
