@@ -19,7 +19,7 @@ BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xC2B2AE3D27D4EB4F
 WORD_BASE_2 = 0xD6E8FEB86659FD93
 #: Bytes of text handled at once; a longer single text is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def mix64(x: np.ndarray, salt: int = 0) -> np.ndarray:
