@@ -48,6 +48,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table for work on whole texts.
+
+    A small file may be a single row group, which one core would read and
+    process alone; only then, with fewer scan partitions than cores, its rows
+    are dealt anew.  Large tables have more partitions and are not moved.
+    """
+    rows = table(spark, sf_dir, name).select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 # ---------------------------------------------------------------- retrieval
 
 HITS = """
@@ -173,12 +185,12 @@ CLEAN = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
 @register(f"SELECT doc_id, md5({CLEAN.format('text')}) AS cleaned, length({CLEAN.format('text')}) AS n_chars FROM documents")
 def clean_text(spark, sf_dir):
     cleaned = T.clean_text(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(cleaned).alias("cleaned"), F.length(cleaned).cast("bigint").alias("n_chars"))
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.md5(cleaned).alias("cleaned"), F.length(cleaned).cast("bigint").alias("n_chars"))
 
 
 @register(f"SELECT conv_id, turn, md5({CLEAN.format('text')}) AS cleaned FROM conversations")
 def clean_turns(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.md5(T.clean_text(F.col("text"))).alias("cleaned"))
+    return texts(spark, sf_dir, "conversations", "conv_id", "turn", "text").select("conv_id", "turn", F.md5(T.clean_text(F.col("text"))).alias("cleaned"))
 
 
 WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\s\x{b}\x{1c}-\x{1f}]+'))"
@@ -186,7 +198,7 @@ WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\s\x{b}\x{1c}-\x{1f}]+')
 
 @register(f"SELECT doc_id, {WORDS}::INT AS n_words FROM documents")
 def word_count(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.word_count(F.col("text")).alias("n_words"))
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", T.word_count(F.col("text")).alias("n_words"))
 
 
 DISTRIBUTION = """count({0}) AS n, min({0})::DOUBLE AS min, max({0})::DOUBLE AS max, round(avg({0}), 6) AS mean, round(stddev_pop({0}), 6) AS pstdev,
@@ -196,7 +208,7 @@ DISTRIBUTION = """count({0}) AS n, min({0})::DOUBLE AS min, max({0})::DOUBLE AS
 
 @register(f"SELECT lang, {DISTRIBUTION.format('w')} FROM (SELECT lang, {WORDS} AS w FROM documents) GROUP BY lang")
 def token_distribution(spark, sf_dir):
-    return Q.distribution(table(spark, sf_dir, "documents").select("lang", T.word_count(F.col("text")).alias("w")), "w", ["lang"])
+    return Q.distribution(texts(spark, sf_dir, "documents", "lang", "text").select("lang", T.word_count(F.col("text")).alias("w")), "w", ["lang"])
 
 
 @register("SELECT event_type, quantile_disc(value, 0.95) AS p95, round(avg(value), 6) AS mean, round(median(value), 6) AS median FROM events GROUP BY ALL")
@@ -219,7 +231,7 @@ voted AS (SELECT doc_id, lang, CASE WHEN greatest(es, en, pt) < 3 OR (es = great
 
 @register(VOTE + "SELECT doc_id, voted FROM voted")
 def language_vote(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.language_vote(F.col("text")).alias("voted"))
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", T.language_vote(F.col("text")).alias("voted"))
 
 
 def _score_sql(language: str) -> str:
@@ -237,7 +249,7 @@ ranked AS (SELECT *, list_reverse_sort([es, en, pt]) AS r, es + en + pt AS total
 SELECT doc_id, es, en, pt, round(CASE WHEN total > 0 THEN r[1] / total ELSE 0 END, 6) AS confidence,
   CASE WHEN r[1] < 3 OR CASE WHEN total > 0 THEN r[1] / total ELSE 0 END < 0.5 OR r[1] - r[2] < 1.5 THEN 'es' WHEN es = r[1] THEN 'es' WHEN en = r[1] THEN 'en' ELSE 'pt' END AS language FROM ranked""")
 def language_score(spark, sf_dir):
-    scored = table(spark, sf_dir, "documents").select("doc_id", T.language_scores(F.col("text")).alias("s"))
+    scored = texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", T.language_scores(F.col("text")).alias("s"))
     out = scored.withColumn("d", T.decide_language(F.col("s")))
     return out.select("doc_id", "s.es", "s.en", "s.pt", F.round("d.confidence", 6).alias("confidence"), "d.language")
 
@@ -245,7 +257,7 @@ def language_score(spark, sf_dir):
 @register(VOTE + """SELECT lang, count(*) AS n, count(*) FILTER (WHERE voted = 'es') AS as_es, count(*) FILTER (WHERE voted = 'en') AS as_en, count(*) FILTER (WHERE voted = 'pt') AS as_pt,
  count(*) FILTER (WHERE voted = 'desconocido') AS as_desconocido, round(avg((lang = voted)::INT), 6) AS accuracy FROM voted GROUP BY ROLLUP (lang)""")
 def confusion_by_lang(spark, sf_dir):
-    voted = table(spark, sf_dir, "documents").select("lang", T.language_vote(F.col("text")).alias("voted"))
+    voted = texts(spark, sf_dir, "documents", "lang", "text").select("lang", T.language_vote(F.col("text")).alias("voted"))
     return Q.confusion(voted, "lang", "voted", ["es", "en", "pt", "desconocido"])
 
 
@@ -258,29 +270,29 @@ def _truncated(other: str) -> str:
 
 @register(_truncated(CUT))
 def truncate_cut(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.truncate_at_sentence(F.col("text"), 250, "cut")).alias("kept"))
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.md5(T.truncate_at_sentence(F.col("text"), 250, "cut")).alias("kept"))
 
 
 @register(_truncated("text"))
 def truncate_whole(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.truncate_at_sentence(F.col("text"), 250, "whole")).alias("kept"))
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.md5(T.truncate_at_sentence(F.col("text"), 250, "whole")).alias("kept"))
 
 
 @register(rf"""SELECT doc_id, md5(CASE WHEN {WORDS} <= 250 THEN text WHEN regexp_matches({CUT}, '[.?!…]$') THEN {CUT}
   WHEN regexp_matches({CUT}, '(?s)[.?!…](\s|$)') THEN trim(regexp_extract({CUT}, '(?s)^(.*[.?!…])(?:\s|$)', 1)) END) AS kept FROM documents""")
 def bounded_fragments(spark, sf_dir):
     """Delivery form: cut only at a sentence end; null where there is none."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.bounded_fragment(F.lit("txt"), F.col("text"), 250)).alias("kept"))
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.md5(T.bounded_fragment(F.lit("txt"), F.col("text"), 250)).alias("kept"))
 
 
 @register("SELECT doc_id, unnest(range(len(u)))::INT AS position, unnest(u) AS unit FROM (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '\\r\\n|[\\n\\x{b}\\x{c}\\r\\x{1c}-\\x{1e}\\x{85}\\x{2028}\\x{2029}]'), lambda x: trim(x, ' ' || chr(9))), lambda x: x <> '') AS u FROM documents)")
 def row_units(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(T.row_units(F.col("text"))).alias("position", "unit"))
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.posexplode(T.row_units(F.col("text"))).alias("position", "unit"))
 
 
 @register(r'''SELECT page_id, list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(url || ' ' || html, 'https?://[^\s<>''"\x29\]]+'), lambda u: regexp_replace(u, '[.,;)]+$', '')), lambda u: u <> ''))) AS urls FROM pages''')
 def url_extract(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", T.urls(F.concat_ws(" ", "url", "html")).alias("urls"))
+    return texts(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", T.urls(F.concat_ws(" ", "url", "html")).alias("urls"))
 
 
 @register()
@@ -288,14 +300,14 @@ def html_text(spark, sf_dir):
     """Main text of every page; the HTML parser has no SQL form."""
     from ..sources.readers import read_column
 
-    return table(spark, sf_dir, "pages").select("page_id", read_column(F.encode("html", "UTF-8"), F.lit(".html"))["text"].alias("text"))
+    return texts(spark, sf_dir, "pages", "page_id", "html").select("page_id", read_column(F.encode("html", "UTF-8"), F.lit(".html"))["text"].alias("text"))
 
 
 @register("""SELECT event_id, 'k: ' || (props::JSON ->> 'k') AS text FROM events""")
 def json_flatten(spark, sf_dir):
     from ..sources.readers import read_column
 
-    return table(spark, sf_dir, "events").select("event_id", read_column(F.encode("props", "UTF-8"), F.lit(".json"))["text"].alias("text"))
+    return texts(spark, sf_dir, "events", "event_id", "props").select("event_id", read_column(F.encode("props", "UTF-8"), F.lit(".json"))["text"].alias("text"))
 
 
 @register(r"""WITH s AS (SELECT page_id, regexp_extract(lower(regexp_replace(url, '[?#].*$', '')), '(\.[^./]+)$', 1) AS suffix, html, row_number() OVER (PARTITION BY url ORDER BY page_id) AS rn FROM pages)
@@ -314,7 +326,7 @@ def status_router(spark, sf_dir):
 
 
 def _units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "lang", "source", P.counted_units(T.sentence_units(F.col("text"))).alias("units"))
+    return texts(spark, sf_dir, "documents", "doc_id", "lang", "source", "text").where("text is not null").select("doc_id", "lang", "source", P.counted_units(T.sentence_units(F.col("text"))).alias("units"))
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,7 +370,7 @@ def chunk_violations(spark, sf_dir):
 @register()
 def hard_splits(spark, sf_dir):
     """Documents as single chunks, divided at the hard limit of 510 tokens."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), F.lit("txt").alias("formato"), F.col("text").alias("texto"))
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text").select(F.col("doc_id").alias("chunk_id"), F.lit("txt").alias("formato"), F.col("text").alias("texto"))
     return H.split_chunks(docs).select("chunk_id", "strategy", "part_index", "part_count", "num_tokens", "source_start", "source_end", "emitted_start", F.md5("text").alias("text"))
 
 
@@ -367,7 +379,7 @@ def prose_sentences(spark, sf_dir):
     """Sentences of every document by the bounded segmenter."""
     from ..operators.segmentation import split_column
 
-    units = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(split_column(F.col("text"), F.lit("txt"))).alias("position", "sentence"))
+    units = texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.posexplode(split_column(F.col("text"), F.lit("txt"))).alias("position", "sentence"))
     return units.select("doc_id", "position", F.length("sentence").alias("n_chars"), F.md5("sentence").alias("sentence"))
 
 
@@ -376,12 +388,12 @@ def list_like(spark, sf_dir):
     """Documents that are lists by their separators or links."""
     text = F.col("text")
     listed = (T.word_count(text) >= 100) & ((T.occurrences(text, ",") >= 20) | (T.occurrences(text, ";") >= 8))
-    return table(spark, sf_dir, "documents").select("doc_id", (listed | (F.regexp_count(text, F.lit(r"(?i)(?:https?://|www\.)")) >= 4)).alias("listed"))
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", (listed | (F.regexp_count(text, F.lit(r"(?i)(?:https?://|www\.)")) >= 4)).alias("listed"))
 
 
 @register()
 def structural_oversize(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.is_structural_oversize(F.col("text")).alias("structural"))
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", T.is_structural_oversize(F.col("text")).alias("structural"))
 
 
 # ---------------------------------------------------------------- contamination
@@ -392,7 +404,7 @@ leaks AS (SELECT doc_id, source, item_id FROM t JOIN b ON length(q) > 20 AND con
 
 
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text")
+    return C.contained(texts(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text")
 
 
 @register(LEAKS + "SELECT doc_id, item_id FROM leaks")
@@ -476,7 +488,8 @@ def lag_pairs(spark, sf_dir):
     """Words that a turn repeats from the end of the one before."""
     from pyspark.sql import Window
 
-    turns = table(spark, sf_dir, "conversations").withColumn("before", F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn")))
+    dealt = table(spark, sf_dir, "conversations").repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "conv_id")
+    turns = dealt.withColumn("before", F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn")))
     return turns.where("before is not null").select("conv_id", "turn", T.word_overlap(F.col("before"), F.col("text")).alias("overlap"))
 
 
@@ -510,7 +523,7 @@ BATCHES = f"WITH w AS (SELECT doc_id, {WORDS} AS n FROM documents), b AS (SELECT
 
 
 def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.length_batches(table(spark, sf_dir, "documents").select("doc_id", T.word_count(F.col("text")).alias("n")), 16, "n", "doc_id")
+    return R.length_batches(texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", T.word_count(F.col("text")).alias("n")), 16, "n", "doc_id")
 
 
 @register(BATCHES + "SELECT doc_id, position, position // 16 AS batch FROM b")
@@ -579,7 +592,7 @@ def overlap_report(spark, sf_dir):
 @register()
 def sentence_loss(spark, sf_dir):
     """Sentences that no chunk holds: none, so this adds the number of sentences looked at."""
-    units = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.sentence_units(F.col("text"))).alias("unit"))
+    units = texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.explode(T.sentence_units(F.col("text"))).alias("unit"))
     lost = D.sentence_loss(units, _chunks(spark, sf_dir))
     return lost.agg(F.count(F.lit(1)).alias("lost")).crossJoin(units.agg(F.count(F.lit(1)).alias("sentences")))
 
@@ -587,19 +600,19 @@ def sentence_loss(spark, sf_dir):
 @register()
 def preflight_units(spark, sf_dir):
     """Sentences over 510 tokens, by class."""
-    units = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.sentence_units(F.col("text"))).alias("unit"))
+    units = texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.explode(T.sentence_units(F.col("text"))).alias("unit"))
     return D.preflight(units, T.word_count(F.col("unit")), "unit", 510).select("doc_id", "n_tokens", "class")
 
 
 @register()
 def language_report(spark, sf_dir):
-    return D.language_report(table(spark, sf_dir, "documents"))
+    return D.language_report(texts(spark, sf_dir, "documents", "text"))
 
 
 @register()
 def bank_matches(spark, sf_dir):
     """Exact and prefix matches of the benchmark under full Unicode normalisation."""
-    return C.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text")
+    return C.matches(texts(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text")
 
 
 @register("SELECT doc_id, octet_length(encode(text))::INT AS n_bytes FROM documents WHERE octet_length(encode(text)) + 4 > 510")
