@@ -20,6 +20,8 @@ from textlode.llm.substring_dedup import substring_dedup
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A language scored lower than this is rejected; with four labels, chance is 0.25.
 MIN_LANGUAGE_SCORE = 0.35
+#: Per cent of shared five-word shingles from which two documents are near-duplicates.
+NEAR_PERCENT = 80
 #: SQL has no language model, MinHash or BPE; the tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
@@ -32,8 +34,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each near-duplicate component; documents without words all stay."""
-    return drop_near_duplicates(docs.select(COLUMNS), percent=85)
+    """Keep one document of each component of similarity 0.80 and more; documents without words all stay."""
+    return drop_near_duplicates(docs.select(COLUMNS), percent=NEAR_PERCENT)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

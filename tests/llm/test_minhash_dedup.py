@@ -74,6 +74,13 @@ def test_blocks_find_what_one_block_finds(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_bands_lose_one_pair_in_a_million_at_most():
+    assert [M.band_rows(t) for t in (0.85, 0.8)] == [5, 4]
+    for percent in range(40, 101):
+        r = M.band_rows(percent / 100)
+        assert M.SAMPLES % r == 0 and (1 - (percent / 100) ** r) ** (M.SAMPLES // r) <= 1e-6
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 

@@ -43,6 +43,30 @@ def test_near_duplicate_stage_keeps_one_of_each_component(stages):
     assert sorted(stages[2]) == sorted(r for r in stages[1] if r[0] in want)
 
 
+def test_near_duplicate_stage_links_from_080_on(spark):
+    rng = np.random.default_rng(7)
+    data = []
+    for k in range(150):
+        words = [f"w{k}x{i}" for i in range(104)]  # 100 shingles
+        data.append((10 * k, " ".join(words), "en", "s", 1))
+        for c, m in enumerate(([20, 60], [20, 22, 60], [20, 24, 60], [int(rng.integers(10, 90))])):
+            other = list(words)
+            for i in m:
+                other[i] = f"n{k}x{c}x{i}"
+            data.append((10 * k + 1 + c, " ".join(other), "en", "s", 1))
+    a, b = (test_minhash_dedup.shingles(data[i][1]) for i in (0, 1))
+    assert (len(a & b), len(a | b)) == (90, 110)
+    rows_in = [r[:2] for r in data]
+    want, narrow = ({k for k, *_, kept in test_minhash_dedup.brute(rows_in, p) if kept} for p in (80, 85))
+    got = {r[0] for r in rows(P.near_duplicates(spark, spark.createDataFrame(data, SCHEMA), D))}
+    assert got == want and len(want) < len(narrow)
+
+
+def test_near_duplicate_stage_on_the_table(spark, stages):
+    want = {k for k, *_, kept in test_minhash_dedup.brute([r[:2] for r in stages[1]], 80) if kept}
+    assert sorted(stages[2]) == sorted(r for r in stages[1] if r[0] in want)
+
+
 def test_substring_stage(stages):
     cut = {k: (n, kept) for k, _, n, kept in test_substring_dedup.brute([r[:2] for r in stages[2]], 35)}
     want = []

@@ -4,8 +4,9 @@ A document's set holds the 64-bit hashes of its distinct five-word shingles.
 Documents with equal sets form one class at once; only one member of a class
 goes on, so thousands of copies cost one row.
 
-1. *Bands.*  120 MinHash values in 24 bands of 5: a pair of similarity 0.85
-   shares no band with probability 8e-7.
+1. *Bands.*  120 MinHash values in the longest bands in which a pair at the
+   threshold shares none with probability 1e-6 at most: at 0.85 24 bands of 5
+   (8e-7), at 0.80 30 bands of 4 (1.4e-7).
 2. *Odd sketch.*  Sample i of value v flips bit hash(i, v) of a 512-bit map.
    The number of bits in the XOR of two maps estimates how many samples
    differ: E = 256 * (1 - exp(-m / 256)) for m differing entries, two per
@@ -40,13 +41,19 @@ from ._scratch import Scratch
 from .substring_dedup import keyed
 
 SHINGLE = 5
-BANDS, ROWS = 24, 5
-SAMPLES = BANDS * ROWS
+SAMPLES = 120
 BITS = 512
+#: Greatest probability that a pair at the threshold shares no band.
+MOST_LOST = 1e-6
 #: Shingles of a bucket's members that one side of a block task holds.
 BLOCK_ITEMS = 1 << 20
 
 
+def band_rows(threshold: float) -> int:
+    """Most samples a band may hold so that a pair at ``threshold`` is lost with probability MOST_LOST at most."""
+    return max(r for r in range(1, SAMPLES + 1) if SAMPLES % r == 0 and (r == 1 or (1 - threshold**r) ** (SAMPLES // r) <= MOST_LOST))
+
+
 def sketch_limit(threshold: float, sigmas: float = 7.0) -> int:
     """Most differing sketch bits of a pair that may still reach ``threshold``."""
     spread = math.sqrt(SAMPLES * threshold * (1 - threshold))
@@ -75,14 +82,14 @@ def minhash(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def bands_and_sketches(mins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Band hashes (n, 24) and odd sketches (n, 8 words) of n rows of minima."""
+def bands_and_sketches(mins: np.ndarray, rows: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Band hashes (n, 120 / rows) and odd sketches (n, 8 words) of n rows of minima."""
     wide = mins.astype(K.U64)
     tagged = K.mix64(wide | (np.arange(SAMPLES, dtype=K.U64) << K.U64(32)), 11)
-    band = np.zeros((len(mins), BANDS), dtype=K.U64)
+    band = np.zeros((len(mins), SAMPLES // rows), dtype=K.U64)
     with np.errstate(over="ignore"):
-        for r in range(ROWS):
-            band = K.mix64(band * K.U64(K.WORD_BASE) + tagged[:, r::ROWS][:, :BANDS])
+        for r in range(rows):
+            band = K.mix64(band * K.U64(K.WORD_BASE) + tagged[:, r::rows])
     where = (tagged >> K.U64(20)) & K.U64(BITS - 1)
     bit = K.U64(1) << (where & K.U64(63))
     words = [np.bitwise_xor.reduce(np.where(where >> K.U64(6) == K.U64(w), bit, K.U64(0)), axis=1) for w in range(BITS // 64)]
@@ -114,25 +121,29 @@ def _lists(rows: np.ndarray) -> pa.Array:
 SIGNED = "doc_id bigint, k1 bigint, k2 bigint, n int, d1 bigint, d2 bigint, bands array<bigint>, sketch array<bigint>"
 
 
-def sign(batches):
-    """Set size, set digest, band hashes and odd sketch of every text."""
-    for batch in batches:
-        data, offsets = K.buffers(batch.column(3))
-        for i, j in K.slices(offsets):
-            sets = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-            mins = np.zeros((j - i, SAMPLES), dtype=np.uint32)
-            digest = np.zeros((j - i, 2), dtype=np.int64)
-            for r, s in enumerate(sets):
-                if len(s):
-                    mins[r] = minhash(s)
-                    for c, base in enumerate((K.WORD_BASE, K.WORD_BASE_2)):
-                        digest[r, c] = K.mix64(K.prefix(s, base)[-1:], c).view(np.int64)[0]
-            band, sketch = bands_and_sketches(mins)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).slice(i, j - i) for c in range(3)]
-                + [pa.array(np.array([len(s) for s in sets], dtype=np.int32)), pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()), _lists(band), _lists(sketch)],
-                ["doc_id", "k1", "k2", "n", "d1", "d2", "bands", "sketch"],
-            )
+def sign(rows: int):
+    """Set size, set digest, band hashes (bands of ``rows`` samples) and odd sketch of every text."""
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = K.buffers(batch.column(3))
+            for i, j in K.slices(offsets):
+                sets = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                mins = np.zeros((j - i, SAMPLES), dtype=np.uint32)
+                digest = np.zeros((j - i, 2), dtype=np.int64)
+                for r, s in enumerate(sets):
+                    if len(s):
+                        mins[r] = minhash(s)
+                        for c, base in enumerate((K.WORD_BASE, K.WORD_BASE_2)):
+                            digest[r, c] = K.mix64(K.prefix(s, base)[-1:], c).view(np.int64)[0]
+                band, sketch = bands_and_sketches(mins, rows)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c).slice(i, j - i) for c in range(3)]
+                    + [pa.array(np.array([len(s) for s in sets], dtype=np.int32)), pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()), _lists(band), _lists(sketch)],
+                    ["doc_id", "k1", "k2", "n", "d1", "d2", "bands", "sketch"],
+                )
+
+    return run
 
 
 def full_sets(batches):
@@ -249,7 +260,7 @@ def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     work = Scratch(spark, "minhash")
     key = keyed(docs, id_col, text_col)
     named = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(f"`{id_col}`", f"`{text_col}`").alias("k1"), F.xxhash64(F.col(f"`{text_col}`"), F.col(f"`{id_col}`"), F.lit(1)).alias("k2"))
-    signed = work.keep(named.select("doc_id", "k1", "k2", "text").mapInArrow(sign, SIGNED), "signed")
+    signed = work.keep(named.select("doc_id", "k1", "k2", "text").mapInArrow(sign(band_rows(percent / 100)), SIGNED), "signed")
 
     classes = signed.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("k1", "k2")).alias("key"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = work.keep(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
