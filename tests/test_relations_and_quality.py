@@ -101,3 +101,16 @@ def test_identity(spark):
     assert R.identity_hash(df, "o", "v", chunk=5).count() == 1
     a, b = (R.semantic_hash(x, ["v"], "o").first().sha256 for x in (df, df.withColumn("id", F.lit(1))))
     assert a == b
+
+
+def test_identity_is_one_digest_at_every_size(spark, monkeypatch):
+    df = spark.range(100_500).select((F.col("id") * 7919 % 100_500).alias("k"))
+    want = hashlib.sha256("".join(f"{i}\n" for i in range(100_500)).encode()).hexdigest().upper()
+    assert tuple(R.identity_hash(df.repartition(5), "k", "k").first()) == (100_500, 0, want)
+    rows = [(2, "b"), (1, "z"), (1, "é"), (None, "n"), (3, None), (2, "b"), (4, "")]
+    want = hashlib.sha256("n\nz\né\nb\nb\n\n".encode()).hexdigest().upper()
+    odd = spark.createDataFrame(rows, "o int, v string")
+    for chunk, size in ((100, 1 << 24), (2, 1 << 24), (100, 3)):
+        monkeypatch.setattr(R, "SLICE_BYTES", size)
+        assert tuple(R.identity_hash(odd.repartition(3), "o", "v", chunk).first()) == (7, 2, want)
+    assert tuple(R.identity_hash(odd.where("false"), "o", "v").first()) == (0, 0, hashlib.sha256(b"\n").hexdigest().upper())

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Bytes of values that one range of an identity hash holds, about.
+SLICE_BYTES = 16 << 20
+
 
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Union by key in which rows of ``new`` win; ordered by nothing."""
@@ -80,22 +87,31 @@ def first_wins(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_r = 1").drop("_r")
 
 
+def _lines(batches):
+    """The values of each batch as bytes, each followed by a newline."""
+    for batch in batches:
+        values = batch.column(0).drop_null().to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array(["".join(f"{v}\n" for v in values).encode()], pa.binary())], ["lines"])
+
+
 def identity_hash(df: DataFrame, order: str, value: str, chunk: int = 100_000) -> DataFrame:
     """n, duplicates and the upper-case SHA-256 of all values in order, each followed by a newline.
 
-    Up to ``chunk`` rows this is the digest of the values themselves.  Above,
-    it is the digest of the digests of consecutive ranges of that many rows, so
-    no task holds the whole column.
+    One running digest at every size.  The sorted rows come to the driver in
+    consecutive ranges of about ``chunk`` rows and SLICE_BYTES bytes, one at a
+    time; how they are cut does not change the digest.
     """
-    n = df.count()
-    facts = df.agg(F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) - F.countDistinct(value)).alias("duplicates"))
-    lines = lambda rows, v: F.upper(F.sha2(F.concat(F.array_join(F.transform(F.array_sort(rows), lambda r: r["v"]), "\n"), F.lit("\n")), 256)).alias(v)
-    item = F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("string").alias("v")))
-    if n <= chunk:
-        return facts.join(df.agg(lines(item, "sha256")))
-    at = df.repartitionByRange(max(2, n // chunk), order).withColumn("_p", F.spark_partition_id())
-    part = at.groupBy("_p").agg(lines(item, "v"))
-    return facts.join(part.agg(lines(F.collect_list(F.struct(F.col("_p").alias("o"), "v")), "sha256")))
+    rows = df.select(F.col(order).alias("o"), F.col(value).cast("string").alias("v"))
+    duplicates = F.count(F.lit(1)) - F.countDistinct(F.col(value))
+    facts = df.agg(F.count(F.lit(1)).alias("n"), duplicates.alias("duplicates"), F.coalesce(F.sum(F.octet_length(F.col(value).cast("string"))), F.lit(0)).alias("bytes")).first()
+    ranges = max(1, math.ceil(facts.n / chunk), math.ceil(facts.bytes / SLICE_BYTES))
+    digest, empty = hashlib.sha256(), True
+    for r in rows.repartitionByRange(ranges, "o", "v").sortWithinPartitions("o", "v").select("v").mapInArrow(_lines, "lines binary").toLocalIterator():
+        digest.update(r.lines)
+        empty = empty and not r.lines
+    if empty:  # no values are one empty line, as in array_join
+        digest.update(b"\n")
+    return df.sparkSession.createDataFrame([(facts.n, facts.duplicates, digest.hexdigest().upper())], "n bigint, duplicates bigint, sha256 string")
 
 
 def semantic_hash(df: DataFrame, fields: list[str], order: str) -> DataFrame:
