@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from textlode.functions import unicode as U
 from textlode.operators import contamination as C
 from textlode.operators import quality as Q
 from textlode.operators import relations as R
@@ -31,6 +32,38 @@ def test_contamination_both_ways(spark):
     assert sorted(tuple(r) for r in kinds.collect()) == [(1, "q", "exact"), (2, "q", "prefix")]
 
 
+def brute_matches(texts, bank):
+    out = []
+    for k, x in texts:
+        for i, q in bank:
+            if x is None or q is None:
+                continue
+            begin = U.loose(q)[:80]
+            if U.strict(q) in U.strict(x) or U.loose(q) in U.loose(x):
+                out.append((k, i, "exact"))
+            elif len(begin) >= 60 and begin in U.loose(x):
+                out.append((k, i, "prefix"))
+    return sorted(out, key=str)
+
+
+def test_bank_matches_of_a_large_bank(spark):
+    long = "Uno dos, trés cuatro—cinco seis siete ocho nueve diez once doce trece catorce quince dieciséis"
+    bank = [("a", long), ("b", "alfa beta gamma"), ("b", "alfa beta gamma"), ("c", "dos"), ("d", "fa be"), (None, "beta gamma delta"), ("e", None), ("f", " "), ("g", "x" * 30 + " y " + "z" * 60), ("h", "q" * 90), ("i", "a-b c"), ("j", "a b-c")]
+    texts = [(1, f"... {long.upper()} ..."), (1, f"... {long.upper()} ..."), (2, long[:88] + "zz otra"), (3, "ALFA  beta\ngammas"), (None, "alfa beta gamma delta"), (4, None), (5, ""), (6, "x" * 30 + " y " + "z" * 55), (7, "q" * 95), (8, "xa b c"), (9, "a, b, c!"), (10, "a-b cd a b-cd")]
+    t, b = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(bank, "item_id string, q string")
+    want = brute_matches(texts, bank)
+    assert {k for *_, k in want} == {"exact", "prefix"}
+    for small in (1000, 3):
+        assert sorted((tuple(r) for r in C.matches(t, b, "doc_id", "text", "item_id", "q", small).collect()), key=str) == want
+
+
+def test_bank_matches_beyond_the_fixed_bound(spark):
+    bank = [(i, f"pregunta numero n{i} del banco de evaluacion") for i in range(C.SMALL_BANK + 500)]
+    texts = [(k, f"texto con {bank[k * 7][1]} dentro") for k in range(300)]
+    found = C.matches(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(bank, "item_id long, q string"), "doc_id", "text", "item_id", "q")
+    assert sorted(tuple(r) for r in found.collect()) == [(k, k * 7, "exact") for k in range(300)]
+
+
 def test_ranking_ties_and_pools(spark):
     hits = spark.createDataFrame([("q", 1, "a", "d1", 0.5), ("q", 2, "b", "d2", 0.5), ("q", 3, "a", "d1", 0.7), ("q", 4, "c", "d2", 0.1)], "query_id string, position int, chunk_id string, doc_id string, score double")
     unique = S.dedupe_chunks(hits)

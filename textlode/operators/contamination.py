@@ -4,6 +4,7 @@ Containment is a theta join.  A bank of a checked, small size is broadcast and
 scanned in place.  A larger one meets the texts through an equality first: each
 query is keyed by its longest inner word, which any text that contains the
 query must contain as a word, and only texts with that word are searched.
+Queries without an inner word are searched in all texts.
 """
 
 from __future__ import annotations
@@ -23,15 +24,19 @@ MARKERS = ("PREGUNTA:", "FRAGMENTO:", "DOCUMENTO:", "[Hoja: F")
 LEAST_MARKERS = 2
 
 
+def longest_inner_word(name: str) -> Column:
+    """The longest word of a single-spaced text between its first and its last; null without one."""
+    inner = F.expr(f"slice(split({name}, ' '), 2, greatest(size(split({name}, ' ')) - 2, 0))")
+    return F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+
+
 def contained(texts: DataFrame, bank: DataFrame, id_col: str, text_col: str, bank_id: str, bank_text: str, small: int = SMALL_BANK) -> DataFrame:
     """(id, bank id) of every text that contains a bank text of more than 20 characters, both normalised."""
     rows = texts.select(F.col(id_col), T.normalise_for_match(F.col(text_col)).alias("_t"))
     keys = bank.select(F.col(bank_id), T.normalise_for_match(F.col(bank_text)).alias("_q")).where(F.length("_q") > LEAST_CHARACTERS)
     if bank.limit(small + 1).count() <= small:
         return rows.join(F.broadcast(keys), F.contains(F.col("_t"), F.col("_q"))).select(id_col, bank_id)
-    inner = F.expr("slice(split(_q, ' '), 2, greatest(size(split(_q, ' ')) - 2, 0))")
-    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    keyed = keys.withColumn("_w", longest)
+    keyed = keys.withColumn("_w", longest_inner_word("_q"))
     word = rows.withColumn("_w", F.explode(F.array_distinct(F.split("_t", " "))))
     by_word = word.join(keyed.where("_w is not null"), "_w").where(F.contains(F.col("_t"), F.col("_q"))).select(id_col, bank_id)
     two = keyed.where("_w is null").select(bank_id, "_q")
@@ -62,16 +67,29 @@ def by_source(chunks: DataFrame, leaks: DataFrame, id_col: str, source_col: str,
     return joined.groupBy(source_col).agg(F.array_sort(F.collect_set(bank_id)).alias("matched"), F.countDistinct(id_col).alias("n_chunks"))
 
 
-def matches(texts: DataFrame, bank: DataFrame, id_col: str, text_col: str, bank_id: str, bank_text: str) -> DataFrame:
+def matches(texts: DataFrame, bank: DataFrame, id_col: str, text_col: str, bank_id: str, bank_text: str, small: int = SMALL_BANK) -> DataFrame:
     """(id, bank id, kind): whole text contained, strictly or loosely normalised ('exact'), else a beginning of 60 to 80 characters ('prefix').
 
-    For banks of a checked, small size (SMALL_BANK).
+    One row per row of texts and row of bank.  A bank of more than ``small``
+    rows meets the texts by the longest inner word of each string that may be
+    contained; only pairs found so are searched.  A bank row of which one such
+    string has no inner word is searched in all texts.
     """
-    if bank.limit(SMALL_BANK + 1).count() > SMALL_BANK:
-        raise ValueError("the bank is too large to be broadcast; use contained()")
     strict, loose = U.column(U.strict), U.column(U.loose)
-    rows = texts.select(id_col, strict(F.col(text_col)).alias("_s"), loose(F.col(text_col)).alias("_t"))
-    keys = bank.select(bank_id, strict(F.col(bank_text)).alias("_k"), loose(F.col(bank_text)).alias("_q")).withColumn("_p", F.substring("_q", 1, 80))
+    rows = texts.select(id_col, strict(F.col(text_col)).alias("_s"), loose(F.col(text_col)).alias("_t"), F.xxhash64(id_col, text_col).alias("_h"))
+    keys = bank.select(bank_id, strict(F.col(bank_text)).alias("_k"), loose(F.col(bank_text)).alias("_q"), F.xxhash64(bank_id, bank_text).alias("_g")).withColumn("_p", F.substring("_q", 1, 80))
     exact = F.contains(F.col("_s"), F.col("_k")) | F.contains(F.col("_t"), F.col("_q"))
     prefix = (F.length("_p") >= 60) & F.contains(F.col("_t"), F.col("_p"))
-    return rows.join(F.broadcast(keys), exact | prefix).select(id_col, bank_id, F.when(exact, "exact").otherwise("prefix").alias("kind"))
+    named = [id_col, bank_id, F.when(exact, "exact").otherwise("prefix").alias("kind")]
+    if bank.limit(small + 1).count() <= small:
+        return rows.join(F.broadcast(keys), exact | prefix).select(*named)
+    entry = lambda form, w: F.struct(F.lit(form).alias("form"), w.alias("w"))
+    wanted = F.array(entry("strict", F.col("_wk")), entry("loose", F.col("_wq")), entry("loose", F.when(F.length("_p") >= 60, F.col("_wp")).otherwise(F.col("_wq"))))
+    keyed = keys.where("_k is not null").withColumns({"_wk": longest_inner_word("_k"), "_wq": longest_inner_word("_q"), "_wp": longest_inner_word("_p")}).withColumn("_keys", F.array_distinct(wanted))
+    short = F.exists("_keys", lambda x: x["w"].isNull())
+    words = lambda form, name: F.transform(F.array_distinct(F.split(name, " ")), lambda w: entry(form, w))
+    held = rows.select("_h", F.explode(F.concat(words("strict", "_s"), words("loose", "_t"))).alias("_e")).select("_h", "_e.*")
+    pairs = held.join(keyed.where(~short).select("_g", F.explode("_keys").alias("_e")).select("_g", "_e.*"), ["form", "w"]).select("_h", "_g").distinct()
+    # hashes only name candidates: each pair is searched, so equal ones lose and add nothing
+    long = rows.join(pairs, "_h").join(keyed.where(~short), "_g").where(exact | prefix).select(*named)
+    return long.union(rows.join(keyed.where(short), exact | prefix).select(*named))
