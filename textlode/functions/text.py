@@ -201,6 +201,9 @@ def has_terminal_end(text: Column) -> Column:
     return F.right(F.regexp_replace(text, f"(?U)[{SPACE}]+$", ""), F.lit(1)).isin(".", "?", "!", "…")
 
 
+# Last words behind which a sentence goes on.
+CONNECTORS = ("a", "al", "and", "con", "da", "das", "de", "del", "do", "dos", "e", "el", "en", "for", "in", "la", "las", "los", "o", "of", "on", "or", "para", "por", "que", "the", "to", "um", "uma", "y")
+
 # What marks fields of structured sources and captions of page layouts.
 JSON_FIELDS = r"(?:keywords\[\d+\]:|doi:|issue:|body_paragraphs\[\d+\]:|lists\[\d+\]:|alerta_meta\.)"
 CAPTIONS = ("[Pagina ", "Gráfico ", "Tabla ", "Fuente:", "FUENTE:", "Figura ", "CUADRO ", "Capítulo ", "CAPÍTULO ", "Anexo ", "ANEXO ")

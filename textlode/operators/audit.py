@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-# Last words that a chunk should not end with.
-CONNECTORS = ("a", "al", "and", "as", "con", "da", "das", "de", "del", "do", "dos", "e", "el", "en", "for", "in", "la", "las", "los", "o", "of", "on", "or", "os", "para", "por", "que", "the", "to", "um", "uma", "y")
-STRUCTURED = ("csv", "tsv", "xls", "xlsx", "pbf")
+# Formats of tables and images, names of fields, and what may close a sentence.
+STRUCTURED = ("csv", "xlsx", "xls", "tsv", "pbf", "imagen")
+FIELD = r"(?i)(?:^|\s)(?:title|date|authors?\[\d+\]|abstract|keywords?\[\d+\]|doi|issue|body_paragraphs\[\d+\]|lists\[\d+\]|alerta_meta\.[^: ]+):"
+TERMINAL = r"[.!?…][\"'”’»)\]}]*$"
 
 
 def is_structural(fmt: Column, text: Column, split: Column) -> Column:
@@ -20,7 +21,7 @@ def is_structural(fmt: Column, text: Column, split: Column) -> Column:
     upper = F.size(F.filter(alpha, lambda w: (F.upper(bare(w)) == bare(w)) & (F.lower(bare(w)) != bare(w))))
     low = F.lower(fmt)
     loud = (F.size(found) <= 40) & (F.size(alpha) > 0) & (upper / F.greatest(F.size(alpha), F.lit(1)) >= 0.7)
-    return F.when(low.isin(*STRUCTURED) | F.coalesce(split, F.lit(False)), True).when(low == "json", F.regexp_count(text, F.lit(r"[\w.\[\]]+: ")) >= 2).otherwise((F.size(found) <= 12) | loud)
+    return F.when(low.isin(*STRUCTURED) | F.coalesce(split, F.lit(False)), True).when(low == "json", F.regexp_count(text, F.lit(FIELD)) >= 2).otherwise((F.size(found) <= 12) | loud)
 
 
 def continues(left: Column, right: Column) -> Column:
@@ -29,7 +30,7 @@ def continues(left: Column, right: Column) -> Column:
     first = F.regexp_extract(right, r"\p{L}", 0)
     open_end = F.regexp_replace(left, r"\s+$", "").rlike("[,–-]$")
     lower = (first != "") & (F.lower(first) == first) & (F.upper(first) != first)
-    return T.looks_like_prose(left) & (T.strip(right) != "") & (lower | last.isin(*CONNECTORS) | open_end)
+    return T.looks_like_prose(left) & (T.strip(right) != "") & (lower | last.isin(*T.CONNECTORS) | open_end)
 
 
 def adjacent_pairs(chunks: DataFrame, by: str = "doc_id", order: str = "posicion", text: str = "texto", fmt: Column | None = None) -> DataFrame:
@@ -39,7 +40,7 @@ def adjacent_pairs(chunks: DataFrame, by: str = "doc_id", order: str = "posicion
     shared = T.word_overlap(F.col("left"), F.col(text))
     fresh = F.array_join(F.slice(T.words(F.col(text)), shared + 1, F.greatest(T.word_count(F.col(text)) - shared, F.lit(0))), " ")
     form = fmt if fmt is not None else F.lit("txt")
-    cut = ~T.has_terminal_end(F.col("left")) & ~is_structural(form, F.col("left"), F.lit(False)) & continues(F.col("left"), fresh)
+    cut = ~F.regexp_replace("left", r"(?U)\s+$", "").rlike(TERMINAL) & ~is_structural(form, F.col("left"), F.lit(False)) & continues(F.col("left"), fresh)
     return paired.select(by, order, shared.alias("shared_words"), cut.alias("cuts_sentence"))
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,6 +89,8 @@ def pack_additive(units: Column, most: int = 256, overlap: int = 32, prefix: int
 
 def is_additive(units: list[str], count: Callable[[str], int], ends: int = 8) -> bool:
     """Whether joined neighbours at both ends of a document count as the sum of their parts."""
+    if not units:
+        return True
     prefix = count("")
     pairs = sorted({*range(min(ends, len(units) - 1)), *range(max(0, len(units) - 1 - ends), max(0, len(units) - 1))})
     adds = [count(u) - prefix for u in units]
@@ -119,6 +122,70 @@ def pack_with_counter(units: list[str], count: Callable[[str], int], most: int,
     return out + [" ".join(run)] * bool(run)
 
 
+def additive_plan(adds: list[int], prefix: int, most: int, overlap: int) -> list[tuple[int, int, int]]:
+    """(first unit of the lead, first unit, end) of each chunk of units that add ``adds`` tokens each."""
+    groups: list[list[int]] = []
+    total, whole = 0, False  # whole: the last group may take no more
+    for i, n in enumerate(adds):
+        alone = prefix + n > most
+        if not groups or whole or alone or prefix + total + n > most:
+            groups.append([i, i])
+            total = 0
+        groups[-1][1] = i + 1
+        total, whole = total + n, alone
+    plan = []
+    for g, (a, b) in enumerate(groups):
+        room = min(overlap - prefix, most - prefix - sum(adds[a:b])) if g and overlap else -1
+        lead = a
+        while lead > (groups[g - 1][0] if g else a) and adds[lead - 1] <= room:
+            lead -= 1
+            room -= adds[lead]
+        plan.append((lead, a, b))
+    return plan
+
+
+def pack_exact(units: list[str], counter, most: int, overlap: int = 0) -> tuple[list[str], list[int], bool]:
+    """Chunks, their exact counts, and whether the additive plan held.
+
+    Where joined units count as the sum of their parts, chunks are planned by
+    sums and then counted as they are.  A count that is not the planned one, or
+    neighbours that do not add up, sends the document to the scalar packer.
+    ``counter`` has ``count`` and ``count_many``.
+    """
+    if is_additive(units, counter.count):
+        prefix = counter.count("")
+        adds = [n - prefix for n in counter.count_many(units)]
+        plan = additive_plan(adds, prefix, most, overlap) if all(n >= 0 for n in adds) else None
+        if plan is not None:
+            chunks = [" ".join(units[lead:b]) for lead, _, b in plan]
+            counts = counter.count_many(chunks)
+            if counts == [prefix + sum(adds[lead:b]) for lead, _, b in plan]:
+                return chunks, counts, True
+    chunks = pack_with_counter(units, counter.count, most, overlap)
+    return chunks, counter.count_many(chunks), False
+
+
+EXACT = "struct<units:array<int>,chunks:array<struct<text:string,num_tokens:int>>,additive:boolean>"
+
+
+def exact_chunks(units: Column, counter, most: int = 256, overlap: int = 32) -> Column:
+    """Counts of the units, and the chunks of ``pack_exact``, of each array of units; null gives null."""
+
+    @F.arrow_udf(EXACT)
+    def pack(column: pa.Array) -> pa.Array:
+        rows = []
+        for texts in column.to_pylist():
+            if texts is None:
+                rows.append(None)
+                continue
+            chunks, counts, additive = pack_exact(texts, counter, most, overlap)
+            rows.append({"units": counter.count_many(texts), "chunks": [{"text": t, "num_tokens": n} for t, n in zip(chunks, counts, strict=True)], "additive": additive})
+        chunk = pa.struct([("text", pa.string()), ("num_tokens", pa.int32())])
+        return pa.array(rows, pa.struct([("units", pa.list_(pa.int32())), ("chunks", pa.list_(chunk)), ("additive", pa.bool_())]))
+
+    return pack(units)
+
+
 def counter_packer(count: Callable[[str], int], most: int, overlap: int):
     """A pandas UDF array<string> -> array<string> around ``pack_with_counter``."""
 

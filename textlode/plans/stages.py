@@ -8,9 +8,10 @@ from __future__ import annotations
 import hashlib
 import json
 import time
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -42,6 +43,10 @@ class Settings:
     documents: int = 3
     candidates: int = 50
     excluded_sources: tuple[str, ...] = ()
+    #: A tokenizers file; without one, white-space words are counted as tokens.
+    tokenizer: str | None = None
+    #: What the encoder puts before every chunk; its tokens count in each.
+    prefix: str = K.PASSAGE
 
     def __post_init__(self):
         if not 0 <= self.overlap_tokens < self.max_tokens <= self.capacity:
@@ -51,29 +56,43 @@ class Settings:
     def capacity(self) -> int:
         return self.encoder_limit - self.special_tokens
 
+    def counter(self) -> K.FileCounter | None:
+        return K.FileCounter(self.tokenizer, self.prefix) if self.tokenizer else None
+
     def fingerprint(self) -> str:
         return hashlib.sha256(json.dumps(asdict(self), sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
-def chunk_documents(docs: DataFrame, settings: Settings) -> DataFrame:
+def chunk_documents(docs: DataFrame, settings: Settings, splitter: Callable[[Column, Column], Column] = split_column) -> DataFrame:
     """Chunks of documents (doc_id, fuente, formato, fenomeno, texto).
 
-    Rows of tables are units as they are, prose is cut to sentences.  A prose
-    unit over the encoder's capacity that is no table, list or code is an
-    error; other oversized chunks are divided with exact coverage, kept in
-    ``hard_split``.
+    Rows of tables are units as they are, prose is cut to sentences by
+    ``splitter`` (text, format -> array<string>).  With ``settings.tokenizer``
+    units and chunks are counted by that file (see ``packing.pack_exact``), else
+    by white-space words in built-in expressions.  A prose unit over the
+    encoder's capacity that is no table, list or code is an error; other
+    oversized chunks are divided with exact coverage, kept in ``hard_split``.
     """
     fmt = F.lower("formato")
-    units = F.when(fmt.isin(*T.TABULAR_FORMATS), T.row_units(F.col("texto"))).otherwise(split_column(F.col("texto"), F.col("formato")))
-    split = docs.withColumn("units", P.counted_units(units))
+    units = F.when(fmt.isin(*T.TABULAR_FORMATS), T.row_units(F.col("texto"))).otherwise(splitter(F.col("texto"), F.col("formato")))
+    counter = settings.counter()
+    split = docs.withColumn("texts", units)
+    if counter:
+        split = split.withColumn("_e", P.exact_chunks(F.col("texts"), counter, settings.max_tokens, settings.overlap_tokens))
+        chunks, sized = F.col("_e.chunks"), F.arrays_zip("texts", F.col("_e.units").alias("sizes"))
+        sized = F.transform(sized, lambda u: F.struct(u["texts"].alias("t"), u["sizes"].alias("n")))
+    else:
+        sized = P.counted_units(F.col("texts"))
+        chunks = P.pack_additive(F.col("units"), settings.max_tokens, settings.overlap_tokens)
+    split = split.withColumn("units", sized)
     long = split.where(fmt.isin("pdf", "txt")).select("doc_id", F.explode("units").alias("u")).where((F.col("u.n") > settings.capacity) & ~T.is_structural_oversize(F.col("u.t")))
     if row := long.first():
         raise OversizedSentenceError(f"document {row.doc_id} has a sentence of {row.u.n} tokens; the limit is {settings.capacity}")
-    packed = split.select("doc_id", "fuente", "formato", "fenomeno", F.posexplode(P.pack_additive(F.col("units"), settings.max_tokens, settings.overlap_tokens)).alias("logical", "c"))
+    packed = split.select("doc_id", "fuente", "formato", "fenomeno", F.posexplode(chunks).alias("logical", "c"))
     rows = packed.select("doc_id", "fuente", "formato", "fenomeno", "logical", F.col("c.num_tokens").alias("num_tokens"), F.col("c.text").alias("texto"))
     fit = rows.where(F.col("num_tokens") <= settings.capacity).select("*", F.lit(0).alias("part"), F.lit(None).cast("struct<parent_chunk_id:string,strategy:string,part_index:int,part_count:int,overlap_tokens:int,parent_num_tokens:int,source_start:int,source_end:int,emitted_start:int>").alias("hard_split"))
     big = rows.where(F.col("num_tokens") > settings.capacity).withColumn("chunk_id", F.format_string("%s-logical-chunk-%04d", F.col("doc_id").cast("string"), "logical"))
-    parts = H.split_chunks(big, None, settings.capacity, settings.overlap_tokens)
+    parts = H.split_chunks(big, counter, settings.capacity, settings.overlap_tokens)
     cut = big.drop("num_tokens", "texto").join(parts, "chunk_id").select(
         "doc_id", "fuente", "formato", "fenomeno", "logical", "num_tokens", F.col("text").alias("texto"), F.col("part_index").alias("part"),
         F.struct(F.col("chunk_id").alias("parent_chunk_id"), "strategy", "part_index", "part_count", "overlap_tokens", "parent_num_tokens", "source_start", "source_end", "emitted_start").alias("hard_split"),
@@ -92,10 +111,12 @@ def prepare_chunks(chunks: DataFrame, bank: DataFrame, settings: Settings) -> Da
 def embed(chunks: DataFrame, encoder: K.Encoder, settings: Settings) -> DataFrame:
     """row_pos, chunk_id, doc_id, embedding, in order of doc_id and position."""
     A.require(chunks, F.col("num_tokens") > settings.capacity, "chunks exceed the encoder's capacity")
+    if settings.tokenizer:  # a chunk must be what was counted
+        A.require(chunks, K.token_count(F.col("texto"), settings.tokenizer, settings.prefix) != F.col("num_tokens"), "chunks whose tokens were counted otherwise")
     before = Window.orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
     sizes = chunks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))  # one row per document is all that is ordered as a whole
     base = sizes.select("doc_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    vectors = chunks.select("chunk_id", "doc_id", "posicion", K.encode(F.col("texto"), encoder, settings.dim).alias("embedding"))
+    vectors = chunks.select("chunk_id", "doc_id", "posicion", K.encode(F.col("texto"), encoder, settings.dim, settings.prefix).alias("embedding"))
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy("posicion")) - 1
     placed = vectors.withColumn("place", place).join(base, "doc_id")
     return placed.select((F.col("base") + F.col("place")).cast("bigint").alias("row_pos"), "chunk_id", "doc_id", "embedding")
