@@ -85,3 +85,35 @@ def test_other_columns_are_ignored(spark, tmp_path):
     df = spark.createDataFrame([(1, "a b", 5, "x")], "doc_id long, text string, start int, tie string")
     T.write_token_frames(df, f"file://{tmp_path}/t", PATH)
     assert [r.n_tokens for r in T.read_token_frames(spark, f"file://{tmp_path}/t").collect()] == [3]
+
+
+def signs():
+    import unicodedata
+
+    every = (chr(c) for c in range(0x110000))
+    return [c for c in every if unicodedata.category(c) not in ("Cn", "Co", "Cs")]
+
+
+def test_every_sign_beside_letters_and_punctuation_has_the_ids_of_the_library():
+    forms = ["a{0}b.{0}( {0}1{0}'s'{0} {0}", "x{0}. Y{0}! {0}-{0}é{0}ü", "H{0}J{0}T{0}W{0}A{0} {0}{0}a {0}.{0}  {0}\n{0}\t{0}x", "'{0}s it'{0}s"]
+    table, _ = T._library_table(PATH)
+    assert isinstance(table, T.PieceTable)
+    every = signs()
+    some = every[:12_000] + every[12_000::9]
+    texts = [f.format(c) for c in some for f in forms] + ["xİ.", "İ'", "Aİ-B", "KIRİ!", "İzmir", "ẙ Y̊"]
+    raw = [t.encode() for t in texts]
+    ids, at = table.ids(np.frombuffer(b"".join(raw), dtype=np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))))
+    want = [e.ids for e in LIB.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [t for k, t in enumerate(texts) if ids[at[k] : at[k + 1]].tolist() != want[k]] == []
+
+
+def test_shards_roll_and_other_vocabularies_are_encoded_whole(spark, tmp_path):
+    rows = [(k, "a word. " * k) for k in range(40)] + [(None, "x")]
+    assert written(spark, rows, f"file://{tmp_path}/t", shards=2, shard_docs=7) == expected(rows)
+    assert T.read_manifest(spark, f"file://{tmp_path}/t").agg({"n_docs": "max", "part": "max"}).first()[:] == (7, 2)
+    assert written(spark, rows, f"file://{tmp_path}/u", shards=1, shard_ids=50) == expected(rows)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    df = spark.createDataFrame([(1, "Ein Wort, no \n  more"), (2, None)], "doc_id long, text string")
+    T.write_token_frames(df, f"file://{tmp_path}/v", path)
+    got = {r.doc_id: np.frombuffer(r.ids, dtype="<u4").tolist() for r in T.read_token_frames(spark, f"file://{tmp_path}/v").collect()}
+    assert got == {1: [*Tokenizer.from_file(path).encode("Ein Wort, no \n  more").ids, 1], 2: [1]} and isinstance(T._library_table(path)[0], T.WholeTexts)

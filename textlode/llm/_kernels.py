@@ -3,7 +3,13 @@
 Words are maximal runs of bytes other than space and the five ASCII controls
 \\t..\\r, the class ``[^\\x20\\x09-\\x0D]+``.  Everything here works on a whole
 batch of texts at once: one byte buffer, one offset array, no Python object per
-word.  Hashes are 64-bit polynomial prefix hashes, finalised by ``mix64``.
+word.
+
+A word's hash is a sum over its blocks of eight bytes, each mixed with a key
+of its place that depends on a seed; a window's hash is mixed from those of
+two windows that cover it.  Callers that remove or join text draw the seed
+anew for every run, so equal hashes of unequal texts can't be prepared.
+Polynomial prefix hashes serve only to number features.
 """
 
 from __future__ import annotations
@@ -14,10 +20,9 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-#: Odd bases of the polynomial hashes (fixed values, any odd numbers would do).
+#: Odd factors (any odd numbers would do).
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xC2B2AE3D27D4EB4F
-WORD_BASE_2 = 0xD6E8FEB86659FD93
 #: Bytes of text handled at once; a longer single text is handled alone.
 SLICE_BYTES = 2 << 20
 
@@ -111,20 +116,45 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One 64-bit hash per word."""
-    pre = prefix(data.astype(U64) + U64(1), BYTE_BASE)
-    return mix64(span_hash(pre, starts, ends, BYTE_BASE))
+def run_hashes(values: np.ndarray, first: np.ndarray, seed: int = 0) -> np.ndarray:
+    """One hash per run of 64-bit values; ``first`` has the starts of the runs, none empty."""
+    if not len(first):
+        return np.zeros(0, dtype=U64)
+    size = np.diff(first, append=len(values))
+    place = np.arange(len(values)) - np.repeat(first, size)
+    keys = mix64(np.arange(int(size.max()), dtype=U64), seed)
+    with np.errstate(over="ignore"):
+        return mix64(np.add.reduceat(mix64(values + keys[place]), first) + size.astype(U64), 5)
 
 
-def window_hashes(words: np.ndarray, length: int, base: int = WORD_BASE) -> np.ndarray:
-    """Hash of every run of ``length`` words, over text ends too: the caller masks those."""
-    n = len(words) - length + 1
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """One 64-bit hash per word."""
+    size = ends - starts
+    blocks = (size + 7) >> 3
+    first = np.cumsum(blocks) - blocks
+    place = np.arange(int(blocks.sum())) - np.repeat(first, blocks)
+    padded = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
+    eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))  # the block from each byte on
+    beyond = np.maximum(8 - (np.repeat(size, blocks) - 8 * place), 0).astype(U64)
+    block = eight[np.repeat(starts, blocks) + 8 * place] & (U64(2**64 - 1) >> (beyond * U64(8)))
+    return mix64(run_hashes(block, first, seed) ^ mix64(size.astype(U64), seed))
+
+
+def wider(hashes: np.ndarray, length: int, longer: int) -> np.ndarray:
+    """Hashes of all windows of ``longer`` words (at most twice ``length``) from those of ``length``."""
+    n = len(hashes) + length - longer
     if n <= 0:
         return np.zeros(0, dtype=U64)
-    pre = prefix(words, base)
     with np.errstate(over="ignore"):
-        return mix64((pre[length:] - pre[:n]) * powers(inverse(base), n), length)
+        return mix64(hashes[:n] * U64(WORD_BASE) + hashes[longer - length :], longer)
+
+
+def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
+    """Hash of every run of ``length`` words, over text ends too: the caller masks those."""
+    if length == 1:
+        return words
+    half = (length + 1) // 2
+    return wider(window_hashes(words, half), half, length)
 
 
 def owners(first: np.ndarray) -> np.ndarray:

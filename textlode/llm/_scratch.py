@@ -1,8 +1,9 @@
 """Intermediate tables in the folder that the whole cluster shares.
 
 Iterative operators cut their lineage by writing a table and reading it back.
-The folder is the session's ``spark.checkpoint.dir``; only where that is unset
-(local tests) a temporary folder of this machine is chosen and set.
+The folder is the session's ``spark.checkpoint.dir``.  Where that is unset, a
+local session (``local[n]``, as in tests) takes a temporary folder of this
+machine; on a cluster that is an error, since executors could not read it.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by the session, or one of our own where none is named."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="textlode-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")

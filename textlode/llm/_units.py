@@ -33,8 +33,9 @@ def cuts(data: np.ndarray, offsets: np.ndarray, keep_spaces: bool = True) -> np.
     """Starts of all pieces of non-empty texts, ascending, and the end of the buffer.
 
     Cuts stand before a run of ASCII white space and between a letter (ASCII,
-    or of the Latin blocks up to U+024F) and another ASCII sign, but not behind
-    an apostrophe, which may begin a contraction.  With ``keep_spaces`` a piece
+    or of the Latin blocks up to U+027F) and another ASCII sign, but not behind
+    an apostrophe, which may begin a contraction, nor beside U+0130, whose
+    lower case ends with a mark that is no letter.  With ``keep_spaces`` a piece
     keeps the white space before it, so that a token may begin with a space;
     only a lone sign of white space that is no space is a piece itself.
     Without, runs of white space are pieces of their own.  In a buffer that may
@@ -56,7 +57,8 @@ def cuts(data: np.ndarray, offsets: np.ndarray, keep_spaces: bool = True) -> np.
     if not _may_hold_special(data):
         letter = (data | 32) - np.uint8(97) < 26
         lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC9))
-        lead = lead[(data[lead] != 0xC3) | ((data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7))]
+        after = data[lead + 1]
+        lead = lead[~((data[lead] == 0xC3) & ((after == 0x97) | (after == 0xB7))) & ~((data[lead] == 0xC4) & (after == 0xB0))]
         letter[lead] = letter[lead + 1] = True
         other = (data < 128) & ~letter & ~space
         cut[1:n] |= (letter[1:] & other[:-1] & (data[:-1] != 39)) | (other[1:] & letter[:-1])
@@ -85,7 +87,9 @@ class PieceTable:
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of a slice of texts and the n+1 offsets of each text in them."""
         if self.lower and not _may_hold_special(data):
-            data = K.lower_ascii(data)
+            # not before other than ASCII: composition comes first, and some letters compose in lower case only
+            alone = np.append(data[1:] < 128, True)
+            data = np.where(alone, K.lower_ascii(data), data)
         edge = cuts(data, offsets, self.keep_spaces)
         pieces = pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, pa.py_buffer(edge.astype(np.int32)), pa.py_buffer(data)])
         coded = pieces.dictionary_encode()
@@ -107,6 +111,19 @@ class PieceTable:
         return out, ends[np.searchsorted(edge[:-1], offsets)]
 
 
+class WholeTexts:
+    """Ids of whole texts, for pre-tokenizers of which nothing is known."""
+
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
+        self.encode = encode
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As in ``PieceTable``."""
+        raw = data.tobytes()
+        flat, sizes = self.encode([raw[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
+        return flat, np.concatenate(([0], np.cumsum(sizes)))
+
+
 def packed(ids: np.ndarray, offsets: np.ndarray, width: int = 4) -> pa.Array:
     """One binary per text: its ids as little-endian unsigned integers."""
     raw = np.ascontiguousarray(ids.astype(f"<u{width}"))

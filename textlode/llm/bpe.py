@@ -19,11 +19,12 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from ._columns import packed_rows, with_results
 from ._scratch import small_batches
 from ._units import PieceTable, packed, text_slices
 
+RESULTS = ("n_tokens", "ids", "decoded")
 NONE = np.iinfo(np.int64).max
 #: White space as Unicode has it; the shorthand of Python's engines also takes \x1c-\x1f.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -43,6 +44,9 @@ class ByteBPE:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        before = spec["pre_tokenizer"] or {}
+        if spec["normalizer"] or (before.get("type"), before.get("add_prefix_space"), before.get("use_regex")) != ("ByteLevel", False, True):
+            raise ValueError(f"{path} is no byte-level BPE file without normalizer and prefix space")
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         letters = byte_letters()
         self.byte_id = np.array([vocab[x] for x in letters], dtype=np.int64)
@@ -177,12 +181,11 @@ def bpe_round_trip(docs: DataFrame, path: str, text_col: str = "text", carry: li
     Returns the columns ``carry`` (all of ``docs`` if None) and n_tokens
     (long), ids (binary, little-endian unsigned 32-bit) and decoded (string).
     ``path`` is a byte-level BPE file in the JSON form of the tokenizers
-    library.  Null or empty texts have no ids and decode to "".  Input columns
-    named like the three results are replaced by them.
+    library.  Null or empty texts have no ids and decode to "".  Repeated rows
+    give repeated rows, an empty table an empty one.  Input columns named like
+    the three results, in any case, are replaced by them.
     """
     small_batches(docs.sparkSession)
-    names = [c for c in (docs.columns if carry is None else carry) if c not in ("n_tokens", "ids", "decoded")]
-    rows = docs.select(F.col(f"`{text_col}`").alias("_text"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
-    kind = rows.schema["_row"].dataType.simpleString()
-    out = rows.mapInArrow(_round_trip(path), f"_row {kind}, n_tokens bigint, ids binary, decoded string")
-    return out.select("_row.*", "n_tokens", "ids", "decoded")
+    rows = packed_rows(docs, text_col, RESULTS, carry)
+    out = rows.mapInArrow(_round_trip(path), with_results(rows, n_tokens="long", ids="binary", decoded="string"))
+    return out.select("_row.*", *RESULTS)

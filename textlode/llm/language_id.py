@@ -1,8 +1,8 @@
 """Language identification by sparse multinomial logistic regression.
 
 Features are the hashed character n-grams (1 to 3 code points) of the
-lower-cased text in which every run of other characters than letters is one
-space.  Their values are log(1 + count) * idf, scaled to unit length; document
+lower-cased text in which every run of other characters than letters and
+their marks is one space.  Their values are log(1 + count) * idf, scaled to unit length; document
 frequencies are counted over all documents learned from.  The weights are fitted by
 follow-the-regularised-leader with elastic-net penalties on a sample of at most
 ``per_label`` documents of each label, those of the smallest hash; a fifth of
@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import _kernels as K
+from ._columns import packed_rows, with_results
 from ._ftrl import Ftrl, Rows, smallest_by_hash, softmax, temperature
 from ._scratch import small_batches
 
@@ -40,48 +42,72 @@ def id_remainder(id_col: Column, modulus: int) -> Column:
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    table = np.zeros(sys.maxunicode + 2, dtype=bool)
-    for c in range(0x20000):
-        table[c] = unicodedata.category(chr(c))[0] in "LM"
-    table[0x20000:0x323B0] = True
+    """Per code point 2 for letters, 1 for marks, which stay with their letters, else 0."""
+    table = np.zeros(sys.maxunicode + 2, dtype=np.uint8)
+    for c in range(sys.maxunicode + 1):
+        if c >= 0x32400 and c < 0xE0000:  # no character is assigned here
+            continue
+        table[c] = {"L": 2, "M": 1}.get(unicodedata.category(chr(c))[0], 0)
     return table
 
 
-def grams(text: str) -> np.ndarray:
-    """Hashed n-grams of a text, one per place; empty if it has no letters."""
-    code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    letter = _letters()[code]
-    if not letter.any():
-        return np.zeros(0, dtype=np.uint32)
-    code = np.where(letter, code, 32)
-    keep = np.ones(len(code), dtype=bool)
-    keep[1:] = letter[1:] | letter[:-1]
-    code = np.concatenate(([32], code[keep], [32])).astype(np.uint32)
-    out, run = [], np.zeros(len(code), dtype=np.uint32)
+def slice_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed n-grams of all texts, one per place, and the number of each one's text; texts without letters have none."""
+    low = [t.lower() for t in texts]
+    code = np.frombuffer(" ".join(["", *low, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    edge = np.concatenate(([0], np.cumsum([len(t) + 1 for t in low])))  # the space before each text, and the last
+    kind = _letters()[code]
+    letter = kind > 0
+    owner = np.repeat(np.arange(len(low)), np.diff(edge))
+    has = np.bincount(owner[kind[:-1] == 2], minlength=len(low)) > 0
+    keep = np.append(letter[:-1] | np.append(True, letter[:-2]) | (np.diff(owner, prepend=-1) != 0), True)
+    kept = np.where(letter, code, np.uint32(32))[keep]
+    owner = np.append(owner, len(low))[keep]
+    first, n = np.searchsorted(owner, np.arange(len(low))), len(kept)
+    # a text's places go on to the space that begins the next; a run of n-grams may not cross it
+    stop = np.repeat(np.append(first[1:], n - 1), np.diff(np.append(first, n - 1))) if len(low) else np.zeros(0, np.int64)
+    at = np.arange(n - 1)
+    out, whose = [], []
+    run = np.zeros(n, dtype=np.uint32)
     with np.errstate(over="ignore"):
         for order in range(1, ORDERS + 1):
-            run = run[: len(code) - order + 1] * np.uint32(0x01000193) + code[order - 1 :]
+            run = run[: n - order + 1] * np.uint32(0x01000193) + kept[order - 1 :]
             mixed = (run ^ (run >> np.uint32(15)) ^ np.uint32(order * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
-            out.append((mixed ^ (mixed >> np.uint32(13))) * np.uint32(0xC2B2AE35) >> np.uint32(32 - 15))
-    return np.concatenate(out)
-
-
-def counted(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Features of a text and their counts."""
-    found = grams(text or "")
-    if not len(found):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    counts = np.bincount(found, minlength=FEATURES)
-    used = np.flatnonzero(counts)
-    return used, counts[used]
+            mixed = (mixed ^ (mixed >> np.uint32(13))) * np.uint32(0xC2B2AE35) >> np.uint32(32 - 15)
+            ok = np.flatnonzero(at + order - 1 <= stop)
+            ok = ok[has[owner[ok]]]
+            out.append(mixed[ok])
+            whose.append(owner[ok])
+    return np.concatenate(out), np.concatenate(whose)
+
+
+def counted(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, feature, count) of a slice of texts, ascending."""
+    found, owner = slice_grams(texts)
+    both, n = np.unique(owner * np.int64(FEATURES) + found, return_counts=True)
+    return both // FEATURES, both % FEATURES, n
+
+
+def text_slices(column: pa.Array, limit: int = K.SLICE_BYTES // 4):
+    """Lists of texts of bounded total length (or of one text); null reads as empty."""
+    some, size = [], 0
+    for value in column:
+        text = value.as_py() or ""
+        if some and size + len(text) > limit:
+            yield some
+            some, size = [], 0
+        some.append(text)
+        size += len(text)
+    if some:
+        yield some
 
 
 def _frequencies(batches):
     total, docs = np.zeros(FEATURES + 1, dtype=np.int64), 0
     for batch in batches:
-        for text in batch.column(0):
-            total[counted(text.as_py())[0]] += 1
-            docs += 1
+        for texts in text_slices(batch.column(0)):
+            total[:FEATURES] += np.bincount(counted(texts)[1], minlength=FEATURES)
+            docs += len(texts)
     total[FEATURES] = docs
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["feature", "df"])
@@ -89,8 +115,12 @@ def _frequencies(batches):
 
 def _count_rows(batches):
     for batch in batches:
-        pairs = [counted(t.as_py()) for t in batch.column(1)]
-        lists = [pa.array([p[k] for p in pairs], pa.list_(pa.int32())) for k in (0, 1)]
+        rows = []
+        for texts in text_slices(batch.column(1)):
+            owner, feature, n = counted(texts)
+            cut = np.searchsorted(owner, np.arange(1, len(texts)))
+            rows += [*zip(np.split(feature, cut), np.split(n, cut), strict=True)]
+        lists = [pa.array([r[k] for r in rows], pa.list_(pa.int32())) for k in (0, 1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *lists], ["label", "fold", "features", "counts"])
 
 
@@ -104,18 +134,29 @@ class Model:
         x = np.log1p(counts) * self.idf[features]
         return x / np.sqrt((x * x).sum()) if len(x) else x
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        features, counts = counted(text)
-        if not len(features) or not self.labels:
-            return UNDETERMINED, 0.0
-        logits = self.values(features, counts) @ self.weights[features] + self.bias
-        p = softmax(logits[None, :] / self.temp)[0]
-        best = int(p.argmax())
-        return self.labels[best], float(p[best])
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """Label and score of each text; ties go to the label that sorts first."""
+        owner, feature, n = counted(texts)
+        value = np.log1p(n) * self.idf[feature]
+        length = np.sqrt(np.bincount(owner, weights=value * value, minlength=len(texts)))
+        known = length > 0
+        if not self.labels or not known.any():
+            return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        value /= length[owner]
+        logits = np.stack([np.bincount(owner, weights=value * self.weights[feature, k], minlength=len(texts)) for k in range(len(self.labels))], axis=1) + self.bias
+        p = softmax(logits / self.temp)
+        best = p.argmax(axis=1)
+        return [self.labels[b] if ok else UNDETERMINED for b, ok in zip(best, known, strict=True)], np.where(known, p[np.arange(len(texts)), best], 0.0)
 
 
 def fit(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", per_label: int = PER_LABEL) -> Model:
-    """Fit on the rows of ``docs`` with a label; all of them count in the document frequencies."""
+    """Fit on the rows of ``docs`` with a label; all of them count in the document frequencies.
+
+    Rows without a text or a label are left out; without any, the model knows
+    no label.  The sample is ordered by a hash of id and text, then by the
+    text; repeated rows are fitted as often as they are chosen.  Other columns
+    are ignored.
+    """
     small_batches(docs.sparkSession)
     text, label = F.col(f"`{text_col}`").alias("text"), F.col(f"`{label_col}`").alias("label")
     rows = docs.select(text, label, F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("h")).where("label is not null and text is not null")
@@ -162,9 +203,13 @@ def fit(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_col
 def _predict(model: Model):
     def run(batches):
         for batch in batches:
-            got = [model.predict(t.as_py()) for t in batch.column(0)]
+            labels, scores = [], []
+            for texts in text_slices(batch.column(0)):
+                found, score = model.predict(texts)
+                labels += found
+                scores.append(score)
             rows = [batch.column(c) for c in range(1, batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([*rows, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], [*batch.schema.names[1:], *RESULTS])
+            yield pa.RecordBatch.from_arrays([*rows, pa.array(labels, pa.string()), pa.array(np.concatenate(scores or [np.zeros(0)]))], [*batch.schema.names[1:], *RESULTS])
 
     return run
 
@@ -172,13 +217,12 @@ def _predict(model: Model):
 def identify(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """The columns ``carry`` (all if None) and lang_pred, score of every whole text.
 
-    A null text, or one without letters, is ``und`` with score 0, as is every
-    text if nothing could be learned.  Ties go to the label that sorts first.
-    Repeated rows get the same result.  Input columns named like results are
+    A null text, or one without letters (marks alone are none), is ``und`` with
+    score 0, as is every text if nothing could be learned.  Ties go to the
+    label that sorts first.  Repeated rows get the same result, an empty table
+    gives an empty one.  Input columns named like results, in any case, are
     replaced by them.
     """
     small_batches(docs.sparkSession)
-    names = [c for c in (docs.columns if carry is None else carry) if c not in RESULTS]
-    rows = docs.select(F.col(f"`{text_col}`").alias("_text"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
-    kind = rows.schema["_row"].dataType.simpleString()
-    return rows.mapInArrow(_predict(model), f"_row {kind}, lang_pred string, score double").select("_row.*", *RESULTS)
+    rows = packed_rows(docs, text_col, RESULTS, carry)
+    return rows.mapInArrow(_predict(model), with_results(rows, lang_pred="string", score="double")).select("_row.*", *RESULTS)

@@ -1,6 +1,8 @@
 """Near-duplicate classes by MinHash banding and odd sketches.
 
-A document's set holds the 64-bit hashes of its distinct five-word shingles.
+A document's set holds the 64-bit hashes of its distinct five-word shingles;
+their seed is drawn for each run, so no text can be written to share the hash
+of another.
 Documents with equal sets form one class at once; only one member of a class
 goes on, so thousands of copies cost one row.
 
@@ -22,12 +24,15 @@ now share a component is settled.  In the others, classes of different
 components are compared, first by sketch, then on full sets, inside tasks of
 two blocks of bounded size.  A task joins components as it goes and returns
 only the links that joined some, so what it returns grows with its members,
-not with their pairs, and no link between components is lost.
+not with their pairs, and no link between components is lost.  The sets of a
+block reach each task that compares it, so an open bucket of W shingles moves
+W**2 / BLOCK_ITEMS of them.
 """
 
 from __future__ import annotations
 
 import math
+import secrets
 from functools import lru_cache
 
 import numpy as np
@@ -96,11 +101,11 @@ def bands_and_sketches(mins: np.ndarray, rows: int = 5) -> tuple[np.ndarray, np.
     return band, np.stack(words, axis=1)
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, seed: int = 0) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text of a slice."""
     low = K.lower_ascii(data)
     starts, ends, first = K.word_spans(low, offsets)
-    words = K.word_hashes(low, starts, ends)
+    words = K.word_hashes(low, starts, ends, seed)
     full = K.window_hashes(words, SHINGLE)
     out = []
     for a, b in zip(first[:-1], first[1:], strict=True):
@@ -121,21 +126,21 @@ def _lists(rows: np.ndarray) -> pa.Array:
 SIGNED = "doc_id bigint, k1 bigint, k2 bigint, n int, d1 bigint, d2 bigint, bands array<bigint>, sketch array<bigint>"
 
 
-def sign(rows: int):
+def sign(rows: int, seed: int):
     """Set size, set digest, band hashes (bands of ``rows`` samples) and odd sketch of every text."""
 
     def run(batches):
         for batch in batches:
             data, offsets = K.buffers(batch.column(3))
             for i, j in K.slices(offsets):
-                sets = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                sets = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], seed)
                 mins = np.zeros((j - i, SAMPLES), dtype=np.uint32)
                 digest = np.zeros((j - i, 2), dtype=np.int64)
                 for r, s in enumerate(sets):
                     if len(s):
                         mins[r] = minhash(s)
-                        for c, base in enumerate((K.WORD_BASE, K.WORD_BASE_2)):
-                            digest[r, c] = K.mix64(K.prefix(s, base)[-1:], c).view(np.int64)[0]
+                        for c in range(2):
+                            digest[r, c] = np.add.reduce(K.mix64(s, 7 + c)).view(np.int64)
                 band, sketch = bands_and_sketches(mins, rows)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(i, j - i) for c in range(3)]
@@ -146,14 +151,19 @@ def sign(rows: int):
     return run
 
 
-def full_sets(batches):
-    for batch in batches:
-        data, offsets = K.buffers(batch.column(1))
-        for i, j in K.slices(offsets):
-            sets = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-            ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
-            flat = np.concatenate(sets).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["cid", "items"])
+def full_sets(seed: int):
+    """(cid, items): the sorted shingle hashes of every text."""
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = K.buffers(batch.column(1))
+            for i, j in K.slices(offsets):
+                sets = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], seed)
+                ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
+                flat = np.concatenate(sets).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["cid", "items"])
+
+    return run
 
 
 def confirm(percent: int):
@@ -249,24 +259,26 @@ def block_links(limit: int, percent: int):
     return run
 
 
-def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, seed: int | None = None) -> DataFrame:
     """(doc_id, k1, k2, n, root, component_id) of every row.
 
     k1, k2 are the row's key (see ``keyed``), n its number of shingles, root a
     number of its component (null without shingles), component_id the smallest
-    doc_id in it.
+    doc_id in it.  ``seed`` of the hashes is random if None.
     """
     spark = docs.sparkSession
+    seed = secrets.randbits(63) if seed is None else seed
     work = Scratch(spark, "minhash")
     key = keyed(docs, id_col, text_col)
     named = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(f"`{id_col}`", f"`{text_col}`").alias("k1"), F.xxhash64(F.col(f"`{text_col}`"), F.col(f"`{id_col}`"), F.lit(1)).alias("k2"))
-    signed = work.keep(named.select("doc_id", "k1", "k2", "text").mapInArrow(sign(band_rows(percent / 100)), SIGNED), "signed")
+    signed = work.keep(named.select("doc_id", "k1", "k2", "text").mapInArrow(sign(band_rows(percent / 100), seed), SIGNED), "signed")
 
     classes = signed.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("k1", "k2")).alias("key"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = work.keep(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     rows = classes.select("cid", F.explode("bands").alias("band"))
     leaders = rows.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("leader")).where("size > 1")
+    leaders = work.keep(leaders, "leaders")  # a table, so that Spark may split a hot band of the join
     members = work.keep(rows.join(leaders, "band"), "members")
     facts = classes.select("cid", "n", "sketch")
 
@@ -278,7 +290,7 @@ def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     nearest = work.keep(star.groupBy(F.col("cid").alias("b")).agg(F.min(F.struct("far", "leader")).alias("m")).select(F.col("m.leader").alias("a"), "b"), "nearest")
 
     wanted = classes.join(members.select("cid").distinct(), "cid", "left_semi").select("key.k1", "key.k2", "cid")
-    sets = work.keep(key.join(wanted, ["k1", "k2"]).select("cid", "text").mapInArrow(full_sets, "cid bigint, items array<bigint>").groupBy("cid").agg(F.first("items").alias("items")), "sets")
+    sets = work.keep(key.join(wanted, ["k1", "k2"]).select("cid", "text").mapInArrow(full_sets(seed), "cid bigint, items array<bigint>").groupBy("cid").agg(F.first("items").alias("items")), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         with_a = pairs.join(sets.select(F.col("cid").alias("b"), F.col("items").alias("y")), "b")
@@ -293,8 +305,9 @@ def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     placed = members.select("band", "cid").join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
     placed = placed.join(classes.select("cid", "n"), "cid")
     still_open = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum("n").alias("weight")).where("lo <> hi")
+    still_open = work.keep(still_open.select("band", F.ceil(F.col("weight") / BLOCK_ITEMS).cast("int").alias("blocks")), "open")
     spread = (
-        placed.join(still_open.select("band", F.ceil(F.col("weight") / BLOCK_ITEMS).cast("int").alias("blocks")), "band")
+        placed.join(still_open, "band")
         .withColumn("blk", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
         .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .join(classes.select("cid", "sketch", "bands"), "cid")
@@ -311,7 +324,7 @@ def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         moved = comp.join(merged, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
         alone = merged.join(comp.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root"))
         comp = moved.union(alone)
-    work.drop("members", "sets", "nearest")
+    work.drop("leaders", "open", "members", "sets", "nearest")
 
     grouped = classes.select("d1", "d2", "cid", "least_id").join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"))
@@ -340,13 +353,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """Keep one row of each component, with all its columns.
 
     That is the row of the smallest id (null last); of several rows with it the
-    one of the smallest key, and of rows equal in id and text the first by a
-    hash of all columns.  Rows without shingles are no duplicates: all stay.
+    one of the smallest key, and of rows equal in id and text the first by
+    its other columns as JSON, which may be of any type.  Rows without shingles
+    are no duplicates: all stay, as often as they occur.  An empty table gives
+    an empty table.
     """
     rows = near_duplicate_rows(docs, id_col, text_col, percent)
     first = rows.where("n > 0").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "k1", "k2")).alias("r")).select("r.k1", "r.k2", F.lit(True).alias("_once"))
     keys = first.union(rows.where("n = 0").select("k1", "k2", F.lit(False)).distinct())
     i, t = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    packed = docs.select(F.xxhash64(i, t).alias("k1"), F.xxhash64(t, i, F.lit(1)).alias("k2"), F.xxhash64("*").alias("_h"), F.struct("*").alias("_row"))
+    packed = docs.select(F.xxhash64(i, t).alias("k1"), F.xxhash64(t, i, F.lit(1)).alias("k2"), F.to_json(F.struct("*")).alias("_h"), F.struct("*").alias("_row"))
     one = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("_h"))
     return packed.join(keys, ["k1", "k2"]).withColumn("_n", one).where("not _once or _n = 1").select("_row.*")

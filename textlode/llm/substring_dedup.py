@@ -2,45 +2,58 @@
 
 A window of ``window`` words is removed when the same word sequence starts
 anywhere else.  Windows are not compared at full length at once: a short
-length L0 = ceil(window / 4) is tried first, what repeats there is extended to
-2 * L0, and only what still repeats is extended to the full length (the last
-doubling stops at ``window``).  Each level counts only what the level before
-left over, until no candidates survive.
+length L0 (a quarter of the window for 16 to 63 words, an eighth for 64 to 127,
+and so on) is tried first, what repeats there is extended to 2 * L0, what still
+repeats to 4 * L0, and only what is left to the full length.  Each level counts
+only what the level before left over, until no candidates survive.
 
 Level 1 does not even send every short window.  Each full window is
 represented by the smallest-hashing L0-window inside it; equal full windows
 have equal representatives at equal offsets, so a full window can repeat only
 if its representative does.  Neighbouring windows share representatives, which
 leaves about 2 / (window - L0 + 2) of all short windows: 7 % for 35 words.
+A full window holds its representative's extension of length l to the left or
+to the right, as long as l is at most half of window + L0 + 1; so one of the
+two must repeat at every level.
 
 At the last level, windows in a row that share a representative form a span.
 Equal spans are compared as one row; the windows of one span per group of
 equals, and of spans that are alone, are then compared one by one.  So copies
 of a long passage cost one row per span, not one per word, and a passage that
-a third of all documents hold is counted by partial aggregation.
+a third of all documents hold is counted by partial aggregation.  Repeated
+hashes are written as tables before they are joined, so that Spark may split
+the rows of a hot one.
 
 Rows travel as (two 64-bit document keys, word position, 64-bit hashes).
-Windows are compared by hash; at n candidate windows about n**2 / 2**65 of
-them are taken for repeated wrongly.
+Windows are compared by hashes whose seed is drawn for each run: of n
+candidate windows about n**2 / 2**65 are taken for repeated wrongly, and no
+text can be written to bring that about.
 """
 
 from __future__ import annotations
 
+import secrets
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _kernels as K
+from ._columns import kept_names, with_results
 from ._scratch import Scratch
 
 DEFAULT_WINDOW = 35
+RESULTS = ("n_words", "n_removed", "kept_text")
 
 
-def levels(window: int) -> tuple[int, int, int]:
-    """Lengths of the levels: a quarter, a half, and the whole."""
-    short = max(1, -(-window // 4))
-    return short, min(2 * short, window), window
+def levels(window: int) -> list[int]:
+    """Lengths of the levels: a part of the window, its doublings, and the whole."""
+    parts = max(4, 1 << max(0, (window // 8).bit_length() - 1))
+    lengths = [max(1, -(-window // parts))]
+    while 4 * lengths[-1] <= window + lengths[0] + 1 and 2 * lengths[-1] < window:
+        lengths.append(2 * lengths[-1])
+    return lengths if lengths[-1] == window else [*lengths, window]
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -51,7 +64,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _anchors(words: np.ndarray, first: np.ndarray, window: int):
     """Representative of every full window: (its text, its start, representative position)."""
-    short, _, _ = levels(window)
+    short = levels(window)[0]
     n = len(words) - window + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
@@ -63,45 +76,48 @@ def _anchors(words: np.ndarray, first: np.ndarray, window: int):
     return own[inside], inside, at[inside], hashes
 
 
-def _scan(batch: pa.RecordBatch, text: int = 2):
+def _scan(batch: pa.RecordBatch, seed: int, text: int = 2):
     data, offsets = K.buffers(batch.column(text))
     for i, j in K.slices(offsets):
         off = offsets[i : j + 1] - offsets[i]
         part = data[offsets[i] : offsets[j]]
         starts, ends, first = K.word_spans(part, off)
-        yield i, j, part, starts, ends, first, K.word_hashes(part, starts, ends)
+        yield i, j, part, starts, ends, first, K.word_hashes(part, starts, ends, seed)
 
 
 def _long(a: np.ndarray, null: np.ndarray | None = None) -> pa.Array:
     return pa.array(np.ascontiguousarray(a).view(np.int64) if a.dtype == K.U64 else a.astype(np.int64), mask=null)
 
 
-ANCHORS = "k1 bigint, k2 bigint, pos int, h bigint, lh bigint, rh bigint"
+ANCHORS = "k1 bigint, k2 bigint, pos int, h bigint, wide array<bigint>"
 
 
-def anchor_rows(window: int):
-    """Level 1 rows: one per representative, with its two extensions to double length."""
-    short, double, _ = levels(window)
-    grow = double - short
+def anchor_rows(window: int, seed: int):
+    """Level 1 rows: one per representative, with its extensions to the left and to the right at each middle level."""
+    short, *middle = levels(window)[:-1] or [window]
 
     def run(batches):
         for batch in batches:
             k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-            for i, _, _, _, _, first, words in _scan(batch):
+            for i, _, _, _, _, first, words in _scan(batch, seed):
                 own, _, at, h = _anchors(words, first, window)
                 keep = np.flatnonzero(np.diff(at, prepend=-1))
                 own, at = own[keep], at[keep]
                 if not len(at):
                     continue
-                twice = K.window_hashes(words, double)
                 lo, hi = first[own], first[own + 1]
-                left, right = at - grow, at
-                lh, rh = (twice[np.clip(x, 0, len(twice) - 1)] for x in (left, right))
+                wide, inside = [], []
+                grown, size = h, short
+                for length in middle:
+                    grown, size = K.wider(grown, size, length), length
+                    for start in (at + short - length, at):
+                        fits = (start >= lo) & (start + length <= hi)
+                        wide.append(grown[np.clip(start, 0, len(grown) - 1)] if len(grown) else np.zeros(len(at), K.U64))
+                        inside.append(fits)
                 doc = own + i
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(k1[doc]), pa.array(k2[doc]), pa.array((at - lo).astype(np.int32)), _long(h[at]), _long(lh, left < lo), _long(rh, right + double > hi)],
-                    ["k1", "k2", "pos", "h", "lh", "rh"],
-                )
+                flat = _long(np.stack(wide, axis=1).reshape(-1), ~np.stack(inside, axis=1).reshape(-1)) if wide else pa.array([], pa.int64())
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * len(wide)), flat)
+                yield pa.RecordBatch.from_arrays([pa.array(k1[doc]), pa.array(k2[doc]), pa.array((at - lo).astype(np.int32)), _long(h[at]), lists], ["k1", "k2", "pos", "h", "wide"])
 
     return run
 
@@ -109,9 +125,8 @@ def anchor_rows(window: int):
 SPANS = "rid bigint, start int, span bigint, wins array<bigint>"
 
 
-def span_rows(window: int):
-    """Last level rows: one per surviving representative, with the hashes of its full windows."""
-    short, _, _ = levels(window)
+def span_rows(window: int, seed: int):
+    """Last level rows: one per run of windows with a surviving representative, with the hashes of its full windows."""
 
     def run(batches):
         for batch in batches:
@@ -119,7 +134,7 @@ def span_rows(window: int):
             alive = batch.column(1)
             live_off = alive.offsets.to_numpy()
             live = alive.values.to_numpy(zero_copy_only=False)
-            for i, j, _, _, _, first, words in _scan(batch):
+            for i, j, _, _, _, first, words in _scan(batch, seed):
                 own, start, at, _ = _anchors(words, first, window)
                 if not len(at):
                     continue
@@ -131,10 +146,8 @@ def span_rows(window: int):
                 if not len(at):
                     continue
                 new = np.flatnonzero((np.diff(at, prepend=-1) != 0) | (np.diff(start, prepend=-9) != 1))
-                stop = np.append(new[1:], len(at))
                 wins = full[start]
-                pre = K.prefix(wins, K.WORD_BASE_2)
-                span = K.mix64(K.span_hash(pre, new, stop, K.WORD_BASE_2), 3)
+                span = K.run_hashes(wins, new, seed)
                 doc = own[new]
                 lists = pa.ListArray.from_arrays(pa.array(np.append(new, len(at)).astype(np.int32)), _long(wins))
                 yield pa.RecordBatch.from_arrays(
@@ -192,56 +205,68 @@ def cut_rows(window: int):
     return run
 
 
-def repeated_runs(docs: DataFrame, id_col: str, text_col: str, window: int, work: Scratch) -> DataFrame:
+def repeated_runs(docs: DataFrame, id_col: str, text_col: str, window: int, work: Scratch, seed: int) -> DataFrame:
     """(k1, k2, hits array<struct<start, n>>): runs of n repeated windows from word ``start`` on."""
     text = keyed(docs, id_col, text_col)
 
+    def repeated(hashes: DataFrame, name: str) -> DataFrame:
+        return work.keep(hashes.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), name)
+
     # level 1: representatives of the shortest length
-    first = work.keep(text.mapInArrow(anchor_rows(window), ANCHORS), "level1")
-    again = work.keep(first.groupBy("h").count().where("count > 1").select("h"), "again1")  # a table, so that Spark may split a hot hash of the join
-    second = work.keep(first.join(again, "h", "left_semi").select("k1", "k2", "pos", "lh", "rh"), "level2")
-    work.drop("level1", "again1")
-
-    # level 2: either extension to double length must repeat
-    sides = second.select("k1", "k2", "pos", F.explode(F.array("lh", "rh")).alias("h")).where("h is not null")
-    again = work.keep(sides.groupBy("h").count().where("count > 1").select("h"), "again2")
-    alive = sides.join(again, "h", "left_semi").groupBy("k1", "k2").agg(F.collect_set("pos").alias("alive"))
+    left = work.keep(text.mapInArrow(anchor_rows(window, seed), ANCHORS), "level1")
+    again = repeated(left.select("h", F.lit(1).alias("n")), "again1")
+    survivors = left.join(again, "h", "left_semi").select("k1", "k2", "pos", "wide")
+
+    # middle levels: of the extensions to double the length, one must repeat
+    middle = levels(window)[1:-1]
+    for k, _ in enumerate(middle):
+        left, seen = work.keep_observed(survivors, f"level{k + 2}", n=F.count(F.lit(1)))
+        work.drop(f"level{k + 1}", f"again{k + 1}")
+        survivors = left.select("k1", "k2", "pos", "wide")
+        if not seen["n"]:
+            break
+        sides = left.select("k1", "k2", "pos", "wide", F.explode(F.slice("wide", 2 * k + 1, 2)).alias("h")).where("h is not null")
+        again = repeated(sides.select("h", F.lit(1).alias("n")), f"again{k + 2}")
+        survivors = sides.join(again, "h", "left_semi").select("k1", "k2", "pos", "wide")
+    alive = survivors.groupBy("k1", "k2").agg(F.collect_set("pos").alias("alive"))
     alive = work.keep(alive.withColumn("rid", F.monotonically_increasing_id()), "alive")
-    work.drop("level2", "again2")
+    work.drop(*[f"{n}{k + 1}" for k in range(len(middle) + 1) for n in ("level", "again")])
 
-    # level 3: spans of full windows, equal spans as one
+    # last level: spans of full windows, equal spans as one
     third = text.join(alive, ["k1", "k2"])
-    spans = work.keep(third.select("rid", "alive", "text").mapInArrow(span_rows(window), SPANS), "spans")
+    spans = work.keep(third.select("rid", "alive", "text").mapInArrow(span_rows(window, seed), SPANS), "spans")
     groups = work.keep(spans.groupBy("span").agg(F.count(F.lit(1)).alias("n"), F.first("wins").alias("wins")), "groups")
     single = groups.select("span", "n", F.posexplode("wins").alias("i", "h"))
-    again = single.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
+    again = repeated(single, "again")
     lone = single.where("n = 1").join(again, "h", "left_semi").select("span", "i", F.lit(1).alias("len"))
     whole = groups.where("n > 1").select("span", F.lit(0).alias("i"), F.size("wins").alias("len"))
-    hits = spans.select("rid", "start", "span").join(lone.union(whole), "span").select("rid", F.struct((F.col("start") + F.col("i")).alias("start"), F.col("len").alias("n")).alias("hit"))
+    found = work.keep(lone.union(whole), "found")
+    hits = spans.select("rid", "start", "span").join(found, "span").select("rid", F.struct((F.col("start") + F.col("i")).alias("start"), F.col("len").alias("n")).alias("hit"))
     runs = hits.groupBy("rid").agg(F.collect_list("hit").alias("hits"))
     out = work.keep(alive.select("rid", "k1", "k2").join(runs, "rid").drop("rid"), "hits")
-    work.drop("spans", "groups", "alive")
+    work.drop("spans", "groups", "alive", "again", "found")
     return out
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = DEFAULT_WINDOW, carry: list[str] | None = None) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = DEFAULT_WINDOW, carry: list[str] | None = None, seed: int | None = None) -> DataFrame:
     """Remove every word covered by a repeated window of ``window`` words.
 
     Returns the rows and columns of ``docs`` (or those named in ``carry``) and n_words (long), n_removed
     (long), kept_text (words that stay, joined by one space).  A null or empty
     text has no words: 0, 0 and "".  Texts shorter than the window lose
     nothing.  Repeated rows are copies of each other like any other rows, so a
-    text that occurs twice loses all windows.  Ids may be null or repeated.
-    Input columns named like the three results are replaced by them.
+    text that occurs twice loses all windows.  Ids may be null or repeated.  An
+    empty table gives an empty table.  Input columns named like the three
+    results, in any case, are replaced by them.  ``seed`` of the hashes is
+    random if None; it does not change the result.
     """
     spark = docs.sparkSession
     work = Scratch(spark, "substring")
-    extra = [c for c in (docs.columns if carry is None else carry) if c not in ("n_words", "n_removed", "kept_text")]
-    hits = repeated_runs(docs, id_col, text_col, window, work)
+    extra = kept_names(docs, RESULTS, carry)
+    hits = repeated_runs(docs, id_col, text_col, window, work, secrets.randbits(63) if seed is None else seed)
     i, t = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     packed = docs.select(F.xxhash64(i, t).alias("k1"), F.xxhash64(t, i, F.lit(1)).alias("k2"), t.alias("_text"), F.struct(*[F.col(f"`{c}`") for c in extra]).alias("_row"))
     none = F.array().cast("array<struct<start:int,n:int>>")
     joined = packed.join(hits, ["k1", "k2"], "left").select("_text", F.coalesce("hits", none).alias("_hits"), "_row")
-    kind = joined.schema["_row"].dataType.simpleString()
-    done = joined.mapInArrow(cut_rows(window), f"_row {kind}, n_words bigint, n_removed bigint, kept_text string")
+    done = joined.mapInArrow(cut_rows(window), with_results(joined, n_words="long", n_removed="long", kept_text="string"))
     return done.select("_row.*", "n_words", "n_removed", "kept_text")

@@ -17,9 +17,10 @@ file, then decompresses only the frames of the documents it wants and checks
 each frame's checksum.
 
 Shards are written by the executors into a folder that the cluster shares.
-Each attempt at a task writes a file of its own name; the manifest lists the
+Each attempt at a task writes files of its own names; the manifest lists the
 files of the attempts that ended, so a lost executor or a speculative copy
-leaves at most an unlisted file behind.
+leaves at most unlisted files behind.  A task begins a new shard after
+SHARD_DOCS documents or SHARD_IDS ids, so that an index always fits in memory.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ import json
 import os
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._scratch import Scratch, small_batches
-from ._units import PieceTable, text_slices
+from ._units import PieceTable, WholeTexts, text_slices
 
 #: Fixed values of the public seekable zstandard format.
 SKIPPABLE_INDEX = 0x184D2A50
@@ -50,6 +52,8 @@ SEEK_MAGIC = 0x8F92EAB1
 HAS_CHECKSUM = 0x80
 
 FRAME_IDS = 1 << 16
+#: A shard is closed once it holds so many documents or ids.
+SHARD_DOCS, SHARD_IDS = 1 << 20, 1 << 28
 LEVEL = 3
 
 
@@ -66,15 +70,18 @@ class ShardWriter:
         self.waiting: list[np.ndarray] = []
         self.n_waiting = 0
         self.seek: list[tuple[int, int, int]] = []
-        self.index: list[tuple[int, int, int]] = []
-        self.ids: list[int | None] = []
+        self.index, self.ids, self.null = array("q"), array("q"), array("b")
         self.n_ids = 0
 
+    def __len__(self) -> int:
+        return len(self.ids)
+
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         if self.n_waiting and self.n_waiting + len(ids) > FRAME_IDS:
             self.flush()
-        self.index.append((len(self.seek), self.n_waiting, len(ids)))
-        self.ids.append(doc_id)
+        self.index.extend((len(self.seek), self.n_waiting, len(ids)))
+        self.ids.append(doc_id or 0)
+        self.null.append(doc_id is None)
         self.waiting.append(ids)
         self.n_waiting += len(ids)
         self.n_ids += len(ids)
@@ -90,9 +97,8 @@ class ShardWriter:
 
     def close(self) -> None:
         self.flush()
-        null = np.array([i is None for i in self.ids], dtype=np.int8)
-        value = np.array([i or 0 for i in self.ids], dtype="<i8")
-        body = struct.pack("<BQ", self.width, len(self.index)) + self.pack.compress(np.array(self.index, dtype="<i8").tobytes() + null.tobytes() + value.tobytes())
+        whole = np.array(self.index, dtype="<i8").tobytes() + self.null.tobytes() + np.array(self.ids, dtype="<i8").tobytes()
+        body = struct.pack("<BQ", self.width, len(self)) + self.pack.compress(whole)
         self.out.write(struct.pack("<II", SKIPPABLE_INDEX, len(body)) + body)
         table = b"".join(struct.pack("<III", *e) for e in self.seek) + struct.pack("<IBI", len(self.seek), HAS_CHECKSUM, SEEK_MAGIC)
         self.out.write(struct.pack("<II", SKIPPABLE_SEEK, len(table)) + table)
@@ -144,14 +150,38 @@ class ShardReader:
         return len(self.index)
 
 
+#: What a file must say for its texts to be cut (fixed values): words, single digits and runs of other signs,
+#: with white space dropped and only these normalizers before.
+CUTTABLE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+CUTTABLE_NORMALIZERS = ("NFC", "Replace", "Lowercase")
+
+
+def is_cuttable(spec: dict) -> bool:
+    """Whether no token of this tokenizers file reaches across the cuts of ``_units.cuts``."""
+    normalizers = [n for n in _parts(spec["normalizer"], "normalizers")]
+    steps = _parts(spec["pre_tokenizer"], "pretokenizers")
+    plain = all(n["type"] in CUTTABLE_NORMALIZERS and n.get("pattern", {"Regex": r"\s+"}) == {"Regex": r"\s+"} and n.get("content", " ") == " " for n in normalizers)
+    split = [s for s in steps if s["type"] != "ByteLevel"]
+    bytes_only = all(not s["use_regex"] and not s["add_prefix_space"] for s in steps if s["type"] == "ByteLevel")
+    one = len(split) == 1 and (split[0]["type"], split[0].get("pattern"), split[0].get("behavior"), split[0].get("invert")) == ("Split", {"Regex": CUTTABLE_SPLIT}, "Removed", True)
+    added = all(t["content"].startswith("<|") and not t["lstrip"] and not t["rstrip"] for t in spec["added_tokens"])
+    return plain and bytes_only and one and added and spec["model"]["type"] == "BPE"
+
+
+def _parts(step: dict | None, name: str) -> list[dict]:
+    return [] if step is None else step.get(name, [step])
+
+
 @lru_cache(maxsize=2)
-def _library_table(path: str) -> tuple[PieceTable, int]:
+def _library_table(path: str) -> tuple[PieceTable | WholeTexts, int]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
 
     ends_word = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
     ends_word[[i for t, i in tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
@@ -175,52 +205,64 @@ def _library_table(path: str) -> tuple[PieceTable, int]:
                 parts[k] = p
         for k, p in zip(rest, one_by_one([texts[k] for k in rest]), strict=True):
             parts[k] = np.array(p, dtype=np.uint32)
-        return np.concatenate(parts or [np.zeros(0, np.uint32)]).astype(np.uint32), np.array([len(p) for p in parts], dtype=np.int64)
+        return flat_ids(parts)
 
-    lower = any(n.get("type") == "Lowercase" for n in _normalizers(path))
-    return PieceTable(encode, keep_spaces=False, lower=lower), tokenizer.get_vocab_size(with_added_tokens=True)
+    size = tokenizer.get_vocab_size(with_added_tokens=True)
+    if not is_cuttable(spec):
+        return WholeTexts(lambda texts: flat_ids(one_by_one([t.decode("utf-8") for t in texts]))), size
+    return PieceTable(encode, keep_spaces=False, lower=any(n["type"] == "Lowercase" for n in _parts(spec["normalizer"], "normalizers"))), size
 
 
-def _normalizers(path: str) -> list[dict]:
-    with open(path, encoding="utf-8") as f:
-        found = json.load(f)["normalizer"] or {}
-    return found.get("normalizers", [found])
+def flat_ids(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in one array, and how many each text has."""
+    arrays = [np.asarray(p, dtype=np.uint32) for p in parts]
+    return np.concatenate(arrays or [np.zeros(0, np.uint32)]), np.array([len(p) for p in parts], dtype=np.int64)
 
 
-MANIFEST = "shard int, file string, n_docs bigint, n_tokens bigint, width int"
+MANIFEST = "shard int, part int, file string, n_docs bigint, n_tokens bigint, width int"
 
 
-def _write(folder: str, vocabulary: str, end_id: int):
+def _write(folder: str, vocabulary: str, end_id: int, most_docs: int, most_ids: int):
     def run(batches):
         table, size = _library_table(vocabulary)
+        width = 2 if max(size - 1, end_id) < 1 << 16 else 4
         shard = TaskContext.get().partitionId()
         store, root = fs.FileSystem.from_uri(folder)
-        name = f"shard-{shard:06d}-{uuid.uuid4().hex}.zst"
-        writer = None
         end = np.array([end_id], dtype=np.uint32)
+        attempt, part, writer, done = uuid.uuid4().hex, 0, None, []
+
+        def closed() -> tuple:
+            writer.close()
+            writer.out.close()
+            return shard, part, name, len(writer), writer.n_ids, width
+
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             for i, j, data, offsets in text_slices(batch.column(1)):
-                if writer is None:
-                    store.create_dir(root, recursive=True)
-                    out = store.open_output_stream(f"{root}/{name}", compression=None)
-                    writer = ShardWriter(out, 2 if max(size - 1, end_id) < 1 << 16 else 4)
                 ids, at = table.ids(data, offsets)
                 for d in range(j - i):
+                    if writer is None:
+                        store.create_dir(root, recursive=True)
+                        name = f"shard-{shard:06d}-{part:04d}-{attempt}.zst"
+                        writer = ShardWriter(store.open_output_stream(f"{root}/{name}", compression=None), width)
                     writer.add(doc_ids[i + d], np.concatenate((ids[at[d] : at[d + 1]], end)))
+                    if len(writer) >= most_docs or writer.n_ids >= most_ids:
+                        done.append(closed())
+                        writer, part = None, part + 1
         if writer is not None:
-            writer.close()
-            out.close()
-            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((shard, pa.int32()), (name, pa.string()), (len(writer.index), pa.int64()), (writer.n_ids, pa.int64()), (writer.width, pa.int32()))], ["shard", "file", "n_docs", "n_tokens", "width"])
+            done.append(closed())
+        kinds = (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in done], t) for k, t in enumerate(kinds)], [c.split()[0] for c in MANIFEST.split(", ")])
 
     return run
 
 
-def write_token_frames(docs: DataFrame, folder: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, shards: int | None = None) -> DataFrame:
+def write_token_frames(docs: DataFrame, folder: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, shards: int | None = None, shard_docs: int = SHARD_DOCS, shard_ids: int = SHARD_IDS) -> DataFrame:
     """Tokenise whole texts and write shards in ascending order of id; returns the manifest.
 
     Texts are encoded with the tokenizers library's file ``vocabulary``, no
-    special tokens added, and ``end_id`` ends each document; a null or empty
+    special tokens added: distinct words once where its rules allow cutting
+    texts into words (see ``is_cuttable``), else whole texts; ``end_id`` ends each document; a null or empty
     text is its end id alone.  Ids ascend from shard to shard and within each,
     null ids first; rows with equal ids are ordered by a hash of the text and
     the text, so a repeated id is spread over shards unless its texts are equal
@@ -232,14 +274,14 @@ def write_token_frames(docs: DataFrame, folder: str, vocabulary: str, id_col: st
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).withColumn("tie", F.xxhash64("text"))
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
-    made = dealt.mapInArrow(_write(f"{folder}/frames", vocabulary, end_id), MANIFEST)
+    made = dealt.mapInArrow(_write(f"{folder}/frames", vocabulary, end_id, shard_docs, shard_ids), MANIFEST)
     made.write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
 
 
 def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Shards in order with ``start``, the number of ids in all shards before."""
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1)
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
