@@ -115,3 +115,59 @@ def test_queries_on_whole_table(spark):
     got = [tuple(r) for r in op6_onebit_search(spark, d).collect()]
     want = brute(rows, lambda i: i % 20 == 0, 20, lambda a, b: float(a @ b), zero_ok=False)
     assert len(got) == len(want) and recall(got, want) >= 0.95
+
+
+def test_the_query_of_a_repeated_id_is_the_least_vector_in_any_order(spark):
+    rows = sample(60, 8, 2)
+    rows += [(0, [2.0] * 8, 9, "z"), (0, [-2.0] + [1.0] * 7, 9, "z"), (7, [3.0] * 8, 9, "z"), (7, [3.0] * 8, 9, "z")]
+    for search in (KD.kd_top_k, OB.onebit_top_k):
+        a, b = (sorted(tuple(r) for r in search(spark.createDataFrame(x, SCHEMA), F.col("vec_id") == 0, k=3).collect()) for x in (rows, rows[::-1]))
+        assert a == b and len(a) == 3
+    least = np.array([-2.0] + [1.0] * 7)
+    assert [r.vec_id for r in KD.kd_top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0, k=2).orderBy("rank").collect()] == [7, 7]
+    want = max((float(np.array(v) @ least), -i) for i, v, *_ in rows if i != 0)[0]
+    assert abs(OB.onebit_top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0, k=1).first().score - want) < 1e-6
+
+
+def test_vectors_that_many_rows_share_fill_several_shards(spark, small_blocks):
+    rows = [(i, [1.0, 2.0, 3.0], 1, "same") for i in range(400)] + [(400 + i, [float(i % 7), 1.0, 0.0], 1, "x") for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(tuple(r) for r in KD.kd_top_k(df, F.col("vec_id") % 50 == 0, k=5).collect())
+    assert got == brute(rows, lambda i: i % 50 == 0, 5, integer)
+
+
+def test_splits_place_every_row_and_clusters_are_not_opened():
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=(16, 12)) * 4
+    rows = np.floor((centre[np.arange(4096) % 16] + rng.normal(size=(4096, 12)) * 0.1) * 256)
+    nodes = B._split(rows, 4)
+    assert len(nodes) == 15
+    assert KD.opened_share(rows, rows[::64], 5, leaf=64) < 0.2
+    even = rng.normal(size=(2000, 64))
+    assert KD.opened_share(np.floor(even * 256), np.floor(even[:20] * 256), 5, leaf=64) > 0.9
+
+
+def test_population_counts_equal_the_products_of_signs():
+    rng = np.random.default_rng(9)
+    for dim in (1, 8, 64, 65, 200):
+        rows, queries = rng.normal(size=(50, dim)), rng.normal(size=(6, dim))
+        index, asked = OB.encode(rows), OB.Asked(queries)
+        signs = np.where((rows - index["mean"]) @ OB.rotation(dim).T > 0, 1.0, -1.0)
+        number = sum(np.unpackbits(p.view(np.uint8), axis=1)[:, :dim].astype(float) * 2**b for b, p in enumerate(asked.planes))
+        rounded = asked.low[:, None] + asked.step[:, None] * number
+        want = (queries @ index["mean"])[:, None] + rounded @ signs.T / np.sqrt(dim) * index["factor"]
+        assert np.allclose(OB.estimate(index, queries)[0], want, atol=1e-3)
+        assert np.abs(rounded - queries @ OB.rotation(dim).T).max() <= asked.step.max() / 2 + 1e-9
+
+
+def test_at_most_35_percent_are_scored_exactly():
+    import pyarrow.parquet as pq
+
+    t = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    x, ids = np.array(t.column("embedding").to_pylist(), dtype=np.float64), t.column("vec_id").to_numpy()
+    q = ids % 20 == 0
+    results, scored = OB.search_codes([(ids, OB.encode(x))], lambda n: x, ids[q], x[q], 20, OB.REACH)
+    score = x[q] @ x.T
+    score[ids[q][:, None] == ids[None, :]] = -np.inf
+    hits = [len(set(r[0]) & set(ids[np.argsort(-s)[:20]])) for r, s in zip(results, score, strict=True)]
+    assert np.mean(hits) / 20 >= 0.95 and scored <= 0.35 * q.sum() * len(ids)

@@ -8,11 +8,15 @@ query is estimated without bias by
 
     <q, o>  ~  <q, c> + |r| * <x, q'> / f,     q' the rotated query,
 
-and its error is below |r| * |q| * sqrt((1 - f**2) / f**2) / sqrt(D - 1) times
-EPSILON except with small probability.  For each query the kth greatest lower
-bound is a floor; vectors whose upper bound reaches it are scored again with
-their original components in double precision.  The kth exact score is carried
-from shard to shard and raises the floor.
+and its standard error is |r| * |q| * sqrt((1 - f**2) / f**2) / sqrt(D - 1);
+bounds lie REACH of these on either side.  Queries are rounded to PLANES bits per
+coordinate, so <x, q'> is a sum of population counts of the code and one bit
+plane of the query at a time.
+
+A task sees the codes of all its shards first: the kth greatest lower bound
+of a query is its floor.  Only then are original vectors read, and only
+those whose upper bound reaches the floor are scored, in double precision; the
+kth exact score raises the floor from shard to shard.
 """
 
 from __future__ import annotations
@@ -29,8 +33,15 @@ from . import _blocks as B
 from ._scratch import Scratch
 from .kd_search import ranked
 
-#: Standard errors within which an estimate is trusted.
+#: Standard errors within which all but a few in a thousand estimates lie.
 EPSILON = 3.0
+#: Standard errors that the search allows for.  Of the k nearest about one in a hundred is farther off
+#: than that below the floor; measured: recall 0.996 with 31 % of 2,000 vectors scored, 0.992 with 14 % of 10,256.
+REACH = 1.5
+#: Bits of a query's coordinate.
+PLANES = 6
+#: Queries whose estimates a task holds at once.
+AT_ONCE = 128
 SEED = 20240517
 
 
@@ -41,6 +52,15 @@ def rotation(dim: int) -> np.ndarray:
     return q * np.where(np.diag(r) < 0, -1.0, 1.0)
 
 
+def words(bits: np.ndarray) -> np.ndarray:
+    """Rows of booleans as rows of 64-bit words, the last filled up with zeros."""
+    n, dim = bits.shape
+    full = np.zeros((n, -(-dim // 64) * 8), dtype=np.uint8)
+    packed = np.packbits(bits, axis=1)
+    full[:, : packed.shape[1]] = packed
+    return full.view("<u8")
+
+
 def encode(rows: np.ndarray) -> dict[str, np.ndarray]:
     """Packed codes of all rows, their factor |r| / f and error scale, and the mean."""
     dim = rows.shape[1]
@@ -48,74 +68,106 @@ def encode(rows: np.ndarray) -> dict[str, np.ndarray]:
     away = rows - mean
     length = np.sqrt((away * away).sum(axis=1))
     turned = away @ rotation(dim).T
-    sign = turned > 0
     f = np.abs(turned).sum(axis=1) / np.sqrt(dim) / np.where(length > 0, length, 1.0)
     f = np.where(length > 0, np.clip(f, 1e-9, 1.0), 1.0)
     error = length * np.sqrt(np.maximum(1 - f * f, 0)) / f / np.sqrt(max(dim - 1, 1))
-    return {"codes": np.packbits(sign, axis=1), "factor": length / f, "error": error, "mean": mean}
-
-
-def estimate(shard: dict[str, np.ndarray], queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated inner products (queries x rows) from packed bits, and the error scale of each row per |q|."""
-    dim = queries.shape[1]
-    bits = np.unpackbits(shard["codes"], axis=1, count=dim).astype(np.float32)
-    turned = queries @ rotation(dim).T
-    dots = 2 * (turned.astype(np.float32) @ bits.T) - turned.sum(axis=1, keepdims=True).astype(np.float32)
-    base = queries @ shard["mean"]
-    return base[:, None] + dots * (shard["factor"] / np.sqrt(dim))[None, :], shard["error"]
-
-
-def _shard(ids: np.ndarray, rows: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    return {"codes": words(turned > 0), "factor": (length / f).astype(np.float32), "error": error.astype(np.float32), "mean": mean}
+
+
+class Asked:
+    """Rotated queries as bit planes: coordinate = low + step * number."""
+
+    def __init__(self, queries: np.ndarray):
+        self.queries = queries
+        turned = queries @ rotation(queries.shape[1]).T
+        self.low = turned.min(axis=1)
+        spread = turned.max(axis=1) - self.low
+        self.step = np.where(spread > 0, spread, 1.0) / (2**PLANES - 1)
+        number = np.rint((turned - self.low[:, None]) / self.step[:, None]).astype(np.int64)
+        self.planes = [words((number >> p) & 1 == 1) for p in range(PLANES)]
+        self.total = self.low * queries.shape[1] + self.step * number.sum(axis=1)
+
+
+def estimate(shard: dict[str, np.ndarray], queries: np.ndarray | Asked) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated inner products (queries x rows) from population counts of packed bits, and the error scale of each row per |q|."""
+    asked = queries if isinstance(queries, Asked) else Asked(queries)
+    codes, dim = np.ascontiguousarray(shard["codes"].T), asked.queries.shape[1]
+    ones = np.bitwise_count(codes).sum(axis=0, dtype=np.float32)
+    out = np.empty((len(asked.queries), codes.shape[1]), dtype=np.float32)
+    base = asked.queries @ shard["mean"]
+    scale = shard["factor"] / np.float32(np.sqrt(dim))
+    for i in range(len(out)):
+        count = np.zeros(codes.shape[1], dtype=np.uint32)
+        for p, plane in enumerate(asked.planes):
+            for w, code in enumerate(codes):
+                count += np.bitwise_count(code & plane[i, w]).astype(np.uint32) << np.uint32(p)
+        # a set bit counts +1 and a clear one -1
+        dots = 2 * (np.float32(asked.low[i]) * ones + np.float32(asked.step[i]) * count) - np.float32(asked.total[i])
+        out[i] = base[i] + dots * scale
+    return out, shard["error"]
+
+
+def _shard(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
     out = io.BytesIO()
     np.savez(out, **encode(rows))
-    return ids.tobytes(), np.ascontiguousarray(rows).tobytes(), out.getvalue()
+    return ids, rows, out.getvalue()
 
 
-def _block(ids: np.ndarray, rows: np.ndarray) -> tuple[bytes, bytes]:
-    return ids.tobytes(), np.ascontiguousarray(rows).tobytes()
+def kth_greatest(values: np.ndarray, k: int) -> float:
+    return float(np.partition(values, len(values) - k)[len(values) - k]) if len(values) >= k else -np.inf
 
 
-def _search(k: int, epsilon: float):
+def search_codes(shards: list[tuple[np.ndarray, dict]], read, own: np.ndarray, queries: np.ndarray, k: int, epsilon: float) -> tuple[list, int]:
+    """Best (ids, scores) of each query over some shards, and the number of vectors scored exactly.
+
+    ``shards`` holds ids and index of each, ``read(s)`` gives its vectors.
+    """
+    norm = np.sqrt((queries * queries).sum(axis=1))
+    results, scored, vectors = [], 0, {}
+    for a in range(0, len(own), AT_ONCE):
+        asked = Asked(queries[a : a + AT_ONCE])
+        about = [estimate(index, asked)[0] for _, index in shards]
+        for i in range(len(asked.queries)):
+            me, reach = own[a + i], np.float32(epsilon * norm[a + i])
+            slack = [index["error"] * reach for _, index in shards]
+            low = np.concatenate([np.where(ids == me, -np.inf, g[i] - s) for (ids, _), g, s in zip(shards, about, slack, strict=True)])
+            floor = kth_greatest(low, k)
+            top_ids, top = np.zeros(0, np.int64), np.zeros(0)
+            for n, (ids, _) in enumerate(shards):
+                some = np.flatnonzero((about[n][i] + slack[n] >= floor) & (ids != me))
+                if not len(some):
+                    continue
+                if n not in vectors:
+                    vectors[n] = read(n)
+                scored += len(some)
+                all_ids, scores = np.concatenate((top_ids, ids[some])), np.concatenate((top, vectors[n][some] @ queries[a + i]))
+                best = B.best_rows(scores, all_ids, k)
+                top_ids, top = all_ids[best], scores[best]
+                if len(top) == k:
+                    floor = max(floor, float(top[-1]))
+            results.append((top_ids, top))
+    return results, scored
+
+
+def _search(k: int, epsilon: float, folder: str):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out_q, out_v, out_s = [], [], []
-        shards = sorted(right.select(["shard", "ids", "vectors", "extra"]).to_pylist(), key=lambda r: r["shard"])
-        for row in left.select(["ids", "vectors"]).to_pylist():
-            dim = left.column("dim")[0].as_py()
-            own = np.frombuffer(row["ids"], dtype=np.int64)
-            queries = np.frombuffer(row["vectors"], dtype=np.float64).reshape(len(own), dim)
-            norm = np.sqrt((queries * queries).sum(axis=1))
-            best = [(np.zeros(0, np.int64), np.zeros(0)) for _ in own]
-            for s in shards:
-                ids = np.frombuffer(s["ids"], dtype=np.int64)
-                rows = np.frombuffer(s["vectors"], dtype=np.float64).reshape(len(ids), dim)
-                with np.load(io.BytesIO(s["extra"])) as f:
-                    index = {name: f[name] for name in f.files}
-                for a in range(0, len(own), 128):
-                    about, error = estimate(index, queries[a : a + 128])
-                    for i, guess in enumerate(about, a):
-                        slack = error * (epsilon * norm[i])
-                        low = np.where(ids == own[i], -np.inf, guess - slack)
-                        floor = np.partition(low, len(low) - k)[len(low) - k] if len(low) > k else -np.inf
-                        had_ids, had = best[i]
-                        if len(had) == k:
-                            floor = max(floor, had[-1])
-                        some = np.flatnonzero((guess + slack >= floor) & (ids != own[i]))
-                        if not len(some):
-                            continue
-                        new_ids, new = np.concatenate((had_ids, ids[some])), np.concatenate((had, rows[some] @ queries[i]))
-                        top = B.best_rows(new, new_ids, k)
-                        best[i] = new_ids[top], new[top]
-            for i, (found, scores) in enumerate(best):
-                out_q.append(np.full(len(found), own[i]))
-                out_v.append(found)
+        for dim, own, queries, rows in B.parts(left, right):
+            shards = []
+            for r in rows:
+                with np.load(io.BytesIO(r["extra"])) as f:
+                    shards.append((np.frombuffer(r["ids"], dtype=np.int64), {name: f[name] for name in f.files}))
+            results, _ = search_codes(shards, lambda n, rows=rows, dim=dim: B.read_vectors(folder, rows[n]["file"], dim), own, queries, k, epsilon)
+            for me, (ids, scores) in zip(own, results, strict=True):
+                out_q.append(np.full(len(ids), me))
+                out_v.append(ids)
                 out_s.append(scores)
-        cat = lambda x, t: pa.array(np.concatenate(x) if x else np.zeros(0), t)
-        return pa.table({"query_id": cat(out_q, pa.int64()), "vec_id": cat(out_v, pa.int64()), "score": cat(out_s, pa.float64())})
+        return B.found(out_q, out_v, out_s, pa.float64())
 
     return run
 
 
-def onebit_top_k(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", epsilon: float = EPSILON) -> DataFrame:
+def onebit_top_k(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", epsilon: float = REACH) -> DataFrame:
     """Each query's k nearest by inner product, as found: query_id, rank, vec_id, score.
 
     Queries are the rows where ``is_query``; candidates are all rows of another
@@ -124,13 +176,13 @@ def onebit_top_k(table: DataFrame, is_query: Column, k: int = 20, id_col: str =
     the smaller id.  A query with fewer candidates gets all, with none no rows.
     Rows with a null id, or a vector that is null, empty, zero or holds a null
     or non-finite component, take no part.  Repeated rows are repeated
-    candidates; rows of one id are one another's own.  Other columns are
-    ignored.
+    candidates; rows of one id are one another's own, and the one whose vector
+    comes first, component by component, asks.  Other columns are ignored.
     """
     work = Scratch(table.sparkSession, "onebit")
     some = lambda df: df.where(F.exists("vec", lambda x: x != 0))
     rows = some(B.usable(table, id_col, vector_col))
-    asked = some(B.usable(table.where(is_query), id_col, vector_col)).dropDuplicates(["id"])
-    shards = work.keep(B.pack(rows, B.SHARD_ROWS, "shard", _shard, B.SHARDS), "shards")
-    blocks = work.keep(B.pack(asked, B.BLOCK_ROWS, "block", _block, B.BLOCKS), "blocks")
-    return ranked(B.search(blocks, shards, _search(k, epsilon), "double"), k)
+    asked = B.one_per_id(some(B.usable(table.where(is_query), id_col, vector_col)))
+    shards, n_shards = B.make_shards(rows, _shard, work, spatial=False)
+    blocks, n_blocks = B.make_blocks(asked, n_shards, work)
+    return ranked(B.search(blocks, n_blocks, shards, n_shards, _search(k, epsilon, work.path("vectors")), "double"), k)
