@@ -14,8 +14,11 @@ so counts are off by less than one document and, because sizes are in order,
 words hardly more.
 
 The order is never sorted in one task: ranks are the row number within a cell
-(source, size class, hash byte) plus the rows of all cells before, and cells
-per source are bounded by their definition, however large the source.
+(source, size class, hash byte) plus the rows of all cells before.  Those are
+summed over the size classes of a source (at most 16 per power of two) and
+then over the 256 cells of a class, so neither sum grows with the source.
+Sources, one row each, are put in order in one task: that row count, not the
+documents', bounds it.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._columns import kept_names
 from ._scratch import Scratch
 
 WEIGHTS = (5, 2, 1)
@@ -49,11 +53,12 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = C
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (turn + 1).cast("int"))
     ratio = (cap * F.col("source_size")).cast("double") / F.col("w")
     rising = Window.orderBy("ratio", F.col("source").asc_nulls_last())
-    here, before = rising.rowsBetween(0, Window.unboundedFollowing), rising.rowsBetween(Window.unboundedPreceding, -1)
+    before = rising.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = sources.withColumn("w", weight).withColumn("ratio", ratio)
     room = (F.sum("source_size").over(whole) - cap * F.coalesce(F.sum("source_size").over(before), F.lit(0))).cast("double")
-    level = ranked.withColumn("level", room / F.sum("w").over(here))
+    weight_left = F.sum("w").over(whole) - F.coalesce(F.sum("w").over(before), F.lit(0))  # a frame to the end would be added up anew for every row
+    level = ranked.withColumn("level", room / weight_left)
     common = level.withColumn("common", F.max(F.when(F.col("ratio") >= F.col("level"), F.col("level"))).over(whole))
     target = F.least((cap * F.col("source_size")).cast("double"), F.col("common") * F.col("w"))
     return common.select("source", "source_size", target.alias("target"))
@@ -68,18 +73,22 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order.  Documents of no words may be emitted but take no words; a mix of no
     words has targets of 0 and no copies.  Ids may be null or repeated: rows
     equal in id and text are interchangeable, and the rows as a whole are the
-    same in every run.  Input columns named like results are replaced.
+    same in every run.  An empty table gives an empty table.  Input columns
+    named like results, in any case, are replaced.
     """
     work = Scratch(docs.sparkSession, "mix")
-    names = [c for c in (docs.columns if carry is None else carry) if c not in RESULTS]
+    names = kept_names(docs, RESULTS, carry)
     key = F.concat_ws(":", F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("~")), F.coalesce(F.md5(F.col(f"`{text_col}`")), F.lit("~")))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(f"`{source_col}`").alias("_source"), word_count(F.col(f"`{text_col}`")).alias("_size"), F.md5(key).alias("_hash"))
     rows = rows.withColumn("_class", size_class(F.col("_size"))).withColumn("_cell", F.substring("_hash", 1, 2))
     rows = work.keep(rows, "rows")
 
     cells = work.keep(rows.groupBy("_source", "_class", "_cell").agg(F.count(F.lit(1)).alias("n"), F.sum("_size").alias("words")), "cells")
-    before = Window.partitionBy("_source").orderBy("_class", "_cell").rowsBetween(Window.unboundedPreceding, -1)
-    base = cells.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    running = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    classes = cells.groupBy("_source", "_class").agg(F.sum("n").alias("n")).withColumn("below", F.coalesce(F.sum("n").over(running("_source").orderBy("_class")), F.lit(0)))
+    classes = classes.select(F.col("_source").alias("s"), F.col("_class").alias("c"), "below")
+    within = F.coalesce(F.sum("n").over(running("_source", "_class").orderBy("_cell")), F.lit(0))
+    base = cells.withColumn("within", within).join(classes, F.col("_source").eqNullSafe(F.col("s")) & (F.col("_class") == F.col("c"))).drop("s", "c").withColumn("base", F.col("below") + F.col("within"))
     aims = targets(cells.groupBy(F.col("_source").alias("source")).agg(F.sum("words").alias("source_size")), weights, cap)
     same = F.col("_source").eqNullSafe(F.col("source"))
     plan = base.join(aims, same).select(F.col("_source").alias("s"), F.col("_class").alias("c"), F.col("_cell").alias("e"), "base", "source_size", "target")
