@@ -18,7 +18,8 @@ goes on, so thousands of copies cost one row.
 3. *Exact check.*  What is left is confirmed on the full sets.
 
 Large buckets are not compared all against all.  First each class is compared
-with one leader, the smallest class of the bucket whose sketch is nearest;
+with one leader, the one of nearest sketch among those of its buckets, where a
+bucket's leader is its class that shares buckets with the most others;
 confirmed links are contracted to components.  A bucket in which all members
 now share a component is settled.  In the others, classes of different
 components are compared, first by sketch, then on full sets, inside tasks of
@@ -276,14 +277,16 @@ def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = signed.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("k1", "k2")).alias("key"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = work.keep(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
+    # the leader of a bucket is its class with the most company over all its buckets: of a text and its variants that is the text
     rows = classes.select("cid", F.explode("bands").alias("band"))
-    leaders = rows.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("leader")).where("size > 1")
-    leaders = work.keep(leaders, "leaders")  # a table, so that Spark may split a hot band of the join
-    members = work.keep(rows.join(leaders, "band"), "members")
+    sizes = work.keep(rows.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")  # a table, so that Spark may split a hot band of the join
+    members = rows.join(sizes, "band").withColumn("pull", F.sum("size").over(Window.partitionBy("cid")))
+    members = work.keep(members.select("band", "cid", "pull"), "members")
+    leaders = work.keep(members.groupBy("band").agg(F.max(F.struct("pull", "cid")).alias("l")).select("band", F.col("l.cid").alias("leader")), "leaders")
     facts = classes.select("cid", "n", "sketch")
 
     limit = sketch_limit(percent / 100)
-    star = members.where("cid <> leader").select("cid", "leader").distinct()
+    star = members.join(leaders, "band").where("cid <> leader").select("cid", "leader").distinct()
     star = star.join(facts, "cid").join(facts.select(F.col("cid").alias("leader"), F.col("n").alias("m"), F.col("sketch").alias("other")), "leader")
     far = sum((F.bit_count(F.col("sketch")[w].bitwiseXOR(F.col("other")[w])) for w in range(BITS // 64)), F.lit(0))
     star = star.where(100 * F.least("n", "m").cast("bigint") >= percent * F.greatest("n", "m").cast("bigint")).withColumn("far", far).where(F.col("far") <= limit)
@@ -297,7 +300,7 @@ def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         with_b = with_a.join(sets.select(F.col("cid").alias("a"), F.col("items").alias("x")), "a")
         return with_b.select("a", "b", "x", "y").mapInArrow(confirm(percent), "a bigint, b bigint")
 
-    # each class has at most one nearest leader, and that is smaller: a forest
+    # each class has at most one nearest leader, and that has more company (or a greater cid at as much): a forest
     forest = confirmed(nearest).select(F.col("b").alias("node"), F.col("a").alias("parent")).distinct()
     comp = work.keep(roots(forest, work, "tree"), "comp")
 
@@ -324,7 +327,7 @@ def near_duplicate_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         moved = comp.join(merged, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
         alone = merged.join(comp.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root"))
         comp = moved.union(alone)
-    work.drop("leaders", "open", "members", "sets", "nearest")
+    work.drop("sizes", "leaders", "open", "members", "sets", "nearest")
 
     grouped = classes.select("d1", "d2", "cid", "least_id").join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"))
