@@ -99,3 +99,61 @@ def test_query_matches_its_sql(spark):
     got = sorted((tuple(r[c] for c in want.columns) for r in df.collect()), key=str)
     assert got == sorted(want.fetchall(), key=str)
     assert {"etag", "orphan", "unvalidated", "mismatch"} <= {r.outcome for r in df.collect()}
+
+
+def one(i, date="2024-01-01T00:00:00Z", extra=""):
+    http = f"HTTP/1.1 200 OK\r\nETag: {i}\r\n\r\nbody {i}".encode()
+    return f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: r{i}\r\nWARC-Date: {date}\r\nWARC-Target-URI: http://a.org/{i}\r\n{extra}Content-Type: application/http\r\nContent-Length: {len(http)}\r\n\r\n".encode() + http + b"\r\n\r\n"
+
+
+def test_damaged_files_give_their_whole_records_and_an_error(spark, tmp_path):
+    cases = {
+        "cut.warc.gz": gzip.compress(one(1)) + gzip.compress(one(2) * 50)[:90],
+        "cut.warc": one(1) + one(2)[:-20],
+        "length.warc": one(1) + one(2).replace(b"Content-Length: ", b"Content-Length: x") + one(3),
+        "stray.warc": one(1) + b"what is this\r\nand this\r\n" + one(2),
+        "noise.warc.gz": gzip.compress(one(1)) + b"\x1f\x8bnoise",
+        "head.warc": one(1) + one(2)[:60], "empty.warc": b"", "blank.warc": b"\r\n\r\n", "one.warc": b"W",
+        "status.warc": one(1).replace(b"200 OK", b"9999999999999 OK", 1).replace(b"Content-Length: 34", b"Content-Length: 44"),
+    }
+    want = {"cut.warc.gz": (["r1"], 1), "cut.warc": (["r1"], 1), "length.warc": (["r1", "r3"], 1), "stray.warc": (["r1", "r2"], 1), "noise.warc.gz": (["r1"], 1), "head.warc": (["r1"], 1), "empty.warc": ([], 0), "blank.warc": ([], 0), "one.warc": ([], 1), "status.warc": (["r1"], 0)}
+    for name, raw in cases.items():
+        (tmp_path / name).write_bytes(raw)
+        rows = W.read_warc(spark, str(tmp_path / name)).collect()
+        ids = [r.record_id for r in rows if r.record_id]
+        # of a truncated member some records may be whole
+        assert ids[: len(want[name][0])] == want[name][0] and (name.startswith("cut.warc.gz") or ids == want[name][0]), name
+        assert sum(r.error is not None for r in rows) == want[name][1], name
+    assert W.read_warc(spark, str(tmp_path)).count() >= 10
+
+
+def test_long_archives_are_read_record_by_record():
+    class Stream:
+        def __init__(self):
+            self.left, self.served = 3000, 0
+
+        def read(self, n):
+            if not self.left:
+                return b""
+            self.left -= 1
+            self.served += 1
+            return one(self.left)[:n] if n < 100 else one(self.left)
+
+    found = W.parse_warc(s := Stream())
+    next(found)
+    assert s.served < 2000
+
+
+def test_profiles_of_revisits_without_status(spark):
+    rows = [("f", "response", "http://a.org/", at(1), 200, {"etag": "1"}, None)]
+    kinds = [None, "http://netpreserve.org/warc/1.1/revisit/server-not-modified", "http://netpreserve.org/warc/1.0/revisit/server-not-modified/", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+    rows += [(f"r{i}", "revisit", "http://a.org/", at(2), status, {}, p) for i, (p, status) in enumerate([(k, s) for s in (None, 304, 200) for k in kinds])]
+    df = spark.createDataFrame(rows, "record_id string, type string, uri string, date timestamp, status int, headers map<string,string>, profile string")
+    got = {r.record_id: r.outcome for r in W.resolve_revisits(df).collect()}
+    assert got == {k: "unvalidated" for k in ("r0", "r1", "r2", "r4", "r5", "r6", "r7")}
+
+
+def test_many_records_of_one_url_and_date(spark):
+    rows = [(f"f{i:03d}", "response", "http://a.org/", at(1), 200, {"etag": str(i)}, i) for i in range(300)]
+    rows += [(f"r{i:03d}", "revisit", "http://a.org/", at(1 + i % 3), 304, {"etag": str(i)}, i) for i in range(300)]
+    assert run(spark, rows) == brute(rows, {"http://a.org/": "a"})

@@ -6,20 +6,22 @@ needed: the latest earlier one at the same canonical URL (an as-of join).  It
 counts only if the validators agree, and its headers are updated by those that
 a 304 may update.
 
-The as-of join never gathers a URL in one task.  Records are dealt by URL and
-time bucket; within a bucket a running window finds the latest full response,
-and a table of one row per URL and bucket carries the last one of all earlier
-buckets forward.  A URL that holds a third of all records is thus spread over
-all its buckets.
+The as-of join never gathers the records of a URL in one task.  They are first
+folded to one row per URL and date, which is partial aggregation however many
+share it.  A running window over the dates of a URL and day (86,400 of them
+where dates are whole seconds) finds the latest full response before each, and
+a table of one row per URL and day carries the last one of all earlier days
+forward.  Revisits meet these rows by URL and date, a join that Spark may split.
 """
 
 from __future__ import annotations
 
-import gzip
 import io
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +31,11 @@ PERMITTED = ("age", "cache-control", "content-location", "date", "etag", "expire
 TRACKING = r"^(utm_[a-z]+|fbclid|gclid|phpsessid|jsessionid|sid)="
 BUCKET_SECONDS = 86_400
 
-RECORD = "record_id string, type string, uri string, date timestamp, status int, headers map<string,string>, body binary"
+RECORD = "record_id string, type string, uri string, date timestamp, status int, headers map<string,string>, profile string, body binary, error string"
+#: End of the profile of a revisit that answers "not modified" (fixed value); other profiles name other kinds.
+NOT_MODIFIED = "server-not-modified"
+#: Longest header line, longest header in lines, and block that is read; what is longer is damaged.
+MOST_LINE, MOST_LINES, MOST_BLOCK = 1 << 20, 10_000, 1 << 30
 
 
 def canonical_url(url: Column) -> Column:
@@ -62,8 +68,9 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS, p
     """Join each not-modified revisit to the response whose body it stands for.
 
     ``records`` has record_id, type ('response', 'revisit'), uri, date, status
-    and headers (map); further columns are ignored.  Result, one row per
-    revisit of status 304 (or null): record_id, url (canonical), date, refers_to
+    and headers (map), and maybe profile; further columns are ignored.  Result,
+    one row per revisit of status 304, or of null status if its profile is null
+    or that of not-modified answers: record_id, url (canonical), date, refers_to
     and refers_to_date (null if no earlier full response), outcome and headers
     (array of (k, v), sorted; null unless resolved).  outcome is
 
@@ -80,24 +87,28 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS, p
     gives an empty table.
     """
     heads = _lower_headers(F.col("headers"))
-    base = records.select("record_id", "type", canonical_url(F.col("uri")).alias("url"), "date", "status", heads.alias("heads"))
+    profile = F.col("profile") if "profile" in records.columns else F.lit(None).cast("string")
+    base = records.select("record_id", "type", canonical_url(F.col("uri")).alias("url"), "date", "status", heads.alias("heads"), profile.alias("profile"))
     base = base.withColumn("etag", F.regexp_replace(_header(F.col("heads"), "etag"), "^W/", "")).withColumn("modified", _header(F.col("heads"), "last-modified"))
     base = base.withColumn("bucket", F.floor(F.unix_micros("date") / (bucket_seconds * 1_000_000)))
     full = (F.col("type") == "response") & (F.col("status") == 200) & F.col("url").isNotNull() & F.col("date").isNotNull()
-    again = (F.col("type") == "revisit") & (F.coalesce("status", F.lit(304)) == 304)
+    unmodified = (F.col("status") == 304) | (F.col("status").isNull() & (F.col("profile").isNull() | F.rtrim("profile", F.lit("/")).endswith(NOT_MODIFIED)))
+    again = (F.col("type") == "revisit") & F.coalesce(unmodified, F.lit(False))
     ref = F.struct("date", "record_id", "etag", "modified", "heads")
-    marked = base.where(full | again).withColumn("again", again).withColumn("ref", F.when(~F.col("again"), ref))
+    marked = base.where(full | again).withColumn("again", again).drop("profile").withColumn("ref", F.when(~F.col("again"), ref))
     placed = marked.where("url is not null and date is not null")
 
-    # latest full response of all earlier buckets of the URL
-    ends = placed.groupBy("url", "bucket").agg(F.max("ref").alias("last"))
-    earlier = Window.partitionBy("url").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select("url", "bucket", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
+    # one row per URL and date, with the response of that date, and the latest of all earlier dates of its day
+    dates = placed.groupBy("url", "bucket", "date").agg(F.max("ref").alias("here"))
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    dates = dates.withColumn("near", F.last("here", ignorenulls=True).over(before("url", "bucket").orderBy("date")))
 
-    # latest full response within the bucket; of equal dates revisits come first, so they see strictly earlier ones
-    within = Window.partitionBy("url", "bucket").orderBy("date", F.col("again").desc(), "record_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = placed.withColumn("near", F.last("ref", ignorenulls=True).over(within)).where("again")
-    found = found.join(carried, ["url", "bucket"], "left").withColumn("hit", F.coalesce("near", "carried")).drop("near", "carried", "bucket", "ref")
+    # latest of all earlier days
+    days = placed.groupBy("url", "bucket").agg(F.max("ref").alias("last"))
+    carried = days.select("url", "bucket", F.last("last", ignorenulls=True).over(before("url").orderBy("bucket")).alias("carried"))
+
+    hits = dates.join(carried, ["url", "bucket"]).select("url", "date", F.coalesce("near", "carried").alias("hit"))
+    found = placed.where("again").drop("bucket", "ref").join(hits, ["url", "date"], "left")
     lost = marked.where("again and (url is null or date is null)").drop("bucket").withColumn("hit", F.col("ref")).drop("ref")
     out = found.unionByName(lost)
 
@@ -118,53 +129,161 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS, p
     return out.select("record_id", "url", "date", F.col("hit.record_id").alias("refers_to"), F.col("hit.date").alias("refers_to_date"), "outcome", merged.alias("headers"))
 
 
-def parse_warc(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(WARC headers with lower-case names, block) of each record; gzip members are read through."""
-    data = io.BytesIO(gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw)
-    while line := data.readline():
+class Damaged(ValueError):
+    """A record that can't be read as one."""
+
+
+def parse_warc(file) -> Iterator[tuple[dict[str, str], bytes] | Damaged]:
+    """(WARC headers with lower-case names, block) of each record of a binary stream, plain or of gzip members.
+
+    Records are read one after the other, so memory holds one.  What is no
+    record gives one ``Damaged``: after a stray line or a bad length reading
+    goes on at the next line that begins a record, after a broken or truncated
+    gzip member it ends.
+    """
+    start = file.read(2)
+    data, members = _Joined(start, file), None
+    if start == b"\x1f\x8b":
+        data = members = _Members(data)
+    data = io.BufferedReader(data, 1 << 16)
+    astray = False
+    while line := data.readline(MOST_LINE):
         if not line.startswith(b"WARC/"):
-            if line.strip():
-                raise ValueError("not at the start of a WARC record")
+            if line.strip() and not astray:
+                astray = True
+                yield Damaged("not at the start of a WARC record")
             continue
-        head = _head(data)
-        block = data.read(int(head.get("content-length", "0")))
+        try:
+            head = _head(data)
+            length = head.get("content-length", "0")
+            if not length.isascii() or not length.isdigit() or int(length) > MOST_BLOCK:
+                raise Damaged(f"bad Content-Length {length[:40]!r}")
+        except Damaged as e:
+            astray = True
+            yield e
+            continue
+        block = data.read(int(length))
+        if len(block) < int(length):
+            if not (members and members.error):
+                yield Damaged(f"the file ends within a block of {length} bytes")
+            break
+        astray = False
         yield head, block
+    if members and members.error:
+        yield Damaged(f"broken gzip member: {members.error}")
+
+
+class _Members(io.RawIOBase):
+    """Gzip members one after the other; what stands before a fault is served, then ``error`` says what it was."""
+
+    def __init__(self, packed):
+        self.packed, self.unpack, self.ready, self.error = packed, zlib.decompressobj(31), b"", None
+        self.raw, self.begun = b"", False
+
+    def readable(self) -> bool:
+        return True
 
+    def readinto(self, target) -> int:
+        while not self.ready and not self.error:
+            if self.unpack.eof:
+                self.raw, self.unpack, self.begun = self.unpack.unused_data, zlib.decompressobj(31), False
+            self.raw = self.raw or self.packed.read(1 << 14)
+            if not self.raw:
+                self.error = "truncated" if self.begun else None
+                break
+            try:
+                self.begun, self.ready, self.raw = True, self.unpack.decompress(self.raw), b""
+            except zlib.error as e:
+                self.error = str(e)
+        n = min(len(self.ready), len(target))
+        target[:n], self.ready = self.ready[:n], self.ready[n:]
+        return n
 
-def _head(data: io.BytesIO) -> dict[str, str]:
+
+class _Joined(io.RawIOBase):
+    """Bytes already read, followed by the rest of a stream."""
+
+    def __init__(self, start: bytes, rest):
+        self.start, self.rest = start, rest
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, target) -> int:
+        got, self.start = (self.start[: len(target)], self.start[len(target) :]) if self.start else (self.rest.read(len(target)), b"")
+        target[: len(got)] = got
+        return len(got)
+
+
+def _head(data, ends: bool = True) -> dict[str, str]:
+    """Header lines up to a blank one; only without ``ends`` the end of the data does as well."""
     head: dict[str, str] = {}
     name = ""
-    while (line := data.readline().rstrip(b"\r\n").decode("utf-8", "replace")) != "":
+    for _ in range(MOST_LINES):
+        raw = data.readline(MOST_LINE)
+        line = raw.rstrip(b"\r\n").decode("utf-8", "replace")
+        if line == "" and (raw or not ends):
+            return head
+        if not raw:
+            break
+        if len(raw) == MOST_LINE:
+            break
         if line[0] in " \t" and name:
             head[name] += " " + line.strip()
             continue
         name, _, value = line.partition(":")
         name = name.strip().lower()
         head[name] = value.strip()
-    return head
+    raise Damaged("a header that does not end")
+
+
+def _row(found: tuple[dict[str, str], bytes] | Damaged) -> list:
+    if isinstance(found, Damaged):
+        return [None, None, None, None, None, [], None, None, str(found)]
+    head, block = found
+    status, http, error = None, {}, None
+    if head.get("content-type", "").startswith("application/http"):
+        data = io.BytesIO(block)
+        words = data.readline().split()
+        status = int(words[1]) if len(words) > 1 and words[1].isdigit() and len(words[1]) == 3 else None
+        try:
+            http = _head(data, ends=False)
+        except Damaged as e:
+            error = str(e)
+        block = data.read()
+    uri = head.get("warc-target-uri", "").strip("<>") or None
+    return [head.get("warc-record-id"), head.get("warc-type"), uri, head.get("warc-date"), status, list(http.items()), head.get("warc-profile", "").strip("<>") or None, block, error]
 
 
 def _parse(batches):
-    schema = pa.schema([("record_id", pa.string()), ("type", pa.string()), ("uri", pa.string()), ("date", pa.string()), ("status", pa.int32()), ("headers", pa.map_(pa.string(), pa.string())), ("body", pa.binary())])
+    kinds = (pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.map_(pa.string(), pa.string()), pa.string(), pa.binary(), pa.string())
+    names = [c.split()[0] for c in RECORD.split(", ")]
     for batch in batches:
-        for raw in batch.column(0):
-            for head, block in parse_warc(raw.as_py()):
-                status, http = None, {}
-                if head.get("content-type", "").startswith("application/http"):
-                    data = io.BytesIO(block)
-                    parts = data.readline().split()
-                    status = int(parts[1]) if len(parts) > 1 and parts[1].isdigit() else None
-                    http = _head(data)
-                    block = data.read()
-                uri = head.get("warc-target-uri", "").strip("<>") or None
-                row = [[head.get("warc-record-id")], [head.get("warc-type")], [uri], [head.get("warc-date")], [status], [list(http.items())], [block]]
-                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
+        for path in batch.column(0).to_pylist():
+            store, place = fs.FileSystem.from_uri(_uri(path))
+            with store.open_input_stream(place, compression=None) as file:
+                for found in parse_warc(file):
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(_row(found), kinds, strict=True)], names)
+
+
+def _uri(path: str) -> str:
+    """A path as Spark lists it, in the form that pyarrow takes."""
+    if path.startswith("file:/") and not path.startswith("file:///"):
+        return "file:///" + path[6:].lstrip("/")
+    return path.replace("s3a://", "s3://", 1) if path.startswith("s3a://") else path
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of WARC files, plain or gzipped (schema RECORD); a file is one task's unit."""
-    files = spark.read.format("binaryFile").load(path).select("content")
-    rows = files.mapInArrow(_parse, RECORD.replace("date timestamp", "date string"))
+    """Records of WARC files, plain or gzipped (schema RECORD); a file is one task's unit, read record by record.
+
+    Spark lists the files; tasks open them with pyarrow, so an archive of any
+    size is read with one record in memory.  Damage never fails the job: whole
+    records are returned, and for what can't be read a row with null fields and
+    ``error`` (see ``parse_warc``); a record whose HTTP header does not end has
+    both.  An empty file has no rows, an unreadable date is null.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path")
+    rows = files.repartition(F.col("path")).mapInArrow(_parse, RECORD.replace("date timestamp", "date string"))
     return rows.withColumn("date", F.try_to_timestamp("date"))
 
 
