@@ -65,3 +65,82 @@ def test_edge_cases(spark):
     none = X.fit(docs, labels.where("false"))
     assert {r.score for r in X.score_toxicity(docs, none).collect()} == {0.5}
     assert X.score_toxicity(docs.where("false"), model).count() == 0
+
+
+def plain_features(text):
+    """Words of letters and digits and their beginnings of 3 to 8 bytes, by name, with counts."""
+    import re
+
+    out = {}
+    low = bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode())
+    for w in re.findall(rb"[a-z0-9\x80-\xff]+", low):
+        for name in [("", w)] + [(str(k), w[:k]) for k in X.PREFIXES if len(w) > k]:
+            out[name] = out.get(name, 0) + 1
+    return out
+
+
+def plain_fit(rows, toxic, weight):
+    """Follow-the-regularised-leader, one coordinate at a time; the bias has no L1."""
+    z, n = {}, {}
+
+    def value(f):
+        l1 = 0.0 if f == "bias" else X.L1
+        a = z.get(f, 0.0)
+        return 0.0 if abs(a) <= l1 else -(a - np.sign(a) * l1) / ((X.BETA + n.get(f, 0.0) ** 0.5) / X.ALPHA + X.L2)
+
+    rng, order = np.random.default_rng(23), np.arange(len(rows))
+    for _ in range(X.EPOCHS):
+        rng.shuffle(order)
+        for s in range(0, len(order), X.BATCH):
+            gradient = {}
+            for r in order[s : s + X.BATCH]:
+                x = {f: np.log1p(c) for f, c in rows[r].items()} | {"bias": 1.0}
+                p = 1 / (1 + np.exp(-sum(value(f) * v for f, v in x.items())))
+                for f, v in x.items():
+                    gradient[f] = gradient.get(f, 0.0) + weight[r] * (p - toxic[r]) * v
+            old = {f: value(f) for f in gradient}
+            for f, g in gradient.items():
+                m = n.get(f, 0.0)
+                z[f] = z.get(f, 0.0) + g - ((m + g * g) ** 0.5 - m**0.5) / X.ALPHA * old[f]
+                n[f] = m + g * g
+    return lambda text: 1 / (1 + np.exp(-(sum(value(f) * np.log1p(c) for f, c in plain_features(text).items()) + value("bias"))))
+
+
+def test_fit_and_scores_equal_a_plain_version(spark):
+    rng = random.Random(4)
+    fill = [f"wort{i}" for i in range(30)] + ["é", "Zwölf", "x1"]
+    texts = [" ".join(rng.choices(fill, k=12) + ["Übel schlimm."] * (k % 2)) for k in range(90)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(90)], "doc_id long, toxic int")
+    model = X.fit(docs, labels)
+    assert model.fitted == 90 and model.swapped == 0
+    features, toxic = X.features_of(texts), [k % 2 for k in range(90)]
+    order = sorted(range(90), key=lambda r: (toxic[r], features[r][0].astype(np.int32).tobytes(), features[r][1].astype(np.int32).tobytes()))
+    score = plain_fit([plain_features(texts[r]) for r in order], [toxic[r] for r in order], np.ones(90))
+    probes = [*texts[:20], "", "schlimm", "nichts davon", "übel " * 40, "Übel" * 3]
+    got = [r.score for r in X.score_toxicity(spark.createDataFrame([(t,) for t in probes], "text string"), model).collect()]
+    assert np.allclose(got, [score(t) for t in probes], atol=1e-4)
+
+
+def test_labelled_sentences_that_name_groups_are_swapped_in_their_language(spark):
+    rows = biased(random.Random(3))
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    fair, none = X.fit(docs, labels), X.fit(docs, labels, terms={})
+    named = sum("muslim" in t for t, _ in rows)
+    assert (fair.fitted, fair.swapped, none.swapped) == (len(rows), named, 0)
+    probe = spark.createDataFrame([("muslim w1 w2",), ("slurword w1 w2 w3",)], "text string")
+    a, b = ([r.score for r in X.score_toxicity(probe, m).collect()] for m in (fair, none))
+    assert a[0] < 0.25 < b[0] and a[1] > 0.5
+    swaps = X.Swaps()
+    f, n = X.features_of(["die frauen hier"])[0]
+    german = set(np.concatenate([X.features_of([t])[0][0] for t in X.IDENTITY_TERMS["de"]]))
+    for seed in range(20):
+        g, _ = swaps.swap(f, n, np.random.default_rng(seed))
+        assert set(g) - set(f) <= german and set(g) != set(f)
+
+
+def test_repeated_ids_give_one_row_each(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, "bad")] * 5, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (2, 1)], "doc_id long, toxic int")
+    assert X.fit(docs, labels).fitted == 2

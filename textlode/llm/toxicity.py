@@ -2,14 +2,16 @@
 
 A logistic regression over the words of a text (letters and digits, ASCII
 lower-cased, hashed) and their beginnings, which stand for inflected and
-compound forms, each with the value log(1 + count), fitted by follow-the-regularised-leader with L1, so
-that words without evidence get no weight.  Every labelled text that names an
-identity term has a counterfactual in which the term is replaced by another;
-the squared change of the logit is added to the loss.  So a term that often
+compound forms, each with the value log(1 + count), fitted by
+follow-the-regularised-leader with L1, so that words without evidence get no
+weight.  Every labelled text that names an identity term has a counterfactual
+in which the term is replaced by another of its language; the squared change of
+the logit is added to the loss.  So a term that often
 stands near abuse gets no weight of its own, and neutral mentions of a group
 stay neutral.  Fitted on a sample of at most ``per_class`` labelled documents
 of each class, those of the smallest hash, with weights that restore the share
-of each class among all labelled rows.
+of each class among all labelled rows.  The terms are a parameter, by language;
+the fitted model says in how many of its rows one was found (``swapped``).
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _kernels as K
+from ._columns import packed_rows, with_results
 from ._ftrl import Ftrl, Rows, smallest_by_hash
 from ._scratch import small_batches
 
@@ -32,14 +35,20 @@ EPOCHS, BATCH = 6, 32
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 4.0, 1e-3
 #: Weight of the squared change of a logit under a swap.
 COUNTERFACTUAL = 1.0
-#: Terms that name groups of people (fixed values), each swapped for the others.
-IDENTITY_TERMS = (
-    "african", "american", "arab", "asian", "atheist", "black", "blind", "buddhist", "catholic", "chinese", "christian", "deaf",
-    "disabled", "elderly", "european", "female", "feminist", "gay", "german", "heterosexual", "hindu", "hispanic", "homosexual",
-    "immigrant", "immigrants", "indian", "japanese", "jew", "jewish", "jews", "latina", "latino", "lesbian", "lgbt", "male", "man",
-    "men", "mexican", "migrant", "migrants", "muslim", "muslims", "old", "protestant", "queer", "refugee", "refugees", "sikh",
-    "straight", "trans", "transgender", "white", "woman", "women", "young",
-)
+#: Terms that name groups of people, by language (fixed values), each swapped for the others of its language.
+IDENTITY_TERMS = {
+    "en": (
+        "african", "american", "arab", "asian", "atheist", "black", "blind", "buddhist", "catholic", "chinese", "christian", "deaf",
+        "disabled", "elderly", "european", "female", "feminist", "gay", "german", "heterosexual", "hindu", "hispanic", "homosexual",
+        "immigrant", "immigrants", "indian", "japanese", "jew", "jewish", "jews", "latina", "latino", "lesbian", "lgbt", "male", "man",
+        "men", "mexican", "migrant", "migrants", "muslim", "muslims", "old", "protestant", "queer", "refugee", "refugees", "sikh",
+        "straight", "trans", "transgender", "white", "woman", "women", "young",
+    ),
+    "es": ("africano", "africana", "árabe", "asiático", "ateo", "budista", "católico", "chino", "cristiano", "extranjero", "feminista", "gitano", "hindú", "hombre", "homosexual", "inmigrante", "inmigrantes", "judío", "judíos", "lesbiana", "migrante", "mujer", "mujeres", "musulmán", "musulmanes", "negro", "refugiado", "refugiados", "transexual"),
+    "fr": ("africain", "africaine", "arabe", "asiatique", "athée", "bouddhiste", "catholique", "chinois", "chrétien", "étranger", "féministe", "femme", "femmes", "gitan", "hindou", "homme", "homosexuel", "immigré", "immigrés", "juif", "juifs", "lesbienne", "migrant", "musulman", "musulmans", "noir", "réfugié", "réfugiés", "transsexuel"),
+    "de": ("afrikaner", "araber", "asiate", "atheist", "ausländer", "behinderte", "buddhist", "chinese", "christ", "christen", "feministin", "flüchtling", "flüchtlinge", "frau", "frauen", "hindu", "homosexueller", "jude", "juden", "katholik", "lesbe", "mann", "männer", "migrant", "migranten", "moslem", "muslim", "muslime", "türke"),
+    "pt": ("africano", "africana", "árabe", "asiático", "ateu", "budista", "católico", "chinês", "cigano", "cristão", "estrangeiro", "feminista", "hindu", "homem", "homossexual", "imigrante", "imigrantes", "judeu", "judeus", "lésbica", "migrante", "muçulmano", "muçulmanos", "mulher", "mulheres", "negro", "refugiado", "refugiados", "transexual"),
+}
 RESULTS = ("score", "predicted")
 
 
@@ -83,9 +92,10 @@ def _feature_rows(batches):
 
 
 class Model:
-    """Weights of features and the bias."""
+    """Weights of features and the bias; numbers of fitted rows and of those with a counterfactual."""
 
-    def __init__(self, weights: np.ndarray, bias: float):
+    def __init__(self, weights: np.ndarray, bias: float, fitted: int = 0, swapped: int = 0):
+        self.fitted, self.swapped = fitted, swapped
         self.at = np.flatnonzero(weights)
         self.values = weights[self.at].astype(np.float64)
         self.bias = bias
@@ -99,15 +109,20 @@ class Model:
 Features = tuple[np.ndarray, np.ndarray]
 
 
+Terms = dict[str, tuple[str, ...]]
+
+
 class Swaps:
-    """Identity terms as features: the word itself and its beginnings."""
+    """Identity terms as features: the word itself and its beginnings, and the group of terms that may replace it."""
 
-    def __init__(self, terms: tuple[str, ...] = IDENTITY_TERMS):
-        rows = [token_features(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0][0] for t in terms]
-        self.all = [r[r >= 0].astype(np.int64) for r in rows]
-        word = np.array([r[0] for r in rows], dtype=np.int64)
-        order = np.argsort(word)
-        self.words, self.term = word[order], order
+    def __init__(self, terms: Terms | None = None):
+        groups = [tuple(dict.fromkeys(g)) for g in (IDENTITY_TERMS if terms is None else terms).values()]
+        groups = [g for g in groups if len(g) > 1]
+        raw = [t.encode() for g in groups for t in g]
+        self.all = [r[r >= 0].astype(np.int64) for r in (token_features(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0][0] for t in raw)]
+        word = np.array([r[0] for r in self.all], dtype=np.int64)
+        self.group = [(sum(map(len, groups[:i])), len(g)) for i, g in enumerate(groups) for _ in g]
+        self.words, self.term = np.unique(word, return_index=True)  # a term of two languages is one of the first
 
     def swap(self, features: np.ndarray, counts: np.ndarray, rng: np.random.Generator) -> Features | None:
         """The features with every identity term replaced by another one, or None if there is none."""
@@ -117,7 +132,8 @@ class Swaps:
         ids, change = [features], [counts.astype(np.float64)]
         for k in at:
             old = int(self.term[np.searchsorted(self.words, features[k])])
-            new = (old + int(rng.integers(1, len(self.all)))) % len(self.all)
+            start, size = self.group[old]
+            new = start + (old - start + int(rng.integers(1, size))) % size
             for term, sign in ((old, -1.0), (new, 1.0)):
                 ids.append(self.all[term])
                 change.append(np.full(len(self.all[term]), sign * counts[k]))
@@ -131,9 +147,10 @@ def _rows(pairs: list[Features]) -> Rows:
     return Rows([np.append(f, FEATURES) for f, _ in pairs], [np.append(np.log1p(n), 1.0) for _, n in pairs])
 
 
-def fit_rows(features: list[Features], toxic: np.ndarray, weight: np.ndarray, counterfactual: float = COUNTERFACTUAL) -> Model:
+def fit_rows(features: list[Features], toxic: np.ndarray, weight: np.ndarray, counterfactual: float = COUNTERFACTUAL, terms: Terms | None = None) -> Model:
     """Fit on features with counts, 0/1 labels and row weights."""
-    swaps = Swaps()
+    swaps = Swaps(terms)
+    named = np.array([bool(np.isin(f, swaps.words).any()) for f, _ in features], dtype=bool)
     rng = np.random.default_rng(23)
     bias = FEATURES
     data = _rows(features)
@@ -143,7 +160,7 @@ def fit_rows(features: list[Features], toxic: np.ndarray, weight: np.ndarray, co
         rng.shuffle(order)
         for s in range(0, len(order), BATCH):
             rows = order[s : s + BATCH]
-            other = [swaps.swap(*features[r], rng) for r in rows]
+            other = [swaps.swap(*features[r], rng) if named[r] else None for r in rows]
             pair = np.array([k for k, o in enumerate(other) if o is not None], dtype=np.int64)
             used, x = data.block(rows)
             if len(pair):
@@ -164,22 +181,27 @@ def fit_rows(features: list[Features], toxic: np.ndarray, weight: np.ndarray, co
                 g = g + 2 * counterfactual * (change.T @ (change @ w))
             learner.step(used, w, g)
     weights = learner.weights()[:, 0]
-    return Model(weights[:bias], float(learner.weights(np.array([bias]), l1=0.0)[0, 0]))
+    return Model(weights[:bias], float(learner.weights(np.array([bias]), l1=0.0)[0, 0]), len(features), int(named.sum()))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS, terms: Terms | None = None) -> Model:
     """Fit on the documents that ``labels`` marks; repeated labels of an id count as toxic if one is.
 
     Only ids chosen from the labels (at most ``per_class`` of each class) are
-    sent to the documents, so this broadcast has a fixed bound.
+    sent to the documents, so this broadcast has a fixed bound, and one row per
+    id comes back: of rows that repeat an id the one of the least text.  Null
+    ids and labels are left out, null texts are empty, other columns are
+    ignored; without labelled documents nothing is learned.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    marks = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
+    key, mark = F.col(f"`{id_col}`"), F.col(f"`{label_col}`")
+    marks = labels.where(mark.isNotNull() & key.isNotNull()).groupBy(key.alias("id")).agg(F.max(mark.cast("int")).alias("toxic"))
     share = {r.toxic: r["count"] for r in marks.groupBy("toxic").count().collect()}
     chosen = smallest_by_hash(marks.withColumn("h", F.xxhash64("id")), "toxic", share, per_class, F.col("id")).select("id", "toxic")
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    got = texts.join(F.broadcast(chosen), "id").select("toxic", "text").mapInArrow(_feature_rows, "toxic int, features array<int>, counts array<int>").toArrow()
+    texts = docs.select(key.alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    one = texts.join(F.broadcast(chosen), "id").groupBy("id", "toxic").agg(F.min("text").alias("text"))
+    got = one.select("toxic", "text").mapInArrow(_feature_rows, "toxic int, features array<int>, counts array<int>").toArrow()
     if not got.num_rows:
         return Model(np.zeros(FEATURES), 0.0)
     features = [(f.values.to_numpy(), n.values.to_numpy()) for f, n in zip(got.column("features"), got.column("counts"), strict=True)]
@@ -189,7 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     seen = {c: max(1.0, float((toxic == c).sum())) for c in (0, 1)}
     total = sum(share.values())
     weight = np.array([share.get(int(c), 0) / total * len(toxic) / seen[int(c)] for c in toxic])
-    return fit_rows(features, toxic, weight)
+    return fit_rows(features, toxic, weight, terms=terms)
 
 
 def _score(model: Model):
@@ -216,11 +238,10 @@ def _score(model: Model):
 def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """The columns ``carry`` (all if None), score (0 to 1) and predicted (1 from 0.5 on) of every whole text.
 
-    Null and empty texts get the score of no words.  A model fitted on no
-    labels scores 0.5 for all.  Input columns named like results are replaced.
+    Null and empty texts get the score of no words, repeated rows the same
+    score.  A model fitted on no labels scores 0.5 for all.  An empty table gives
+    an empty one.  Input columns named like results, in any case, are replaced.
     """
     small_batches(docs.sparkSession)
-    names = [c for c in (docs.columns if carry is None else carry) if c not in RESULTS]
-    rows = docs.select(F.col(f"`{text_col}`").alias("_text"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
-    kind = rows.schema["_row"].dataType.simpleString()
-    return rows.mapInArrow(_score(model), f"_row {kind}, score double, predicted int").select("_row.*", *RESULTS)
+    rows = packed_rows(docs, text_col, RESULTS, carry)
+    return rows.mapInArrow(_score(model), with_results(rows, score="double", predicted="integer")).select("_row.*", *RESULTS)
