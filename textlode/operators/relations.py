@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import Scratch
+
 #: Bytes of values that one range of an identity hash holds, about.
 SLICE_BYTES = 16 << 20
 
@@ -49,26 +51,52 @@ def contract_mismatches(children: DataFrame, parents: DataFrame, key: str, field
     return children.join(p, key).withColumn("mismatched", bad).where(F.size("mismatched") > 0).drop(*[f"_{f}" for f in fields])
 
 
+def ranked(df: DataFrame, order: list[str], by: list[str] | None = None) -> DataFrame:
+    """``df`` with ``_i``, the place from 0 on in ``order`` within each group, and ``_n``, the rows of the group.
+
+    No task sorts a group: rows are dealt to ranges of (group, order) and sorted
+    there, written with their place in the range, and moved on by the rows that
+    the group has in the ranges before.  ``order`` must be total up to equal rows.
+    """
+    groups = by or []
+    work = Scratch(df.sparkSession, "ranked")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+    dealt = df.repartitionByRange(n, *groups, *order).sortWithinPartitions(*groups, *order)
+    rows = work.keep(dealt.withColumn("_part", F.spark_partition_id()).withColumn("_place", place), "rows")
+    here = Window.partitionBy(*[f"_g{i}" for i in range(len(groups))])
+    names = [F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)]
+    parts = rows.groupBy(*names, F.col("_part").alias("_p")).agg(F.count(F.lit(1)).alias("_c"), F.min("_place").alias("_first"))
+    before = F.coalesce(F.sum("_c").over(here.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.withColumn("_base", before - F.col("_first")).withColumn("_n", F.sum("_c").over(here)).drop("_c", "_first")
+    same = F.col("_part") == F.col("_p")
+    for i, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    return rows.join(parts, same).withColumn("_i", F.col("_base") + F.col("_place")).select(*df.columns, "_i", "_n")
+
+
 def evenly_spaced(df: DataFrame, k: int, order: list[str], by: list[str] | None = None) -> DataFrame:
     """At most k rows of each group at positions round(i * (n - 1) / (k - 1)), halves to even."""
-    groups = by or []
-    w = Window.partitionBy(*groups)
-    numbered = df.withColumn("_i", F.row_number().over(w.orderBy(*order)) - 1).withColumn("_n", F.count(F.lit(1)).over(w))
+    numbered = ranked(df, order, by)
     if k == 1:
         return numbered.where("_i = 0").drop("_i", "_n")
-    spots = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.bround(i * (F.col("_n") - 1) / F.lit(k - 1), 0).cast("int"))
+    spots = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.bround(i * (F.col("_n") - 1) / F.lit(k - 1), 0).cast("bigint"))
     return numbered.where((F.col("_n") <= k) | F.array_contains(spots, F.col("_i"))).drop("_i", "_n")
 
 
-def length_batches(df: DataFrame, size: int, length: str, tie: str) -> DataFrame:
-    """Rows numbered by (length, tie) and dealt to batches of ``size``, as an encoder would take them.
+def preferred(df: DataFrame, wanted: Column, by: list[str]) -> DataFrame:
+    """Per group the rows that are ``wanted``, or all of a group that has none."""
+    marked = df.withColumn("_w", F.coalesce(wanted, F.lit(False)))
+    groups = marked.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(by)]).agg(F.max("_w").alias("_any"))
+    same = F.lit(True)
+    for i, g in enumerate(by):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    return marked.join(groups, same).where(F.col("_w") == F.col("_any")).select(*df.columns)
 
-    Numbers come from counts per length, so only rows of one length are sorted together.
-    """
-    counts = df.groupBy(length).agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy(length).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    order = F.col("_base") + F.row_number().over(Window.partitionBy(length).orderBy(tie)) - 1
-    return df.join(before, length).withColumn("position", order).withColumn("batch", F.floor(F.col("position") / size)).drop("_base")
+
+def length_batches(df: DataFrame, size: int, length: str, tie: str) -> DataFrame:
+    """Rows numbered by (length, tie) and dealt to batches of ``size``, as an encoder would take them."""
+    return ranked(df, [length, tie]).withColumn("batch", F.floor(F.col("_i") / size)).withColumnRenamed("_i", "position").drop("_n")
 
 
 def padding(batches: DataFrame, length: str, special: int = 2) -> DataFrame:

@@ -511,12 +511,12 @@ def even_sample(spark, sf_dir):
     return R.evenly_spaced(table(spark, sf_dir, "documents").select("doc_id", "lang"), 25, ["doc_id"])
 
 
-@register("""WITH n AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY n_chars, doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM documents WHERE n_chars <= 500000),
+@register("""WITH n AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY n_chars, doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM (SELECT * FROM documents QUALIFY coalesce(n_chars <= 500000, false) = bool_or(coalesce(n_chars <= 500000, false)) OVER (PARTITION BY lang))),
 s AS (SELECT DISTINCT lang, round_even(k * (n - 1) / 6, 0)::BIGINT AS i FROM (SELECT lang, max(n) AS n FROM n GROUP BY lang), range(7) r(k)) SELECT n.doc_id, n.lang FROM n JOIN s USING (lang, i)""")
 def stratified_sample(spark, sf_dir):
-    """Seven documents of each language at even distances of length."""
-    docs = table(spark, sf_dir, "documents").where("n_chars <= 500000").select("doc_id", "lang", "n_chars")
-    return R.evenly_spaced(docs, 7, ["n_chars", "doc_id"], ["lang"]).select("doc_id", "lang")
+    """Seven documents of each language at even distances of length, of up to 500,000 characters where a language has any."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    return R.evenly_spaced(R.preferred(docs, F.col("n_chars") <= 500_000, ["lang"]), 7, ["n_chars", "doc_id"], ["lang"]).select("doc_id", "lang")
 
 
 BATCHES = f"WITH w AS (SELECT doc_id, {WORDS} AS n FROM documents), b AS (SELECT doc_id, n, row_number() OVER (ORDER BY n, doc_id) - 1 AS position FROM w)"

@@ -20,6 +20,7 @@ from ..operators import contamination as C
 from ..operators import hard_limit as H
 from ..operators import packing as P
 from ..operators import quality as Q
+from ..operators import relations as R
 from ..operators import retrieval as S
 from ..operators.segmentation import split_column
 from ..sources import artifacts as A
@@ -113,17 +114,12 @@ def embed(chunks: DataFrame, encoder: K.Encoder, settings: Settings) -> DataFram
     A.require(chunks, F.col("num_tokens") > settings.capacity, "chunks exceed the encoder's capacity")
     if settings.tokenizer:  # a chunk must be what was counted
         A.require(chunks, K.token_count(F.col("texto"), settings.tokenizer, settings.prefix) != F.col("num_tokens"), "chunks whose tokens were counted otherwise")
-    before = Window.orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = chunks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))  # one row per document is all that is ordered as a whole
-    base = sizes.select("doc_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     vectors = chunks.select("chunk_id", "doc_id", "posicion", K.encode(F.col("texto"), encoder, settings.dim, settings.prefix).alias("embedding"))
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("posicion")) - 1
-    placed = vectors.withColumn("place", place).join(base, "doc_id")
-    return placed.select((F.col("base") + F.col("place")).cast("bigint").alias("row_pos"), "chunk_id", "doc_id", "embedding")
+    return R.ranked(vectors, ["doc_id", "posicion"]).select(F.col("_i").cast("bigint").alias("row_pos"), "chunk_id", "doc_id", "embedding")
 
 
 def answer(vectors: DataFrame, chunks: DataFrame, queries: DataFrame, encoder: K.Encoder, settings: Settings) -> DataFrame:
-    """Ranked documents and fragments of each query (query_id, text)."""
+    """Ranked documents and fragments of each query (query_id, text); ids have three digits, so queries are at most 1,000."""
     number = queries.withColumn("row_pos", -F.row_number().over(Window.orderBy("query_id")).cast("bigint"))
     asked = number.select("query_id", F.col("row_pos").alias("q"), K.encode(F.col("text"), encoder, settings.dim, K.QUERY).alias("embedding"))
     hits = S.search(vectors, asked.withColumnRenamed("q", "row_pos"), settings.candidates, "row_pos")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators.relations import ranked
 from .readers import READERS, Reader, read_column
 
 # What a walk never takes.
@@ -36,8 +37,8 @@ def walk(spark: SparkSession, folder: str, allowed: list[str] | None = None) ->
     rows = rows.where(~junk).withColumn("suffix", T.suffix(F.col("path")))
     if allowed is not None:
         rows = rows.join(spark.createDataFrame([(p,) for p in allowed], "path string"), "path", "left_semi")
-    order = rows.select("path").withColumn("ordinal", F.row_number().over(Window.orderBy(F.split("path", "/"))) - 1)
-    return rows.join(order, "path")
+    order = ranked(rows.select("path", F.split("path", "/").alias("_parts")), ["_parts"])
+    return rows.join(order.select("path", F.col("_i").alias("ordinal")), "path")
 
 
 def inspect(files: DataFrame) -> DataFrame:
