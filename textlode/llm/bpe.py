@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from ._columns import packed_rows, with_results
-from ._scratch import small_batches
+from ..sources.staging import small_batches
 from ._units import PieceTable, packed, text_slices
 
 RESULTS = ("n_tokens", "ids", "decoded")

@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._scratch import Scratch, small_batches
+from ..sources.staging import Scratch, small_batches
 from ._units import PieceTable, WholeTexts, text_slices
 
 #: Fixed values of the public seekable zstandard format.

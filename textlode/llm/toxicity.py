@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from . import _kernels as K
 from ._columns import packed_rows, with_results
 from ._ftrl import Ftrl, Rows, smallest_by_hash
-from ._scratch import small_batches
+from ..sources.staging import small_batches
 
 FEATURES = 1 << 18
 #: Most documents of one class that are fitted.
