@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlode.llm import language_id
-from textlode.llm._scratch import Scratch
+from textlode.sources.staging import Scratch
 from textlode.llm.bpe import bpe_round_trip
 from textlode.llm.minhash_dedup import drop_near_duplicates
 from textlode.llm.mixing import mix_sources
