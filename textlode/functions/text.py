@@ -266,8 +266,13 @@ def word_overlap(left: Column, right: Column, most: int = 80) -> Column:
 
 def boundary_offsets(sentences: Column) -> Column:
     """Ends of all sentences but the last in their join by one space."""
-    ends = F.transform(sentences, lambda s, i: F.aggregate(F.slice(sentences, F.lit(1), i + 1), F.lit(0), lambda a, x: a + F.length(x)) + i)
-    return F.slice(ends, F.lit(1), F.greatest(F.size(sentences) - 1, F.lit(0)))
+    start = F.struct(F.array().cast("array<int>").alias("ends"), F.lit(-1).alias("at"))
+
+    def step(s: Column, x: Column) -> Column:
+        at = s["at"] + 1 + F.length(x)
+        return F.struct(F.array_append(s["ends"], at).alias("ends"), at.alias("at"))
+
+    return F.aggregate(F.slice(sentences, F.lit(1), F.greatest(F.size(sentences) - 1, F.lit(0))), start, step, lambda s: s["ends"])
 
 
 def excerpt(text: Column, most: int) -> Column:

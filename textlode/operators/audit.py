@@ -45,17 +45,27 @@ def adjacent_pairs(chunks: DataFrame, by: str = "doc_id", order: str = "posicion
 
 
 def preflight(units: DataFrame, count: Column, unit: str, limit: int) -> DataFrame:
-    """Units over the limit by class; ``count`` is taken only where the UTF-8 length allows an excess."""
-    near = units.where(F.octet_length(unit) + 4 > limit).withColumn("n_tokens", count)
+    """Units over the limit by class; ``count`` is taken only where the length in compatibility form allows an excess.
+
+    That form is at most 33 bytes for one sign, and of signs outside ASCII there
+    are no more than the UTF-8 length exceeds the length.
+    """
+    n = F.octet_length(unit)
+    near = units.where(n + 33 * (n - F.length(unit)) + 4 > limit).withColumn("n_tokens", count)
     over = near.where(F.col("n_tokens") > limit)
     return over.withColumn("class", F.when(T.is_structural_oversize(F.col(unit)), "STRUCTURAL_MULTI_UNIT").otherwise("AMBIGUOUS"))
 
 
 def sentence_loss(units: DataFrame, chunks: DataFrame, by: str = "doc_id", text: str = "texto") -> DataFrame:
-    """Sentences (by, unit) that stand in no chunk of their document, as often as they are missing."""
+    """(by, unit, said, missing): sentences that the chunks of a document hold less often than the document, as multisets.
+
+    What chunks repeat as overlap counts more than once, so a sentence is only
+    missing if all its places together are too few.
+    """
     said = units.groupBy(by, "unit").agg(F.count(F.lit(1)).alias("said"))
-    kept = chunks.select(by, F.explode(F.array_distinct(T.sentence_units(F.col(text)))).alias("unit")).groupBy(by, "unit").agg(F.count(F.lit(1)).alias("kept"))
-    return said.join(kept, [by, "unit"], "left").where(F.coalesce("kept", F.lit(0)) == 0).select(by, "unit", "said")
+    kept = chunks.select(by, F.explode(T.sentence_units(F.col(text))).alias("unit")).groupBy(by, "unit").agg(F.count(F.lit(1)).alias("kept"))
+    missing = F.col("said") - F.coalesce("kept", F.lit(0))
+    return said.join(kept, [by, "unit"], "left").withColumn("missing", missing).where("missing > 0").select(by, "unit", "said", "missing")
 
 
 def overlap_report(chunks: DataFrame, by: str = "doc_id", order: str = "posicion", text: str = "texto") -> DataFrame:

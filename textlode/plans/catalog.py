@@ -123,17 +123,33 @@ def dedupe_chunk_best(spark, sf_dir):
     return S.dedupe_chunks(hits.union(again)).select("query_id", "chunk_id", "score", "first_pos")
 
 
-@register(HITS + """, docs AS (SELECT query_id, label, max(score) AS score, min(position) AS p FROM hits GROUP BY ALL),
+def _with_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits with the text of the document whose id is the vector's; some have none."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_pos"), F.coalesce("text", F.lit("")).alias("texto"))
+    return _hits(spark, sf_dir).join(docs, "row_pos", "left").withColumn("texto", F.coalesce("texto", F.lit("")))
+
+
+def _cut_sql(text: str) -> str:
+    """At most 250 words of a text, up to the last sentence end in them if there is one."""
+    cut = CUT.replace("text", text, 1)
+    return rf"CASE WHEN {WORDS.replace('text', text)} <= 250 THEN {text} WHEN regexp_matches({cut}, '(?s)[.?!] ') THEN regexp_extract({cut}, '(?s)^(.*[.?!]) ', 1) ELSE {cut} END"
+
+
+WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\s\x{b}\x{1c}-\x{1f}]+'))"
+CUT = r"array_to_string((regexp_extract_all(text, '[^\s\x{b}\x{1c}-\x{1f}]+'))[1:250], ' ')"
+TEXTS = HITS + """, texts AS (SELECT h.*, coalesce(d.text, '') AS texto FROM hits h LEFT JOIN documents d ON h.row_pos = d.doc_id)"""
+
+
+@register(TEXTS + f""", docs AS (SELECT query_id, label, max(score) AS score, min(position) AS p FROM hits GROUP BY ALL),
 top AS (SELECT query_id, label, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, p) AS r FROM docs QUALIFY r <= 3)
 SELECT query_id, string_agg(r || ':' || label, ' ' ORDER BY r) AS documents,
-  (SELECT string_agg(h.position || ':' || h.row_pos || ':' || h.label, ' ' ORDER BY h.position) FROM hits h WHERE h.query_id = top.query_id AND h.position <= 10) AS fragments
+  (SELECT string_agg(h.position || ':' || h.row_pos || ':' || h.label || ':' || md5({_cut_sql('texto')}), ' ' ORDER BY h.position) FROM texts h WHERE h.query_id = top.query_id AND h.position <= 10) AS fragments
 FROM top GROUP BY query_id""")
 def nested_results(spark, sf_dir):
-    """Ranked documents and fragments of each query, nested, then written as text to compare."""
-    hits = _hits(spark, sf_dir).withColumn("texto", F.lit("x"))
-    out = S.results(hits)
-    text = lambda rows, names: F.array_join(F.transform(rows, lambda r: F.concat_ws(":", *[r[n].cast("string") for n in names])), " ")
-    return out.select("query_id", text("documents", ("rank", "doc_id")).alias("documents"), text("fragments", ("rank", "chunk_id", "doc_id")).alias("fragments"))
+    """Ranked documents and fragments of each query, nested, then written as text to compare; texts as digests."""
+    out = S.results(_with_texts(spark, sf_dir))
+    text = lambda rows, names: F.array_join(F.transform(rows, lambda r: F.concat_ws(":", *[F.md5(r[n]) if n == "text" else r[n].cast("string") for n in names])), " ")
+    return out.select("query_id", text("documents", ("rank", "doc_id")).alias("documents"), text("fragments", ("rank", "chunk_id", "doc_id", "text")).alias("fragments"))
 
 
 GRADED = HITS + """, graded AS (SELECT *, CASE WHEN label = own THEN CASE WHEN position % 2 = 0 THEN 3 ELSE 2 END ELSE 0 END AS grade FROM hits)"""
@@ -193,9 +209,6 @@ def clean_turns(spark, sf_dir):
     return texts(spark, sf_dir, "conversations", "conv_id", "turn", "text").select("conv_id", "turn", F.md5(T.clean_text(F.col("text"))).alias("cleaned"))
 
 
-WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\s\x{b}\x{1c}-\x{1f}]+'))"
-
-
 @register(f"SELECT doc_id, {WORDS}::INT AS n_words FROM documents")
 def word_count(spark, sf_dir):
     return texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", T.word_count(F.col("text")).alias("n_words"))
@@ -261,9 +274,6 @@ def confusion_by_lang(spark, sf_dir):
     return Q.confusion(voted, "lang", "voted", ["es", "en", "pt", "desconocido"])
 
 
-CUT = r"array_to_string((regexp_extract_all(text, '[^\s\x{b}\x{1c}-\x{1f}]+'))[1:250], ' ')"
-
-
 def _truncated(other: str) -> str:
     return rf"""SELECT doc_id, md5(CASE WHEN {WORDS} <= 250 THEN text WHEN regexp_matches({CUT}, '(?s)[.?!] ') THEN regexp_extract({CUT}, '(?s)^(.*[.?!]) ', 1) ELSE {other} END) AS kept FROM documents"""
 
@@ -431,10 +441,14 @@ def doc_violations(spark, sf_dir):
     return Q.failures(table(spark, sf_dir, "documents"), ["doc_id"], Q.document_checks("doc_id", "text", "lang", ("es", "en", "pt")))
 
 
-@register(HITS + """SELECT query_id, category FROM (SELECT query_id, unnest(['bad_query_id', CASE WHEN count(DISTINCT label) < 3 THEN 'documents' END, CASE WHEN count(*) < 10 THEN 'fragments' END]) AS category FROM hits GROUP BY query_id) WHERE category IS NOT NULL""")
+@register(TEXTS + f""", judged AS (SELECT 'q' || CASE WHEN query_id > 999 THEN query_id::VARCHAR ELSE lpad(query_id::VARCHAR, 3, '0') END AS query_id, count(DISTINCT label) AS labels, count(*) FILTER (WHERE position <= 10) AS n,
+  bool_or(texto = '') FILTER (WHERE position <= 10) AS blank, max({WORDS.replace('text', 'texto')}) FILTER (WHERE position <= 10) AS longest, query_id > 999 AS wide FROM texts GROUP BY ALL)
+SELECT query_id, category FROM (SELECT query_id, unnest([CASE WHEN wide THEN 'bad_query_id' END, CASE WHEN labels < 3 THEN 'documents' END, CASE WHEN n < 10 THEN 'fragments' END,
+  CASE WHEN blank THEN 'fields' END, CASE WHEN longest > 250 THEN 'too_long' END]) AS category FROM judged) WHERE category IS NOT NULL""")
 def result_violations(spark, sf_dir):
-    """Failed checks of the result contract; vector ids are no query ids of the required form, and that shows."""
-    return Q.failures(S.results(_hits(spark, sf_dir).withColumn("texto", F.lit("x"))), ["query_id"], Q.result_checks())
+    """Failed checks of the result contract, over whole texts as fragments: long and missing ones show."""
+    out = S.results(_with_texts(spark, sf_dir), text=F.col("texto")).withColumn("query_id", F.concat(F.lit("q"), F.when(F.col("query_id") > 999, F.col("query_id").cast("string")).otherwise(F.lpad(F.col("query_id").cast("string"), 3, "0"))))
+    return Q.failures(out, ["query_id"], Q.result_checks())
 
 
 @register("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
@@ -563,16 +577,24 @@ def file_inventory(spark, sf_dir):
     return Q.inventory(files)
 
 
-@register("""WITH s AS (SELECT lang, list_transform(range(1, 6), lambda i: i * 10) AS e, list_transform(range(1, 6), lambda i: i * (9 + (doc_id + i) % 2)) AS f FROM documents),
-c AS (SELECT lang, len(list_intersect(e, f)) AS tp, len(f) AS nf, len(e) AS ne, (e = f)::INT AS same FROM s), g AS (SELECT lang, sum(tp) AS tp, sum(nf) AS nf, sum(ne) AS ne, avg(same) AS same FROM c GROUP BY ROLLUP (lang))
-SELECT lang, round(tp / nf, 6) AS precision, round(tp / ne, 6) AS recall, round(CASE WHEN tp > 0 THEN 2 * (tp / nf) * (tp / ne) / (tp / nf + tp / ne) ELSE 0 END, 6) AS f1, round(same, 6) AS exact FROM g""")
-def boundary_f1(spark, sf_dir):
-    """Scores of made-up boundaries: every tenth place against a pattern that misses some."""
-    steps = F.sequence(F.lit(1), F.lit(5))
-    docs = table(spark, sf_dir, "documents").select("lang", F.transform(steps, lambda i: i * 10).cast("array<bigint>").alias("e"), F.transform(steps, lambda i: i * (9 + (F.col("doc_id") + i) % 2)).alias("f"))
-    return Q.boundary_scores(docs, "e", "f", "lang")
+def _ends_sql(signs: str) -> str:
+    """Ends of all sentences but the last, of a single-spaced text ``t`` cut behind some signs and a space."""
+    mark = "chr(57344) || chr(57345)"
+    u = f"string_split(regexp_replace(t, '([{signs}]) ', '\\1' || {mark}, 'g'), {mark})"
+    return f"list_transform(range(1, len({u})), lambda i: (list_sum(list_transform(({u})[1:i], lambda x: length(x))) + i - 1)::INT)"
 
 
+@register(rf"""WITH n AS (SELECT lang, array_to_string(regexp_extract_all(text, '[^\s\x{{b}}\x{{1c}}-\x{{1f}}]+'), ' ') AS t FROM documents WHERE text IS NOT NULL),
+s AS (SELECT lang, {_ends_sql('.!?…')} AS e, {_ends_sql('.')} AS f FROM n),
+c AS (SELECT lang, len(list_intersect(e, f)) AS tp, len(f) AS nf, len(e) AS ne, (e = f)::INT AS same FROM s), g AS (SELECT lang, sum(tp) AS tp, sum(nf) AS nf, sum(ne) AS ne, avg(same) AS same FROM c GROUP BY ROLLUP (lang)),
+p AS (SELECT lang, CASE WHEN nf > 0 THEN tp / nf ELSE 1 END AS p, CASE WHEN ne > 0 THEN tp / ne ELSE 1 END AS r, same FROM g)
+SELECT lang, round(p, 6) AS precision, round(r, 6) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1, round(same, 6) AS exact FROM p""")
+def boundary_f1(spark, sf_dir):
+    """Boundaries behind full stops alone, scored against those behind all sentence ends."""
+    single = F.array_join(T.words(F.col("text")), " ")
+    docs = texts(spark, sf_dir, "documents", "lang", "text").where("text is not null").select("lang", single.alias("t"))
+    cut = docs.select("lang", T.sentence_units(F.col("t")).alias("expected"), F.split("t", "(?<=[.]) ").alias("found"))
+    return Q.boundary_scores(cut.select("lang", T.boundary_offsets(F.col("expected")).alias("e"), T.boundary_offsets(F.col("found")).alias("f")), "e", "f", "lang")
 
 
 # ---------------------------------------------------------------- audits
@@ -591,7 +613,7 @@ def overlap_report(spark, sf_dir):
 
 @register()
 def sentence_loss(spark, sf_dir):
-    """Sentences that no chunk holds: none, so this adds the number of sentences looked at."""
+    """Sentences that chunks hold too few times: none, so this adds the number of sentences looked at."""
     units = texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.explode(T.sentence_units(F.col("text"))).alias("unit"))
     lost = D.sentence_loss(units, _chunks(spark, sf_dir))
     return lost.agg(F.count(F.lit(1)).alias("lost")).crossJoin(units.agg(F.count(F.lit(1)).alias("sentences")))
