@@ -143,24 +143,59 @@ def test_splits_and_sentences(spark, docs):
     assert run(spark, "prose_sentences") == sorted(want, key=str)  # block by block as in one block
 
 
+def detected(text):
+    """(language, confidence, margin, whether it is ambiguous) by weighted markers."""
+    markers, n = T.default_markers(), len(text or "")
+    some = (text or "") if n <= 6000 else "\n".join((text[:2000], text[(n - 2000) // 2 : (n - 2000) // 2 + 2000], text[n - 1998 :]))
+    plain = " ".join(some.lower().split())
+    words = re.findall(r"[^\W\d_]+(?:['’][^\W\d_]+)?", plain)
+    score = {k: sum(w in m["common_words"] for w in words) * 0.5 + sum(w in m["distinctive_words"] for w in words) * 2 + sum(min(plain.count(p), 3) for p in m["patterns"]) * 1.5 for k, m in markers.items()}
+    first, second, _ = sorted(score.values(), reverse=True)
+    confidence = first / sum(score.values()) if sum(score.values()) else 0.0
+    vague = first < 3 or confidence < 0.5 or first - second < 1.5
+    return "es" if vague else max(score, key=score.get), confidence, first - second, vague
+
+
+def mean(values):
+    return sum(values) / len(values)
+
+
 def test_language_report(spark, docs):
     by = defaultdict(list)
-    markers = T.default_markers()
     for _, text, *_ in docs:
-        n = len(text or "")
-        some = (text or "") if n <= 6000 else "\n".join((text[:2000], text[(n - 2000) // 2 : (n - 2000) // 2 + 2000], text[n - 1998 :]))
-        plain = " ".join(some.lower().split())
-        words = re.findall(r"[^\W\d_]+(?:['’][^\W\d_]+)?", plain)
-        score = {k: sum(w in m["common_words"] for w in words) * 0.5 + sum(w in m["distinctive_words"] for w in words) * 2 + sum(min(plain.count(p), 3) for p in m["patterns"]) * 1.5 for k, m in markers.items()}
-        first, second, _ = sorted(score.values(), reverse=True)
-        confidence = first / sum(score.values()) if sum(score.values()) else 0.0
-        vague = first < 3 or confidence < 0.5 or first - second < 1.5
-        by["es" if vague else max(score, key=score.get)].append((confidence, first - second, vague))
-    want = [(k, len(v), round(sum(x[0] for x in v) / len(v), 5), round(sum(x[1] for x in v) / len(v), 5), sum(x[2] for x in v), round(100 * len(v) / len(docs), 5)) for k, v in by.items()]
+        language, *rest = detected(text)
+        by[language].append(rest)
+    want = [(k, len(v), round(mean([x[0] for x in v]), 5), round(mean([x[1] for x in v]), 5), sum(x[2] for x in v), round(100 * len(v) / len(docs), 5)) for k, v in by.items()]
     got = [(a, b, round(c, 5), round(d, 5), e, round(f, 5)) for a, b, c, d, e, f in run(spark, "language_report")]
     assert got == sorted(want, key=str)
 
 
+def test_corpus_quality(spark, docs, chunks):
+    own = defaultdict(list)
+    for k, _, _, t, n in chunks:
+        own[k].append((t, n))
+    groups = defaultdict(list)
+    for k, text, lang, _ in docs:
+        language, confidence, margin, vague = detected(text)
+        pairs = [(shared_words(a.split(), b.split()), cuts_sentence(a, b)) for (a, _), (b, _) in zip(own[k], own[k][1:], strict=False)]
+        held = Counter(u for t, _ in own[k] for u in units_of(t))
+        missing = sum(max(0, n - held[u]) for u, n in Counter(units_of(text or "")).items())
+        fact = (len(units_of(text or "")), None if lang is None else lang == language, confidence, margin, vague, own[k], sum(n for n, _ in pairs), sum(c for _, c in pairs), missing)
+        for g in (language, None):
+            groups[g].append(fact)
+    for r in catalog.queries()["corpus_quality"](spark, D).collect():
+        v = groups.pop(r.language)
+        sizes, right = [n for x in v for _, n in x[5]], [x[1] for x in v if x[1] is not None]
+        share = lambda keep: round(sum(map(keep, sizes)) / len(sizes), 6)
+        assert (r.documents, r.no_sentence, r.one_sentence, r.labelled, r.ambiguous) == (len(v), sum(x[0] == 0 for x in v), sum(x[0] == 1 for x in v), len(right), sum(x[4] for x in v))
+        assert abs(r.accuracy - mean(right)) < 1e-5 and abs(r.mean_confidence - mean([x[2] for x in v])) < 1e-5 and abs(r.mean_margin - mean([x[3] for x in v])) < 1e-5
+        assert (r.chunks, r.tokens, r.longest, r.over_limit) == (len(sizes), sum(sizes), max(sizes), sum(n > 510 for n in sizes))
+        assert (r.under_25, r.under_50, r.over_90) == (share(lambda n: n < 64), share(lambda n: n < 128), share(lambda n: 230.4 < n <= 256))
+        words = sum(len(t.split()) for x in v for t, _ in x[5])
+        assert abs(r.repeated_words - sum(x[6] for x in v) / words) < 1e-5 and (r.cut_sentences, r.missing_sentences) == (sum(x[7] for x in v), sum(x[8] for x in v))
+    assert not groups
+
+
 def test_bank_matches(spark, docs):
     bank = [tuple(r) for r in spark.read.parquet(f"{D}/benchmark.parquet").select("item_id", "text").collect()]
     known = {}

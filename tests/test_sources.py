@@ -166,3 +166,16 @@ def test_artifacts(spark, tmp_path):
     with pytest.raises(A.ContractError):
         A.load(spark, half)
     assert A.recover(spark, half, "row_pos", "chunk_id")["sha256"] == made["sha256"]
+
+
+def test_tiles_of_a_corpus_do_not_repeat_features(spark, tmp_path):
+    (tmp_path / "F1_x").mkdir()
+    one = layer("z", ["k"], VALUES[:1], [(5, [0, 0]), (6, [0, 0])])
+    for name, raw in (("a.pbf", one), ("b.pbf", one), ("c.pbf", layer("z", ["k"], VALUES[:1], [(6, [0, 0]), (7, [0, 0])])), ("d.pbf", b"\x1a")):
+        (tmp_path / "F1_x" / name).write_bytes(raw)
+    docs, lost = corpus.ingest(spark, str(tmp_path))
+    assert {r.fuente.split("/")[-1]: r.texto.count("capa: z") for r in docs.collect()} == {"a.pbf": 2, "c.pbf": 1}
+    assert {r.archivo.split("/")[-1]: r.estado for r in lost.collect()} == {"b.pbf": "vacío", "d.pbf": "fallido"}
+    ids = {r.path.split("/")[-1]: r.sha256 for r in corpus.file_identity(corpus.walk(spark, str(tmp_path))).collect()}
+    assert ids["a.pbf"] == ids["b.pbf"] != ids["c.pbf"] and ids["a.pbf"].isupper()
+    assert [r.fuente.split("/")[-1] for r in corpus.merged_in_order(docs.where("fuente like '%c.pbf'"), docs.where("fuente like '%a.pbf'")).collect()] == ["a.pbf", "c.pbf"]

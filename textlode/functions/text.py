@@ -264,6 +264,24 @@ def word_overlap(left: Column, right: Column, most: int = 80) -> Column:
     return F.coalesce(F.array_max(F.filter(sizes, lambda k: F.slice(a, -k, k) == F.slice(b, F.lit(1), k))), F.lit(0))
 
 
+def unit_overlap(left: Column, right: Column) -> Column:
+    """Number of units (arrays of sentences) that end ``left`` and begin ``right``."""
+    top = F.least(F.size(left), F.size(right))
+    sizes = F.when(top > 0, F.sequence(F.lit(1), top)).otherwise(F.array().cast("array<int>"))
+    return F.coalesce(F.array_max(F.filter(sizes, lambda k: F.slice(left, -k, k) == F.slice(right, F.lit(1), k))), F.lit(0))
+
+
+def row_overlap(left: Column, right: Column, most: int = 16_384) -> Column:
+    """Longest text of whole words that ends ``left`` and begins ``right``, in characters: the overlap of tables."""
+    top = F.least(F.length(left), F.length(right), F.lit(most))
+    begins = lambda k: (k == F.length(left)) | F.substr(left, F.length(left) - k, F.lit(1)).rlike(f"(?U)[{SPACE}]")
+    ends = lambda k: (k == F.length(right)) | F.substr(right, k + 1, F.lit(1)).rlike(f"(?U)[{SPACE}]")
+    same = lambda k: F.endswith(left, F.substr(right, F.lit(1), k))
+    sizes = F.when(top > 0, F.sequence(F.lit(1), top)).otherwise(F.array().cast("array<int>"))
+    # only ends of words can end the overlap: these few are compared
+    return F.coalesce(F.array_max(F.filter(F.filter(sizes, ends), lambda k: begins(k) & same(k))), F.lit(0))
+
+
 def boundary_offsets(sentences: Column) -> Column:
     """Ends of all sentences but the last in their join by one space."""
     start = F.struct(F.array().cast("array<int>").alias("ends"), F.lit(-1).alias("at"))
@@ -280,6 +298,12 @@ def excerpt(text: Column, most: int) -> Column:
     return F.substring(F.trim(F.regexp_replace(text, f"(?U)[{SPACE}]+", " ")), 1, most)
 
 
+def edges(text: Column, most: int) -> Column:
+    """Single-spaced text, or its first and last ``most`` characters if it is longer than both."""
+    plain = F.trim(F.regexp_replace(text, f"(?U)[{SPACE}]+", " "))
+    return F.when(F.length(plain) <= 2 * most, plain).otherwise(F.concat(F.substring(plain, 1, most), F.lit(" ... "), F.right(plain, F.lit(most))))
+
+
 def normalised_digest(text: Column) -> Column:
     return F.sha2(F.trim(F.regexp_replace(text, f"(?U)[{SPACE}]+", " ")), 256)
 

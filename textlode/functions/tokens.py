@@ -16,6 +16,13 @@ PASSAGE, QUERY = "passage: ", "query: "
 ENCODER_LIMIT, SPECIAL_TOKENS = 512, 2
 CAPACITY = ENCODER_LIMIT - SPECIAL_TOKENS
 
+def encoder_capacity(limit: int, special: int = SPECIAL_TOKENS, *declared: int | None) -> int:
+    """Tokens that a text may have; what tokenizer and model declare (None: nothing) may not be less than the limit."""
+    if limit <= special or any(d is not None and d < limit for d in declared):
+        raise ValueError(f"the encoder limit {limit} exceeds what tokenizer or model declare: {declared}")
+    return limit - special
+
+
 Encoder = Callable[[list[str]], np.ndarray]
 
 

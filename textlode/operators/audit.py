@@ -33,15 +33,23 @@ def continues(left: Column, right: Column) -> Column:
     return T.looks_like_prose(left) & (T.strip(right) != "") & (lower | last.isin(*T.CONNECTORS) | open_end)
 
 
-def adjacent_pairs(chunks: DataFrame, by: str = "doc_id", order: str = "posicion", text: str = "texto", fmt: Column | None = None) -> DataFrame:
-    """Each chunk with the one before: shared words, and whether the boundary cuts a sentence."""
+def adjacent_pairs(chunks: DataFrame, by: str = "doc_id", order: str = "posicion", text: str = "texto", fmt: Column | None = None, split: Column | None = None) -> DataFrame:
+    """Each chunk with the one before: shared words, whether the boundary cuts a sentence, and whether it may.
+
+    A boundary is doubtful where prose ends without a sentence end and nothing
+    shows that the next chunk goes on.  ``fmt`` and ``split`` are the format of
+    a chunk and whether it was divided.
+    """
     w = Window.partitionBy(by).orderBy(order)
-    paired = chunks.withColumn("left", F.lag(text).over(w)).where(F.col("left").isNotNull())
-    shared = T.word_overlap(F.col("left"), F.col(text))
+    form, divided = fmt if fmt is not None else F.lit("txt"), split if split is not None else F.lit(False)
+    before = F.lag(F.struct(F.col(text).alias("t"), form.alias("f"), divided.alias("d"))).over(w)
+    paired = chunks.withColumn("_b", before).where(F.col("_b.t").isNotNull())
+    left = F.regexp_replace(F.col("_b.t"), r"(?U)\s+$", "")
+    shared = T.word_overlap(left, F.col(text))
     fresh = F.array_join(F.slice(T.words(F.col(text)), shared + 1, F.greatest(T.word_count(F.col(text)) - shared, F.lit(0))), " ")
-    form = fmt if fmt is not None else F.lit("txt")
-    cut = ~F.regexp_replace("left", r"(?U)\s+$", "").rlike(TERMINAL) & ~is_structural(form, F.col("left"), F.lit(False)) & continues(F.col("left"), fresh)
-    return paired.select(by, order, shared.alias("shared_words"), cut.alias("cuts_sentence"))
+    open_end = ~left.rlike(TERMINAL) & ~is_structural(F.col("_b.f"), left, F.col("_b.d"))
+    cut = open_end & continues(left, fresh)
+    return paired.select(by, order, shared.alias("shared_words"), cut.alias("cuts_sentence"), (open_end & ~cut & T.looks_like_prose(left)).alias("doubtful"))
 
 
 def preflight(units: DataFrame, count: Column, unit: str, limit: int) -> DataFrame:
@@ -83,3 +91,33 @@ def language_report(docs: DataFrame, text: str = "text") -> DataFrame:
     share = F.round(100 * F.col("n") / F.sum("n").over(Window.partitionBy()), 6)
     out = found.groupBy("language").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("confidence"), 6).alias("mean_confidence"), F.round(F.avg("margin"), 6).alias("mean_margin"), F.count_if("is_ambiguous").alias("ambiguous"))
     return out.withColumn("percent", share)
+
+
+def corpus_quality(docs: DataFrame, chunks: DataFrame, most: int = 256, limit: int = 510) -> DataFrame:
+    """One row per detected language and one over all (null): the quality of a chunked corpus.
+
+    ``docs`` has doc_id, texto and maybe ``lang``, a trusted label; ``chunks``
+    doc_id, posicion, num_tokens, texto.  Documents, chunks, documents of no or
+    one sentence, accuracy over labelled documents, mean confidence and margin,
+    ambiguous documents, tokens, shares of chunks under 25 % and 50 % and over
+    90 % of the limit, chunks over the hard one, repeated words, cut and missing
+    sentences.
+    """
+    label = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
+    judged = docs.select("doc_id", label.alias("lang"), "texto", T.language_scores(F.col("texto")).alias("s")).withColumn("d", T.decide_language(F.col("s")))
+    sentences = F.size(T.sentence_units(F.coalesce("texto", F.lit(""))))
+    facts = judged.select("doc_id", "d.*", "lang", sentences.alias("sentences"), (F.col("lang") == F.col("d.language")).cast("int").alias("right"))
+    n, share = F.col("num_tokens"), F.col("num_tokens") / most
+    own = chunks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("chunks"), F.sum(n).alias("tokens"), F.max(n).alias("longest"), F.count_if(share < 0.25).alias("u25"), F.count_if(share < 0.5).alias("u50"), F.count_if((share > 0.9) & (share <= 1)).alias("o90"), F.count_if(n > limit).alias("over"), F.sum(T.word_count(F.col("texto"))).alias("words"))
+    pairs = adjacent_pairs(chunks).groupBy("doc_id").agg(F.sum("shared_words").alias("shared"), F.count_if("cuts_sentence").alias("cut"))
+    units = docs.select("doc_id", F.explode(T.sentence_units(F.col("texto"))).alias("unit"))
+    lost = sentence_loss(units, chunks).groupBy("doc_id").agg(F.sum("missing").alias("missing"))
+    whole = facts.join(own, "doc_id", "left").join(pairs, "doc_id", "left").join(lost, "doc_id", "left")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    part = lambda c: F.round(total(c) / F.greatest(total("chunks"), F.lit(1)), 6)
+    return whole.rollup("language").agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(F.col("sentences") == 0).alias("no_sentence"), F.count_if(F.col("sentences") == 1).alias("one_sentence"),
+        F.count("right").alias("labelled"), F.round(F.avg("right"), 6).alias("accuracy"), F.round(F.avg("confidence"), 6).alias("mean_confidence"), F.round(F.avg("margin"), 6).alias("mean_margin"), F.count_if("is_ambiguous").alias("ambiguous"),
+        total("chunks").alias("chunks"), total("tokens").alias("tokens"), F.max("longest").alias("longest"), part("u25").alias("under_25"), part("u50").alias("under_50"), part("o90").alias("over_90"), total("over").alias("over_limit"),
+        F.round(total("shared") / F.greatest(total("words"), F.lit(1)), 6).alias("repeated_words"), total("cut").alias("cut_sentences"), total("missing").alias("missing_sentences"),
+    )

@@ -26,6 +26,27 @@ def document_checks(id_col: str, text_col: str, language_col: str, languages: tu
     return checks | ({"duplicate_id": duplicate} if duplicate is not None else {})
 
 
+# What documents may say of their format, phenomenon and language.
+FORMATS = ("pdf", "html", "txt", "md", "json", "csv", "xlsx", "imagen", "pbf")
+PHENOMENA = (1, 2, 3)
+LANGUAGES = ("es", "en", "pt", "desconocido")
+
+
+def strict_document_checks(documents: DataFrame) -> DataFrame:
+    """Failed checks of documents (doc_id, fuente, formato, fenomeno, idioma, texto): doc_id, fuente and category."""
+    copies = F.count(F.lit(1)).over(Window.partitionBy("doc_id"))
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("fuente"))
+    rows = documents.withColumn("_again", (copies > 1) & (first > 1))
+    source = F.col("fuente")
+    checks = document_checks("doc_id", "texto", "idioma", LANGUAGES, "DOC-", F.col("_again")) | {
+        "bad_source": source.isNull() | (T.strip(source) == ""),
+        "absolute_source": source.startswith("/") | source.rlike(r"^[A-Za-z]:[\\/]"),
+        "bad_format": ~F.coalesce(F.col("formato").isin(*FORMATS), F.lit(False)),
+        "bad_phenomenon": ~F.coalesce(F.col("fenomeno").isin(*PHENOMENA), F.lit(False)),
+    }
+    return failures(rows, ["doc_id", "fuente"], checks)
+
+
 def chunk_checks(limit: int = 510) -> dict[str, Column]:
     """Contract of a chunk row."""
     return {
@@ -101,6 +122,33 @@ def utilisation(value: Column, most: int) -> list[Column]:
     return [F.count_if(share < 0.25).alias("under_25"), F.count_if(share < 0.5).alias("under_50"), F.count_if((share > 0.9) & (share <= 1)).alias("over_90")]
 
 
+def chunk_totals(chunks: DataFrame, limit: int = 510) -> DataFrame:
+    """One row over all chunks: numbers of tokens, chunks over the limit, and maps of chunks by format and by how they were divided."""
+    n = F.col("num_tokens")
+    by = lambda key: chunks.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "n")))).alias("m"))
+    formats, ways = by(F.coalesce("formato", F.lit("-"))), by(F.coalesce("hard_split.strategy", F.lit("whole")))
+    facts = chunks.agg(F.count(F.lit(1)).alias("n"), F.min(n).alias("min"), F.max(n).alias("max"), F.round(F.avg(n), 6).alias("mean"), F.sum(n).alias("total"), F.count_if(n > limit).alias("over"))
+    return facts.join(formats.withColumnRenamed("m", "by_format")).join(ways.withColumnRenamed("m", "by_strategy"))  # one row each
+
+
+def classifier_report(df: DataFrame, truth: str, found: str, labels: list[str]) -> DataFrame:
+    """Confusion counts and accuracy with the ambiguous share, mean confidence and margin, per truth and over all (null).
+
+    ``found`` is a struct (language, confidence, margin, is_ambiguous).
+    """
+    f = F.col(found)
+    counts = [F.count_if(f["language"] == x).alias(f"as_{x}") for x in labels]
+    means = [F.round(F.avg((F.col(truth) == f["language"]).cast("int")), 6).alias("accuracy"), F.round(F.avg(f["is_ambiguous"].cast("int")), 6).alias("ambiguous_rate"), F.round(F.avg(f["confidence"]), 6).alias("mean_confidence"), F.round(F.avg(f["margin"]), 6).alias("mean_margin")]
+    return df.rollup(truth).agg(F.count(F.lit(1)).alias("n"), *counts, *means)
+
+
+def stage_metrics(stages: dict[str, dict]) -> dict[str, dict]:
+    """Rows a second of each stage and its share of all seconds, from rows and seconds."""
+    whole = sum(s.get("seconds", 0.0) for s in stages.values())
+    rate = lambda s: round(s["rows"] / s["seconds"], 6) if s.get("rows") is not None and s.get("seconds") else None
+    return {k: {"rows_per_second": rate(s), "percent": round(100 * s.get("seconds", 0.0) / whole, 6) if whole else 0.0} for k, s in stages.items()}
+
+
 def precision_at_k(ranked: DataFrame, relevant: Column, k: int, by: str = "query_id") -> DataFrame:
     """Relevant rows among the first k, over k."""
     return ranked.groupBy(by).agg(F.round(F.count_if(relevant & (F.col("rank") <= k)) / k, 6).alias("precision"))

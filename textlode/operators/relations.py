@@ -44,6 +44,24 @@ def unmatched(left: DataFrame, right: DataFrame, on: Column | str | list[str]) -
     return left.join(right, on, "left_anti")
 
 
+def with_children(parents: DataFrame, children: DataFrame, key: str, order: str) -> tuple[DataFrame, DataFrame]:
+    """(parents with their children, in order, as one array of rows; children without a parent)."""
+    names = [c for c in children.columns if c != key]
+    rows = children.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, *[c for c in names if c != order]))).alias("children"))
+    none = F.array().cast(rows.schema["children"].dataType)
+    return parents.join(rows, key, "left").withColumn("children", F.coalesce("children", none)), unmatched(children, parents.select(key), key)
+
+
+def looked_up(rows: DataFrame, tables: dict[str, tuple[DataFrame, str]]) -> tuple[DataFrame, DataFrame]:
+    """(rows with a struct per table, by key; rows with a key that some table lacks, and which)."""
+    found, names = rows, list(tables)
+    for name, (table, key) in tables.items():
+        found = found.join(table.select(F.col(key).alias(f"_{name}"), F.struct("*").alias(name)), F.col(key) == F.col(f"_{name}"), "left").drop(f"_{name}")
+    lacking = F.filter(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in names]), lambda x: x.isNotNull())
+    marked = found.withColumn("lacking", lacking)
+    return marked.where(F.size("lacking") == 0).drop("lacking"), marked.where(F.size("lacking") > 0).select(*rows.columns, "lacking")
+
+
 def contract_mismatches(children: DataFrame, parents: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """Children whose fields differ from their parent's (nulls equal), with the names of those fields."""
     p = parents.select(key, *[F.col(f).alias(f"_{f}") for f in fields])

@@ -603,7 +603,7 @@ def boundary_f1(spark, sf_dir):
 @register()
 def adjacent_audit(spark, sf_dir):
     """Shared words of neighbouring chunks, and boundaries inside sentences."""
-    return D.adjacent_pairs(_chunks(spark, sf_dir))
+    return D.adjacent_pairs(_chunks(spark, sf_dir)).drop("doubtful")
 
 
 @register()
@@ -626,6 +626,13 @@ def preflight_units(spark, sf_dir):
     return D.preflight(units, T.word_count(F.col("unit")), "unit", 510).select("doc_id", "n_tokens", "class")
 
 
+@register()
+def corpus_quality(spark, sf_dir):
+    """Quality of the chunked documents, per detected language and over all."""
+    docs = texts(spark, sf_dir, "documents", "doc_id", "lang", "text").withColumnRenamed("text", "texto")
+    return D.corpus_quality(docs, _chunks(spark, sf_dir).drop("lang"))
+
+
 @register()
 def language_report(spark, sf_dir):
     return D.language_report(texts(spark, sf_dir, "documents", "text"))

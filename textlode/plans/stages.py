@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import tokens as K
+from ..operators import audit as D
 from ..operators import contamination as C
 from ..operators import hard_limit as H
 from ..operators import packing as P
@@ -137,9 +138,15 @@ class Run:
     settings: Settings = field(default_factory=Settings)
     encoder: K.Encoder = field(default_factory=K.HashEncoder)
     done: dict = field(default_factory=dict)
+    #: Places of finished stages of another run that this one goes on from; these are read and never written.
+    inherited: dict[str, str] = field(default_factory=dict)
 
     def _stage(self, name: str, order: str, identity: str, make, reuse: bool, since: str) -> DataFrame:
         place = f"{self.folder}/{name}"
+        if name in self.inherited:
+            data, manifest = A.load(self.spark, self.inherited[name])
+            self.done[name] = manifest | {"inherited": True, "seconds": 0.0}
+            return data
         mark = hashlib.sha256(f"{self.settings.fingerprint()} {since}".encode()).hexdigest()
         started = time.time()
         if A.exists(self.spark, f"{place}/manifest.json"):
@@ -153,6 +160,22 @@ class Run:
         self.done[name] = manifest | {"reused": False, "seconds": time.time() - started}
         return A.load(self.spark, place, verify=False)[0]
 
+    def _index(self, chunks: DataFrame, reuse: bool) -> DataFrame:
+        """Vectors whose ids, in order, are those of the chunks."""
+        started, place = time.time(), f"{self.folder}/index"
+        ordered = R.ranked(chunks.select("doc_id", "posicion", "chunk_id"), ["doc_id", "posicion"]).select(F.col("_i").alias("row_pos"), "chunk_id")
+        source = (f"{self.folder}/embeddings", ordered, self.settings.fingerprint())
+        if reuse and A.exists(self.spark, f"{place}/index.json"):
+            try:
+                data = A.load_index(self.spark, place, *source)
+                self.done["index"] = {"rows": self.done["embeddings"]["rows"], "reused": True, "seconds": time.time() - started}
+                return data
+            except A.ContractError:  # of other vectors or settings: made anew
+                pass
+        manifest = A.build_index(self.spark, source[0], ordered, place, self.settings.dim, source[2])
+        self.done["index"] = manifest | {"reused": False, "seconds": time.time() - started}
+        return A.load(self.spark, source[0], verify=False)[0]
+
     def run(self, corpus_folder: str, queries: DataFrame, first: str = "ingestion", last: str = "validation", reuse: bool = True) -> DataFrame | None:
         """Results of the queries (None if ``last`` comes before retrieval); stages before ``first`` must be there."""
         a, b = STAGES.index(first), STAGES.index(last)
@@ -164,11 +187,13 @@ class Run:
             if b == 0:
                 return None
             chunks = self._stage("chunking", "chunk_id", "chunk_id", lambda: prepare_chunks(chunk_documents(docs, self.settings), queries, self.settings), keep("chunking"), self.done["ingestion"]["sha256"])
+            A.write_text(self.spark, f"{self.folder}/chunking.json", json.dumps(asdict(self.settings) | {"capacity": self.settings.capacity, "sha256": self.settings.fingerprint()}, sort_keys=True, indent=1))
             if b == 1:
                 return None
             vectors = self._stage("embeddings", "row_pos", "chunk_id", lambda: embed(chunks, self.encoder, self.settings), keep("embeddings"), self.done["chunking"]["sha256"])
-            A.load_vectors(self.spark, f"{self.folder}/embeddings", self.settings.dim)
-            self.done["index"] = {"rows": self.done["embeddings"]["rows"]}
+            if b == 2:
+                return None
+            vectors = self._index(chunks, keep("index"))
             if b <= 3:
                 return None
             results = answer(vectors, chunks, queries, self.encoder, self.settings)
@@ -181,6 +206,8 @@ class Run:
             self.done["failed"] = str(e)[:500]
             raise
         finally:
+            for name, rates in Q.stage_metrics({k: v for k, v in self.done.items() if isinstance(v, dict) and "seconds" in v}).items():
+                self.done[name] |= rates
             A.write_text(self.spark, f"{self.folder}/run.json", json.dumps(self.done, sort_keys=True, default=str, indent=1))
 
 
@@ -193,6 +220,22 @@ def equivalence(a: dict, b: dict, semantic: tuple[str, str] | None = None) -> st
     return "STRUCTURALLY_EQUIVALENT" if a["rows"] == b["rows"] else "DIFFERENT"
 
 
+def upstream_gate(documents: DataFrame, chunks: DataFrame, bank: DataFrame, settings: Settings) -> tuple[str, dict[str, DataFrame]]:
+    """Whether documents and chunks hold a bank's texts: FAIL if a chunk does or a document does whole, NEEDS_REVIEW for
+    beginnings in documents or suspicious labels in chunks, else PASS; with the findings."""
+    state, flagged = clean_gate(chunks, bank, settings)
+    found = C.matches(documents, bank, "doc_id", "texto", "query_id", "text")
+    kinds = {r.kind for r in found.select("kind").distinct().collect()}  # at most two
+    state = "FAIL" if state == "FAIL" or "exact" in kinds else "NEEDS_REVIEW" if state != "PASS" or kinds else "PASS"
+    return state, {"chunks": flagged, "documents": found}
+
+
+def boundary_gate(chunks: DataFrame) -> tuple[str, DataFrame]:
+    """PASS if no chunk ends inside a sentence that the next goes on with, else FAIL; with the pairs."""
+    cut = D.adjacent_pairs(chunks.withColumn("_split", F.col("hard_split").isNotNull()), fmt=F.col("formato"), split=F.col("_split")).where("cuts_sentence")
+    return ("FAIL" if cut.limit(1).count() else "PASS"), cut
+
+
 def clean_gate(chunks: DataFrame, bank: DataFrame, settings: Settings) -> tuple[str, DataFrame]:
     """PASS, NEEDS_REVIEW (suspicious labels only) or FAIL (leaked queries), and the report."""
     found = C.report(chunks, bank, settings.excluded_sources)

@@ -43,15 +43,48 @@ def scan_jsonl(spark: SparkSession, path: str, schema: str, required: list[str])
     return require(rows, missing, f"{path} lacks required fields")
 
 
+def write_jsonl(df: DataFrame, folder: str) -> None:
+    """JSON lines, nulls and signs outside ASCII as they are; nothing is overwritten."""
+    df.write.mode("errorifexists").option("ignoreNullFields", "false").json(folder)
+
+
+#: Fields that a delivery needs of every chunk.
+DELIVERY = ["doc_id", "chunk_id", "fuente", "formato", "fenomeno", "posicion", "num_tokens", "texto"]
+
+
+def scan_chunks(spark: SparkSession, path: str, limit: int = 512) -> DataFrame:
+    """Chunks of JSON lines with all delivery fields; blank texts or ids, and counts outside 1 to ``limit``, are errors."""
+    rows = scan_jsonl(spark, path, CHUNK, DELIVERY)
+    bad = (F.trim("doc_id") == "") | (F.trim("chunk_id") == "") | (F.trim("texto") == "") | ~F.col("num_tokens").between(1, limit) | (F.col("posicion") < 0)
+    return require(rows, bad, f"{path} holds chunks that break their contract")
+
+
+def required_text(text: Column) -> Column:
+    """Whether a string is there and not blank."""
+    return text.isNotNull() & (F.trim(text) != "")
+
+
+def finite_or_missing(value: Column) -> Column:
+    """Whether an optional number is missing or finite."""
+    v = value.cast("double")
+    return value.isNull() | (v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+
+
 def profile_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """lines, blank, malformed, not_object and per field missing: one row."""
+    """lines, blank, malformed, not_object, repeated ids, and per field how often it is missing or of another type: one row.
+
+    The first field is the id.
+    """
     fields = Y._parse_datatype_string(schema).fieldNames()
     lines = spark.read.text(path)
     parsed = lines.withColumn("v", F.try_parse_json("value")).withColumn("r", F.from_json("value", schema))
     text = F.trim("value") != ""
     kind = F.schema_of_variant("v")
     whole = text & F.col("v").isNotNull() & kind.startswith("OBJECT")
-    return parsed.agg(F.count(F.lit(1)).alias("lines"), F.count_if(~text).alias("blank"), F.count_if(text & F.col("v").isNull()).alias("malformed"), F.count_if(text & F.col("v").isNotNull() & ~kind.startswith("OBJECT")).alias("not_object"), *[F.count_if(whole & F.col(f"r.{f}").isNull()).alias(f"missing_{f}") for f in fields])
+    raw = lambda f: F.get_json_object("value", f"$.{f}")
+    has_id = whole & F.col(f"r.{fields[0]}").isNotNull()
+    counts = [c for f in fields for c in (F.count_if(whole & raw(f).isNull()).alias(f"missing_{f}"), F.count_if(whole & raw(f).isNotNull() & F.col(f"r.{f}").isNull()).alias(f"mistyped_{f}"))]
+    return parsed.agg(F.count(F.lit(1)).alias("lines"), F.count_if(~text).alias("blank"), F.count_if(text & F.col("v").isNull()).alias("malformed"), F.count_if(text & F.col("v").isNotNull() & ~kind.startswith("OBJECT")).alias("not_object"), *counts, (F.count_if(has_id) - F.count_distinct(F.when(has_id, F.col(f"r.{fields[0]}")))).alias("repeated_ids"))
 
 
 def scan_queries(spark: SparkSession, path: str, expected: list[str] | None = None) -> DataFrame:
@@ -152,3 +185,61 @@ def load_vectors(spark: SparkSession, folder: str, dim: int, vector_col: str = "
     """Vectors of an artifact, all finite, of ``dim`` components and unit length."""
     data, _ = load(spark, folder)
     return require(data, F.size(problems(F.col(vector_col), dim)) > 0, f"{folder} holds bad vectors")
+
+
+#: What the manifest of an index says, exactly.
+INDEX_FIELDS = {"version", "kind", "dimension", "rows", "ordered_ids_sha256", "vectors_sha256", "settings_sha256"}
+
+
+def build_index(spark: SparkSession, vectors: str, chunks: DataFrame, folder: str, dim: int, settings: str, order: str = "row_pos", identity: str = "chunk_id") -> dict:
+    """Publish the index of an artifact of vectors: exact search needs no structure beside them, so it is a manifest.
+
+    Only if the vectors are whole and their ids, in order, are those of the
+    metadata ``chunks`` (with ``order`` and ``identity``).
+    """
+    data, made = load(spark, vectors)
+    require(data, F.size(problems(F.col("embedding"), dim)) > 0, f"{vectors} holds bad vectors")
+    found = identity_hash(chunks, order, identity).first()
+    if (found.n, found.sha256) != (made["rows"], made["sha256"]):
+        raise ContractError(f"{vectors} and its metadata differ in rows or in the order of ids")
+    manifest = {"version": 1, "kind": "exact inner product", "dimension": dim, "rows": found.n, "ordered_ids_sha256": found.sha256, "vectors_sha256": vectors_digest(data, order), "settings_sha256": settings}
+    write_text(spark, f"{folder}/index.json", json.dumps(manifest, sort_keys=True, indent=1))
+    return manifest
+
+
+def vectors_digest(data: DataFrame, order: str, vector_col: str = "embedding") -> str:
+    """One digest of all vectors in order."""
+    digests = data.select(order, F.sha2(F.to_json(F.struct(vector_col)), 256).alias("d"))
+    return identity_hash(digests, order, "d").first().sha256
+
+
+def load_index(spark: SparkSession, folder: str, vectors: str, chunks: DataFrame, settings: str, order: str = "row_pos", identity: str = "chunk_id") -> DataFrame:
+    """Vectors of an index whose manifest fits its data, its metadata and the settings it is used with."""
+    manifest = json.loads(read_text(spark, f"{folder}/index.json"))
+    if set(manifest) != INDEX_FIELDS or manifest["version"] != 1:
+        raise ContractError(f"{folder} has a manifest of another form")
+    if manifest["settings_sha256"] != settings:
+        raise ContractError(f"{folder} was made with other settings")
+    data, _ = load(spark, vectors)
+    found = identity_hash(chunks, order, identity).first()
+    if (found.n, found.sha256) != (manifest["rows"], manifest["ordered_ids_sha256"]):
+        raise ContractError(f"{folder} does not fit its metadata")
+    if vectors_digest(data, order) != manifest["vectors_sha256"] or data.where(F.size("embedding") != manifest["dimension"]).limit(1).count():
+        raise ContractError(f"{folder} does not fit its vectors")
+    return data
+
+
+#: Manifests and the fields each must have.
+MANIFESTS = {"artifact": {"version", "rows", "sha256", "order", "identity"}, "benchmark": {"doc_ids"}, "chunking": {"encoder_limit", "special_tokens", "capacity"}}
+
+
+def load_manifest(spark: SparkSession, path: str, kind: str) -> dict:
+    """A manifest of one kind with its fields; a benchmark names documents, chunk settings prove their capacity."""
+    found = json.loads(read_text(spark, path))
+    if not isinstance(found, dict) or (missing := MANIFESTS[kind] - set(found)):
+        raise ContractError(f"{path} lacks {sorted(missing) if isinstance(found, dict) else 'an object'}")
+    if kind == "benchmark" and not (isinstance(found["doc_ids"], list) and found["doc_ids"] and len(set(found["doc_ids"])) == len(found["doc_ids"])):
+        raise ContractError(f"{path} names no documents, or some twice")
+    if kind == "chunking" and found["encoder_limit"] - found["special_tokens"] != found["capacity"]:
+        raise ContractError(f"{path} states another capacity than its limits give")
+    return found

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.relations import ranked
+from .mvt import deduped_texts, feature_rows
 from .readers import READERS, Reader, read_column
 
 # What a walk never takes.
@@ -104,6 +105,17 @@ def counters(routed: DataFrame) -> DataFrame:
     return routed.groupBy(state.alias("estado")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def without_repeated_features(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Texts of vector tiles without features that an earlier tile of the walk had; other rows as they are.
+
+    A tile that only repeats others keeps an empty text, and is routed so.
+    """
+    tiles = files.where("suffix = '.pbf'").select("ordinal", "content")
+    fresh = deduped_texts(feature_rows(tiles, "ordinal"), "ordinal").select("ordinal", T.clean_text(F.col("text")).alias("_new"))
+    tile = (F.col("suffix") == ".pbf") & F.col("error").isNull()
+    return rows.join(fresh, "ordinal", "left").withColumn("text", F.when(tile, F.coalesce("_new", F.lit(""))).otherwise(F.col("text"))).drop("_new")
+
+
 def ingest(spark: SparkSession, folder: str, auxiliary: dict[str, str] | None = None, plugins: dict[str, Reader] | None = None, allowed: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents, incidents) of a folder; ``auxiliary`` maps paths that are not corpus to the reason."""
     files = walk(spark, folder, allowed)
@@ -113,7 +125,7 @@ def ingest(spark: SparkSession, folder: str, auxiliary: dict[str, str] | None =
         tagged = files.withColumn("folded", fold_path(F.col("path")))
         extra = tagged.join(known, "folded").select(F.col("path").alias("archivo"), F.lit("omitido").alias("estado"), F.col("reason").alias("error"))
         files = tagged.join(known, "folded", "left_anti").drop("folded")
-    routed = route(read_files(files, plugins))
+    routed = route(without_repeated_features(read_files(files, plugins), files))
     lost = incidents(routed)
     return documents(routed), lost.unionByName(extra) if extra is not None else lost
 
@@ -126,6 +138,19 @@ def with_cache(files: DataFrame, cache: DataFrame, plugins: dict[str, Reader] |
     return known.unionByName(fresh.select(*key, "ordinal", "text", "error", F.lit(False).alias("cached")))
 
 
+def merged_in_order(*parts: DataFrame) -> DataFrame:
+    """Documents of several passes over a corpus, in order of their source."""
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p)
+    return whole.orderBy("fuente")
+
+
+def file_identity(files: DataFrame) -> DataFrame:
+    """path, size and upper-case SHA-256 of the content."""
+    return files.select("path", "size", F.upper(F.sha2("content", 256)).alias("sha256"))
+
+
 def ocr_candidates(lost: DataFrame) -> DataFrame:
     """Paths to read again once a plug-in is there."""
     return lost.where("estado = 'pendiente_ocr'").select(F.col("archivo").alias("path"))
