@@ -173,3 +173,10 @@ def test_evidence_and_stream_counts(spark, tmp_path):
     query = I.source_counts(stream, "t").writeStream.format("memory").queryName("counted").outputMode("complete").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted((r.source, r.n) for r in spark.table("counted").collect()) == [("r", 1), ("s", 2)]
+
+
+def test_scores_of_segmentations(spark):
+    rows = [("es", ["Uno  dos.", "Tres."], ["Uno dos.", "Tres."]), ("es", ["Uno.", "Dos."], ["Uno. Dos."]), ("en", ["Abcd"], ["Ab"])]
+    df = spark.createDataFrame(rows, "lang string, expected array<string>, found array<string>")
+    got = {r.lang: (r.precision, r.recall, r.exact, r.lost_share) for r in Q.segmentation_scores(df, "lang").collect()}
+    assert got == {"es": (1.0, 0.5, 0.5, 0.0), "en": (1.0, 1.0, 0.0, 0.5), None: (1.0, 0.5, 0.333333, round(2 / 27, 6))}

@@ -35,7 +35,11 @@ def test_plans():
 def test_fresh_then_approved_and_resumed(spark, tmp_path, raw):
     parent, child = str(tmp_path / "parent"), str(tmp_path / "child")
     make = lambda place, settings=SETTINGS: stages.Run(spark, place, settings, K.HashEncoder(64))
-    first = runs.execute(make(parent), runs.Plan.of("fresh"), raw, queries(spark))
+    run, told = make(parent), []
+    run.progress = lambda name, facts: told.append((name, facts["rows"]))
+    first = runs.execute(run, runs.Plan.of("fresh"), raw, queries(spark))
+    assert told == [(s, 12) for s in ("ingestion", "chunking", "embeddings", "index")]
+    assert "| chunking | executed | 12 |" in A.read_text(spark, f"{parent}/report.md")
     done = json.loads(A.read_text(spark, f"{parent}/run.json"))
     assert done["mode"] == "fresh" and done["index"]["rows"] == 12 and done["chunking"]["rows_per_second"] > 0
     assert abs(sum(s["percent"] for s in done.values() if isinstance(s, dict) and "percent" in s) - 100) < 1e-3
@@ -99,3 +103,54 @@ def test_commands(spark, tmp_path, capsys):
     assert '"deterministic": true' in capsys.readouterr().out
     with runs.Lock(spark, f"{bench}/benchmark.lock"), pytest.raises(RuntimeError):
         runs.main(["benchmark", "--documents", str(docs), "--folder", bench], spark)
+
+
+def test_chunks_by_a_tokenizer_fit_the_encoder(spark):
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    settings = stages.Settings(max_tokens=40, overlap_tokens=12, encoder_limit=64, tokenizer=path, dim=16)
+    rows = [("a", "f", "txt", 1, "El perro desconocido corre velozmente. " * 9), ("b", "f", "csv", 1, "x: 1\n" + "largapalabra, " * 60), ("c", "f", "txt", 1, "")]
+    docs = spark.createDataFrame(rows, "doc_id string, fuente string, formato string, fenomeno int, texto string")
+    counter = K.FileCounter(path)
+    got = stages.chunk_documents(docs, settings).collect()
+    assert got and all(r.num_tokens == counter.count(r.texto) <= settings.capacity for r in got) and any(r.hard_split for r in got)
+    assert any(len(r.texto.split()) < r.num_tokens for r in got)
+    chunks = stages.chunk_documents(docs, settings)
+    assert stages.embed(chunks, K.HashEncoder(16), settings).count() == len(got)
+    with pytest.raises(A.ContractError):
+        stages.embed(chunks.withColumn("num_tokens", chunks.num_tokens - 1), K.HashEncoder(16), settings)
+    with pytest.raises(stages.OversizedSentenceError):
+        stages.chunk_documents(docs.selectExpr("doc_id", "fuente", "formato", "fenomeno", "repeat('palabra ', 80) as texto"), settings)
+    words = stages.chunk_documents(docs, stages.Settings(max_tokens=40, overlap_tokens=12), counter=Words())
+    assert all(r.num_tokens == 1 + len(r.texto.split()) for r in words.collect())
+
+
+class Words:
+    """A word is a token, and every text has one more."""
+
+    def count(self, text):
+        return 1 + len(text.split())
+
+    def count_many(self, texts):
+        return [self.count(t) for t in texts]
+
+    def bare(self, text):
+        return len(text.split())
+
+    def offsets(self, text):
+        import re
+
+        return [m.span() for m in re.finditer(r"\S+", text)]
+
+
+def test_gates(spark):
+    chunks = spark.createDataFrame([("d", 0, "txt", "uno dos tres cuatro cinco seis siete ocho nueve diez once doce trece de"), ("d", 1, "txt", "la casa grande.")], "doc_id string, posicion int, formato string, texto string")
+    chunks = chunks.selectExpr("*", "concat(doc_id, posicion) as chunk_id", "'f' as fuente", "cast(null as struct<strategy:string>) as hard_split")
+    assert stages.boundary_gate(chunks)[0] == "FAIL" and stages.boundary_gate(chunks.where("posicion = 1"))[0] == "PASS"
+    assert stages.boundary_gate(chunks.withColumn("formato", chunks.doc_id.substr(9, 1)).selectExpr("doc_id", "posicion", "'csv' as formato", "texto", "hard_split"))[0] == "PASS"
+    docs = spark.createDataFrame([("d", "uno dos tres cuatro cinco seis siete ocho nueve diez once doce trece")], "doc_id string, texto string")
+    bank = lambda t: spark.createDataFrame([("q001", t)], "query_id string, text string")
+    gate = lambda t: stages.upstream_gate(docs, chunks, bank(t), SETTINGS)[0]
+    assert gate("tres cuatro cinco seis siete") == "FAIL" and gate("ninguna pregunta de estas hay") == "PASS"
+    assert gate("uno dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince dieciseis diecisiete") in ("NEEDS_REVIEW", "PASS")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from difflib import SequenceMatcher
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -184,6 +187,38 @@ def boundary_scores(df: DataFrame, expected: str, found: str, by: str) -> DataFr
     return out.select(by, F.round(p, 6).alias("precision"), F.round(r, 6).alias("recall"), F.round(F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0), 6).alias("f1"), "exact")
 
 
+def characters_lost(original: Column, rebuilt: Column) -> Column:
+    """Characters of a single-spaced text that no matching block of the rebuilt one holds; null where either is null."""
+
+    @F.pandas_udf("int")
+    def lost(a: pd.Series, b: pd.Series) -> pd.Series:
+        def one(x: str | None, y: str | None) -> int | None:
+            if x is None or y is None:
+                return None
+            left, right = " ".join(x.split()), " ".join(y.split())
+            if left == right:
+                return 0
+            return len(left) - sum(m.size for m in SequenceMatcher(None, left, right).get_matching_blocks())
+
+        return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="Int32")
+
+    return lost(original, rebuilt)
+
+
+def segmentation_scores(df: DataFrame, by: str) -> DataFrame:
+    """Scores of sentence lists (expected, found; arrays of strings), per group and over all: boundaries, exact lists, characters lost.
+
+    The share of lost characters is that of all characters expected.
+    """
+    spaced = lambda c: F.transform(c, lambda s: F.trim(F.regexp_replace(s, f"(?U)[{T.SPACE}]+", " ")))
+    rows = df.select(by, spaced(F.col("expected")).alias("x"), spaced(F.col("found")).alias("y"))
+    rows = rows.select(by, "x", "y", T.boundary_offsets(F.col("x")).alias("e"), T.boundary_offsets(F.col("y")).alias("f"), F.array_join("x", " ").alias("text"))
+    rows = rows.withColumn("lost", characters_lost(F.col("text"), F.array_join("y", " ")))
+    scores = boundary_scores(rows, "e", "f", by).drop("exact")
+    lost = rows.rollup(by).agg(F.round(F.avg((F.col("x") == F.col("y")).cast("int")), 6).alias("exact"), F.round(F.sum("lost") / F.greatest(F.sum(F.length("text")), F.lit(1)), 6).alias("lost_share"))
+    return scores.join(lost.withColumnRenamed(by, "_by"), F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
+
+
 def repetition(df: DataFrame, by: list[str], seconds: str, digest: str) -> DataFrame:
     """Timing spread of repeated runs and whether all gave one digest."""
     return distribution(df, seconds, by).join(df.groupBy(*by).agg((F.countDistinct(digest) == 1).alias("deterministic")), by)

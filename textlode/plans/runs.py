@@ -116,6 +116,7 @@ def execute(run: Run, plan: Plan, corpus: str, queries: DataFrame, parent: str |
             run.done["chunk_policy"] = chunk_policy(run.done["ingestion"], run.done["chunking"], before)
     finally:
         A.write_text(run.spark, f"{run.folder}/run.json", json.dumps(run.done, sort_keys=True, default=str, indent=1))
+        A.write_text(run.spark, f"{run.folder}/report.md", report(run.done))
     return results
 
 
@@ -128,6 +129,20 @@ def compatibility(settings: Settings, source: str, *more: str) -> dict:
     return {"settings": settings.fingerprint(), "source": source, "code": code.hexdigest(), "versions": versions, "more": list(more)}
 
 
+def report(done: dict) -> str:
+    """A run in Markdown: its mode, and per stage how it came about, rows, seconds, rate and share of the time."""
+    lines = [f"# Run ({done.get('mode', 'custom')})", "", "| stage | how | rows | seconds | rows a second | % |", "|---|---|---|---|---|---|"]
+    for name in STAGES:
+        if isinstance(s := done.get(name), dict) and "seconds" in s:
+            how = "inherited" if s.get("inherited") else "reused" if s.get("reused") else "executed"
+            lines.append(f"| {name} | {how} | {s.get('rows', '')} | {s['seconds']:.3f} | {s.get('rows_per_second') or ''} | {s.get('percent', '')} |")
+    if "failed" in done:
+        lines += ["", f"Failed: {done['failed']}"]
+    if policy := done.get("chunk_policy"):
+        lines += ["", f"Chunks: {policy['policy']}"]
+    return "\n".join(lines) + "\n"
+
+
 class Lock:
     """A file that only one process makes; it is removed at the end."""
 

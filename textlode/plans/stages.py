@@ -65,19 +65,20 @@ class Settings:
         return hashlib.sha256(json.dumps(asdict(self), sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
-def chunk_documents(docs: DataFrame, settings: Settings, splitter: Callable[[Column, Column], Column] = split_column) -> DataFrame:
+def chunk_documents(docs: DataFrame, settings: Settings, splitter: Callable[[Column, Column], Column] = split_column, counter=None) -> DataFrame:
     """Chunks of documents (doc_id, fuente, formato, fenomeno, texto).
 
     Rows of tables are units as they are, prose is cut to sentences by
-    ``splitter`` (text, format -> array<string>).  With ``settings.tokenizer``
-    units and chunks are counted by that file (see ``packing.pack_exact``), else
-    by white-space words in built-in expressions.  A prose unit over the
+    ``splitter`` (text, format -> array<string>).  Units and chunks are counted
+    by ``counter`` (``count``, ``count_many``, ``bare``, ``offsets``) or by the
+    file ``settings.tokenizer`` (see ``packing.pack_exact``), without either by
+    white-space words in built-in expressions.  A prose unit over the
     encoder's capacity that is no table, list or code is an error; other
     oversized chunks are divided with exact coverage, kept in ``hard_split``.
     """
     fmt = F.lower("formato")
     units = F.when(fmt.isin(*T.TABULAR_FORMATS), T.row_units(F.col("texto"))).otherwise(splitter(F.col("texto"), F.col("formato")))
-    counter = settings.counter()
+    counter = counter or settings.counter()
     split = docs.withColumn("texts", units)
     if counter:
         split = split.withColumn("_e", P.exact_chunks(F.col("texts"), counter, settings.max_tokens, settings.overlap_tokens))
@@ -140,8 +141,19 @@ class Run:
     done: dict = field(default_factory=dict)
     #: Places of finished stages of another run that this one goes on from; these are read and never written.
     inherited: dict[str, str] = field(default_factory=dict)
+    #: Told of every stage that is done, with its facts.
+    progress: Callable[[str, dict], None] | None = None
 
-    def _stage(self, name: str, order: str, identity: str, make, reuse: bool, since: str) -> DataFrame:
+    def _tell(self, name: str) -> None:
+        if self.progress:
+            self.progress(name, self.done[name])
+
+    def _stage(self, name: str, *how) -> DataFrame:
+        data = self._artifact(name, *how)
+        self._tell(name)
+        return data
+
+    def _artifact(self, name: str, order: str, identity: str, make, reuse: bool, since: str) -> DataFrame:
         place = f"{self.folder}/{name}"
         if name in self.inherited:
             data, manifest = A.load(self.spark, self.inherited[name])
@@ -194,6 +206,7 @@ class Run:
             if b == 2:
                 return None
             vectors = self._index(chunks, keep("index"))
+            self._tell("index")
             if b <= 3:
                 return None
             results = answer(vectors, chunks, queries, self.encoder, self.settings)

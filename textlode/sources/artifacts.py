@@ -115,9 +115,9 @@ def scan_judgments(spark: SparkSession, path: str, per_query: int = 5) -> DataFr
 
 
 def write_judgment_sheet(rows: DataFrame, path: str) -> None:
-    """Sheet for graders, in order of query and rank."""
+    """Sheet for graders, in order of query and rank; a mark of UTF-8 stands before its first name, as spreadsheets want it."""
     names = [f.name for f in Y._parse_datatype_string(JUDGMENT)]
-    rows.select(*[c if c in rows.columns else F.lit(None).cast("string").alias(c) for c in names]).orderBy("query_id", "rank").coalesce(1).write.mode("errorifexists").option("header", "true").option("escape", '"').csv(path)
+    rows.select(*[c if c in rows.columns else F.lit(None).cast("string").alias(c) for c in names]).orderBy("query_id", "rank").withColumnRenamed(names[0], "\ufeff" + names[0]).coalesce(1).write.mode("errorifexists").option("header", "true").option("escape", '"').csv(path)
 
 
 def _fs(spark: SparkSession, path: str):
