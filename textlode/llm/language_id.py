@@ -51,41 +51,49 @@ def _letters() -> np.ndarray:
     return table
 
 
-def slice_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-grams of all texts, one per place, and the number of each one's text; texts without letters have none."""
+def slice_grams(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per order the hashed n-grams of all texts, one per place, and each text's first (n+1); texts without letters have none."""
     low = [t.lower() for t in texts]
     code = np.frombuffer(" ".join(["", *low, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    edge = np.concatenate(([0], np.cumsum([len(t) + 1 for t in low])))  # the space before each text, and the last
+    edge = np.concatenate(([0], np.cumsum([len(t) + 1 for t in low]))).astype(np.int64)  # the space before each text, and the last
     kind = _letters()[code]
     letter = kind > 0
-    owner = np.repeat(np.arange(len(low)), np.diff(edge))
-    has = np.bincount(owner[kind[:-1] == 2], minlength=len(low)) > 0
-    keep = np.append(letter[:-1] | np.append(True, letter[:-2]) | (np.diff(owner, prepend=-1) != 0), True)
+    keep = letter.copy()
+    keep[1:] |= letter[:-1]
+    keep[edge] = True
+    place = np.concatenate(([0], np.cumsum(keep)))
     kept = np.where(letter, code, np.uint32(32))[keep]
-    owner = np.append(owner, len(low))[keep]
-    first, n = np.searchsorted(owner, np.arange(len(low))), len(kept)
-    # a text's places go on to the space that begins the next; a run of n-grams may not cross it
-    stop = np.repeat(np.append(first[1:], n - 1), np.diff(np.append(first, n - 1))) if len(low) else np.zeros(0, np.int64)
-    at = np.arange(n - 1)
-    out, whose = [], []
-    run = np.zeros(n, dtype=np.uint32)
+    first = place[edge]  # of the space before each text, and of the last
+    has = np.add.reduceat(kind[:-1] == 2, edge[:-1], dtype=np.int64) > 0 if len(low) else np.zeros(0, dtype=bool)
+    out, run = [], np.zeros(len(kept), dtype=np.uint32)
     with np.errstate(over="ignore"):
         for order in range(1, ORDERS + 1):
-            run = run[: n - order + 1] * np.uint32(0x01000193) + kept[order - 1 :]
+            run = run[: len(kept) - order + 1] * np.uint32(0x01000193) + kept[order - 1 :]
             mixed = (run ^ (run >> np.uint32(15)) ^ np.uint32(order * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
             mixed = (mixed ^ (mixed >> np.uint32(13))) * np.uint32(0xC2B2AE35) >> np.uint32(32 - 15)
-            ok = np.flatnonzero(at + order - 1 <= stop)
-            ok = ok[has[owner[ok]]]
-            out.append(mixed[ok])
-            whose.append(owner[ok])
-    return np.concatenate(out), np.concatenate(whose)
+            # single places leave out the last space, longer runs end with it at the latest
+            begin, end = first[:-1], np.where(has, np.maximum(first[1:] - max(order - 2, 0), first[:-1]), first[:-1])
+            out.append((mixed, np.stack((begin, end), axis=1)))
+    return out
 
 
 def counted(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, feature, count) of a slice of texts, ascending."""
-    found, owner = slice_grams(texts)
-    both, n = np.unique(owner * np.int64(FEATURES) + found, return_counts=True)
-    return both // FEATURES, both % FEATURES, n
+    found = slice_grams(texts)
+    features, counts = [], []
+    for k in range(len(texts)):
+        own = np.concatenate([mixed[span[k, 0] : span[k, 1]] for mixed, span in found])
+        if len(own) < 2000:
+            feature, n = np.unique(own, return_counts=True)
+        else:
+            n = np.bincount(own, minlength=FEATURES)
+            feature = np.flatnonzero(n)
+            n = n[feature]
+        features.append(feature)
+        counts.append(n)
+    owner = np.repeat(np.arange(len(texts)), [len(f) for f in features])
+    cat = lambda x: np.concatenate(x or [np.zeros(0)]).astype(np.int64)
+    return owner, cat(features), cat(counts)
 
 
 def text_slices(column: pa.Array, limit: int = K.SLICE_BYTES // 4):
