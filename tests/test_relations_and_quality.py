@@ -147,3 +147,23 @@ def test_identity_is_one_digest_at_every_size(spark, monkeypatch):
         monkeypatch.setattr(R, "SLICE_BYTES", size)
         assert tuple(R.identity_hash(odd.repartition(3), "o", "v", chunk).first()) == (7, 2, want)
     assert tuple(R.identity_hash(odd.where("false"), "o", "v").first()) == (0, 0, hashlib.sha256(b"\n").hexdigest().upper())
+
+
+def test_few_queries_pass_over_the_vectors_and_many_meet_them_in_blocks(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, [float(rng.randrange(-3, 4)) for _ in range(5)]) for i in range(300)] + [(300, None), (301, [1.0, None, 1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(7)
+    asked = df.where("vec_id % 9 = 0")
+    one = sorted(map(tuple, S.search(df, asked, 6).collect()))
+    good = [(i, v) for i, v in rows if v and None not in v]
+    want = []
+    for q, a in good:
+        if q % 9 == 0:
+            got = sorted((-round(sum(x * y for x, y in zip(a, b, strict=True)), 6), i) for i, b in good if i != q)[:6]
+            want += [(q, p, i, -s) for p, (s, i) in enumerate(got, 1)]
+    assert sorted((r[0], r[3], r[1], r[2]) for r in one) == sorted(want)
+    for name, value in (("FEW_QUERIES", 3), ("FEW_BYTES", 10)):
+        with monkeypatch.context() as m:
+            m.setattr(S, name, value)
+            assert sorted(map(tuple, S.search(df, asked, 6).collect())) == one
+    assert S.search(df, asked.where("false"), 6).count() == 0 and S.search(df.where("false"), asked, 6).count() == 0

@@ -1,9 +1,9 @@
 """Exact vector retrieval, ranking, pooling and result formatting.
 
-The search packs vectors into shards and queries into blocks and scores one
-block against one shard per row with a matrix product, keeping the best of
-each query; no row per pair is ever made.  Queries may be many: both sides are
-dealt, none is broadcast.
+Up to FEW_QUERIES queries of at most FEW_BYTES go to every task, which passes
+over its vectors once and returns the best of each query: vectors are not
+moved.  More queries are packed into blocks and vectors into shards; one block
+meets one shard per row with a matrix product.  No row per pair is ever made.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 SHARD_ROWS, BLOCK_ROWS = 16_384, 1_024
+#: A query set that may go to every task.
+FEW_QUERIES, FEW_BYTES = 2_048, 16 << 20
 CANDIDATES, FRAGMENTS, DOCUMENTS, MOST_WORDS = 50, 10, 3, 250
 
 
@@ -28,6 +30,29 @@ def _packed(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
     return grouped.select(name, F.col("rows.id").alias(f"{name}_ids"), F.flatten(F.col("rows.v")).alias(f"{name}_v")), n
 
 
+FOUND = "query_id bigint, row_pos bigint, score double"
+
+
+def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k greatest finite scores, ties to the smaller id."""
+    m = min(k, len(scores))
+    floor = np.partition(scores, len(scores) - m)[len(scores) - m] if m else 0.0
+    some = np.flatnonzero((scores >= floor) & (scores > -np.inf))
+    return some[np.lexsort((ids[some], -scores[some]))[:k]]
+
+
+def _products(q_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Rounded inner products, a query's own row left out."""
+    scores = np.round(queries @ rows.T, 6)
+    scores[q_ids[:, None] == ids[None, :]] = -np.inf
+    return scores
+
+
+def _rows(q_ids: np.ndarray, best: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    parts = (np.repeat(q_ids, [len(i) for i, _ in best]), np.concatenate([i for i, _ in best]).astype(np.int64), np.concatenate([s for _, s in best]))
+    return pa.RecordBatch.from_arrays([pa.array(p) for p in parts], ["query_id", "row_pos", "score"])
+
+
 def _score(k: int):
     def run(batches):
         for batch in batches:
@@ -38,18 +63,33 @@ def _score(k: int):
                     continue
                 queries, rows = q.reshape(len(q_ids), -1), v.reshape(len(ids), -1)
                 for s in range(0, len(q_ids), 128):
-                    scores = np.round(queries[s : s + 128] @ rows.T, 6)
-                    scores[q_ids[s : s + 128][:, None] == ids[None, :]] = -np.inf
-                    m = min(k, len(ids))
-                    floor = np.partition(scores, len(ids) - m, axis=1)[:, len(ids) - m]
-                    out_q, out_v, out_s = [], [], []
-                    for i, row in enumerate(scores):
-                        some = np.flatnonzero((row >= floor[i]) & (row > -np.inf))
-                        best = some[np.lexsort((ids[some], -row[some]))[:k]]
-                        out_q.append(np.full(len(best), q_ids[s + i]))
-                        out_v.append(ids[best])
-                        out_s.append(row[best])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_q, out_v, out_s)], ["query_id", "row_pos", "score"])
+                    scores = _products(q_ids[s : s + 128], queries[s : s + 128], ids, rows)
+                    chosen = [_best(row, ids, k) for row in scores]
+                    yield _rows(q_ids[s : s + 128], [(ids[c], row[c]) for c, row in zip(chosen, scores, strict=True)])
+
+    return run
+
+
+def _pass(q_ids: np.ndarray, queries: np.ndarray, k: int):
+    """One pass over all vectors of a task, with the best of each query so far."""
+
+    def run(batches):
+        best = [(np.zeros(0, np.int64), np.zeros(0)) for _ in q_ids]
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            if not len(ids):
+                continue
+            rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+            for s in range(0, len(q_ids), 128):
+                for i, row in enumerate(_products(q_ids[s : s + 128], queries[s : s + 128], ids, rows), s):
+                    had_ids, had = best[i]
+                    if len(had) == k and row.max() < had[-1]:
+                        continue
+                    all_ids, scores = np.concatenate((had_ids, ids)), np.concatenate((had, row))
+                    top = _best(scores, all_ids, k)
+                    best[i] = all_ids[top], scores[top]
+        if len(q_ids):
+            yield _rows(q_ids, best)
 
     return run
 
@@ -63,12 +103,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = CANDIDATES, id_col:
     """
     v = F.col(vector_col).cast("array<double>")
     plain = lambda df: df.select(F.col(id_col).cast("bigint").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull() & ~F.coalesce(F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), F.lit(True)))
+    few = plain(queries).limit(FEW_QUERIES + 1).toArrow()
+    if few.num_rows <= FEW_QUERIES and few.nbytes <= FEW_BYTES:
+        q_ids = few.column("id").to_numpy()
+        asked = few.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(q_ids), -1) if len(q_ids) else np.zeros((0, 0))
+        return rank(plain(vectors).mapInArrow(_pass(q_ids, asked, k), FOUND), k, ["query_id"], "row_pos", "position")
     shards, n_shards = _packed(plain(vectors), SHARD_ROWS, "shard")
     blocks, n_blocks = _packed(plain(queries), BLOCK_ROWS, "block")
     left = blocks.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
     right = shards.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     pairs = left.join(right, (F.col("s") == F.col("shard")) & (F.col("b") == F.col("block"))).select("block_ids", "block_v", "shard_ids", "shard_v")
-    return rank(pairs.mapInArrow(_score(k), "query_id bigint, row_pos bigint, score double"), k, ["query_id"], "row_pos", "position")
+    return rank(pairs.mapInArrow(_score(k), FOUND), k, ["query_id"], "row_pos", "position")
 
 
 def rank(rows: DataFrame, k: int, by: list[str], tie: str, name: str = "rank", score: str = "score") -> DataFrame:
