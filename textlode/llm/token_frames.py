@@ -189,23 +189,25 @@ def _library_table(path: str) -> tuple[PieceTable | WholeTexts, int]:
     def one_by_one(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def many_words(words: list[str]) -> list[np.ndarray] | list[list[int]]:
+    def many_words(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words of letters only, in one call: each ends with the one token that ends a word."""
         ids = np.array(tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype=np.uint32)
         stop = np.flatnonzero(ends_word[ids]) + 1
-        return np.split(ids, stop[:-1]) if len(stop) == len(words) and stop[-1] == len(ids) else one_by_one(words)
+        whole = len(stop) == len(words) and stop[-1] == len(ids)
+        return (ids, np.diff(stop, prepend=0)) if whole else flat_ids(one_by_one(words))
 
     def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts = [p.decode("utf-8") for p in pieces]
-        words = [k for k, t in enumerate(texts) if t.isalpha()]
-        rest = [k for k, t in enumerate(texts) if not t.isalpha()]
-        parts: list = [None] * len(texts)
-        for s in range(0, len(words), 512):
-            for k, p in zip(words[s : s + 512], many_words([texts[k] for k in words[s : s + 512]]), strict=True):
-                parts[k] = p
-        for k, p in zip(rest, one_by_one([texts[k] for k in rest]), strict=True):
-            parts[k] = np.array(p, dtype=np.uint32)
-        return flat_ids(parts)
+        plain = np.fromiter((t.isalpha() for t in texts), dtype=bool, count=len(texts))
+        words, rest = ([texts[k] for k in np.flatnonzero(side)] for side in (plain, ~plain))
+        done = [many_words(words[s : s + 512]) for s in range(0, len(words), 512)] + [flat_ids(one_by_one(rest))]
+        flat, sizes = (np.concatenate([d[k] for d in done]) for k in (0, 1))
+        # back from words first to the order of the pieces
+        at = np.empty(len(texts), dtype=np.int64)
+        at[np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain)))] = np.arange(len(texts))
+        begin, size = (np.cumsum(sizes) - sizes)[at], sizes[at]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        return flat[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])], size
 
     size = tokenizer.get_vocab_size(with_added_tokens=True)
     if not is_cuttable(spec):
