@@ -113,3 +113,25 @@ def test_query_against_brute_force_on_whole_table(spark):
 def test_rows_are_kept_whole_with_any_columns(spark):
     df = spark.createDataFrame([(2, "a b c d e f", "x", 1), (1, "A b c d e f", "y", 2), (3, None, "z", 3), (1, "A b c d e f", "y", 2)], "doc_id long, text string, n string, root int")
     assert sorted(tuple(r) for r in M.drop_near_duplicates(df).collect()) == [(1, "A b c d e f", "y", 2), (3, None, "z", 3)]
+
+
+def thue_morse(n, a, b):
+    """A word over two letters and, with them swapped, its complement: equal under polynomial hashes modulo 2**64."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join(b if x else a for x in bits)
+
+
+def test_words_that_polynomial_hashes_confuse_are_kept_apart(spark):
+    one, two = thue_morse(1024, "a", "b"), thue_morse(1024, "b", "a")
+    rest = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, one), (2, two), (3, f"{one} {rest}"), (4, f"{two} {rest}"), (5, " ".join([one, two] * 3)), (6, " ".join([two, one] * 3))]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_any_seed_gives_the_same_components(spark):
+    rng = random.Random(3)
+    base = [f"v{i}" for i in range(80)]
+    rows = [(k, " ".join(w if rng.random() > 0.01 else f"n{k}" for w in base)) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [sorted((r.doc_id, r.component_id) for r in M.near_duplicate_rows(df, seed=s).select("doc_id", "component_id").collect()) for s in (0, 1, 12345)]
+    assert got[0] == got[1] == got[2] == sorted((k, c) for k, _, c, _ in brute(rows))

@@ -1,7 +1,11 @@
 import hashlib
+import random
 import re
 from collections import Counter
 
+import pytest
+
+from textlode.llm import substring_dedup as S
 from textlode.llm.substring_dedup import substring_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -52,3 +56,27 @@ def test_query_against_brute_force_on_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     want = sorted((k, n, m, hashlib.sha256(t.encode()).hexdigest()) for k, n, m, t in brute(rows, 35))
     assert sorted(tuple(r) for r in op1_substring_dedup(spark, d).collect()) == want
+
+
+def test_words_that_polynomial_hashes_confuse_are_kept(spark):
+    from .test_minhash_dedup import thue_morse
+
+    rest = " ".join(f"w{i}" for i in range(34))
+    rows = [(k, f"{thue_morse(1024, *ab)} {rest}") for k, ab in enumerate(("ab", "ba", "cd"))]
+    assert run(spark, rows, 35) == brute(rows, 35) and all(r[2] == 0 for r in run(spark, rows, 35))
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 7, 16, 64, 101])
+def test_levels_of_any_window(spark, window):
+    lengths = S.levels(window)
+    assert lengths[-1] == window and all(b <= 2 * a or b == window for a, b in zip(lengths, lengths[1:], strict=False))
+    rng = random.Random(window)
+    passage = [f"p{i}" for i in range(window + 9)]
+    rows = []
+    for k in range(40):
+        words = [rng.choice("abcdefgh") + str(rng.randrange(40)) for _ in range(rng.randrange(0, 3 * window + 20))]
+        if k % 3 == 0:
+            at, n = rng.randrange(len(words) + 1), rng.randrange(max(1, window - 1), window + 9)
+            words[at:at] = passage[:n]
+        rows.append((k, " ".join(words)))
+    assert run(spark, rows, window) == brute(rows, window)
