@@ -171,3 +171,11 @@ def test_at_most_35_percent_are_scored_exactly():
     score[ids[q][:, None] == ids[None, :]] = -np.inf
     hits = [len(set(r[0]) & set(ids[np.argsort(-s)[:20]])) for r, s in zip(results, score, strict=True)]
     assert np.mean(hits) / 20 >= 0.95 and scored <= 0.35 * q.sum() * len(ids)
+
+
+def test_long_vectors_make_small_shards(spark, monkeypatch):
+    assert [B.shard_rows(d) for d in (1, 64, 1024, 10**9)] == [8192, 8192, 4096, 1]
+    monkeypatch.setattr(B, "SHARD_BYTES", 8 * 24 * 50)
+    rows = sample(300)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert sorted(tuple(r) for r in KD.kd_top_k(df, F.col("vec_id") % 50 == 0, k=5).collect()) == brute(rows, lambda i: i % 50 == 0, 5, integer)

@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import Scratch
 
-#: Vectors of a shard, most queries of a block, shards that one task goes through.
+#: Most vectors of a shard, most queries of a block, shards that one task goes through.
 SHARD_ROWS, BLOCK_ROWS, RUN_SHARDS = 8192, 1024, 8
+#: Bytes that a shard's vectors may take; long vectors make smaller shards.
+SHARD_BYTES = 32 << 20
 #: Most regions that vectors of one dimension are dealt to, and bytes of their sample.
 REGIONS, SAMPLE_BYTES = 256, 8 << 20
 SHARDS = "dim int, shard int, file string, ids binary, extra binary"
@@ -61,6 +63,10 @@ def matrix(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return ids[order], rows[order]
 
 
+def shard_rows(dim: int) -> int:
+    return max(1, min(SHARD_ROWS, SHARD_BYTES // (8 * dim)))
+
+
 def _lookup(values: dict, key: Column) -> Column:
     """The value of a key among literals; 1 for others."""
     if not values:
@@ -90,7 +96,7 @@ def place(rows: DataFrame, counts: dict[int, int]) -> DataFrame:
     """
     trees = {}
     for dim, n in counts.items():
-        depth = min(REGIONS, math.ceil(n / SHARD_ROWS)).bit_length() - 1
+        depth = min(REGIONS, math.ceil(n / shard_rows(dim))).bit_length() - 1
         if depth <= 0:
             continue
         most = max(1, SAMPLE_BYTES // (8 * dim))
@@ -131,8 +137,8 @@ def make_shards(rows: DataFrame, build: Callable[[np.ndarray, np.ndarray], tuple
     first, number = {}, {}
     for (dim, region), n in sorted(sizes.items()):
         first[f"{dim} {region}"] = number.get(dim, 0)
-        number[dim] = number.get(dim, 0) + math.ceil(n / SHARD_ROWS)
-    many = {f"{dim} {region}": math.ceil(n / SHARD_ROWS) for (dim, region), n in sizes.items()}
+        number[dim] = number.get(dim, 0) + math.ceil(n / shard_rows(dim))
+    many = {f"{dim} {region}": math.ceil(n / shard_rows(dim)) for (dim, region), n in sizes.items()}
     name = F.concat_ws(" ", "dim", "region")
     dealt = placed.withColumn("shard", (_lookup(first, name) + F.floor(F.col("r") * _lookup(many, name))).cast("int")).select("dim", "shard", "id", "vec")
     folder = work.path("vectors")
