@@ -1,5 +1,6 @@
 import hashlib
 import json
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from textlode.operators import quality as Q
 from textlode.operators import relations as R
 from textlode.plans import agents as G
 from textlode.sources import artifacts as A
-from textlode.sources import cache, corpus
+from textlode.sources import cache, corpus, images
 from textlode.sources import pages as P
 from textlode.streaming import incremental as I
 
@@ -180,3 +181,21 @@ def test_scores_of_segmentations(spark):
     df = spark.createDataFrame(rows, "lang string, expected array<string>, found array<string>")
     got = {r.lang: (r.precision, r.recall, r.exact, r.lost_share) for r in Q.segmentation_scores(df, "lang").collect()}
     assert got == {"es": (1.0, 0.5, 0.5, 0.0), "en": (1.0, 1.0, 0.0, 0.5), None: (1.0, 0.5, 0.333333, round(2 / 27, 6))}
+
+
+def test_sizes_of_pictures(spark, tmp_path):
+    png = b"\x89PNG\r\n\x1a\n" + struct.pack(">I4sIIBBBBB", 13, b"IHDR", 640, 480, 8, 6, 0, 0, 0)
+    jpeg = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xff\xc2\x00\x11\x08" + struct.pack(">HHB", 30, 40, 3) + b"\0" * 9
+    lossless = b"RIFF\0\0\0\0WEBPVP8L\0\0\0\0\x2f" + ((99) | (49 << 14) | (1 << 28)).to_bytes(4, "little")
+    wide = b"RIFF\0\0\0\0WEBPVP8X\x0a\0\0\0\x10\0\0\0" + (299).to_bytes(3, "little") + (199).to_bytes(3, "little")
+    lossy = b"RIFF\0\0\0\0WEBPVP8 \0\0\0\0\0\0\0\x9d\x01\x2a" + struct.pack("<HH", 33, 44)
+    want = {png: (640, 480, "RGBA"), jpeg: (40, 30, "RGB"), lossless: (100, 50, "RGBA"), wide: (300, 200, "RGBA"), lossy: (33, 44, "RGB"), b"": None, b"\xff\xd8": None, png[:20]: None, b"II*\0": None, b"text": None}
+    assert {k: images.image_size(k) for k in want} == want and images.image_size(None) is None
+    entries = [(256, 3, 7), (257, 4, 9), (277, 3, 3)]
+    tiff = b"II*\0" + struct.pack("<IH", 8, len(entries)) + b"".join(struct.pack("<HHII", t, k, 1, v) for t, k, v in entries)
+    assert images.image_size(tiff) == (7, 9, "RGB")
+    (tmp_path / "F1_a").mkdir()
+    (tmp_path / "F1_a" / "x.png").write_bytes(png)
+    docs, _ = corpus.ingest(spark, str(tmp_path), plugins={".png": lambda raw: "texto leido"})
+    (r,) = docs.collect()
+    assert tuple(r.metadata.imagen) == (640, 480, "RGBA") and r.metadata.procedencia is None

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.relations import ranked
+from .images import size_column
 from .mvt import deduped_texts, feature_rows
 from .readers import READERS, Reader, read_column
 
@@ -59,14 +60,14 @@ def fold_path(path: Column) -> Column:
 
 def read_files(files: DataFrame, plugins: dict[str, Reader] | None = None) -> DataFrame:
     """Files with cleaned text, error, metadata and the columns of documents."""
-    got = files.withColumn("_r", read_column(F.col("content"), F.col("suffix"), plugins))
+    got = files.withColumn("_r", read_column(F.col("content"), F.col("suffix"), plugins)).withColumn("_i", size_column(F.when(T.format_name(F.col("suffix")) == "imagen", F.col("content"))))
     links = T.urls(F.make_valid_utf8(F.col("content").cast("string")))
     source = F.when((F.col("suffix") == ".json") & (F.size(links) > 0), F.struct(links.alias("urls")))
     return got.select(
         "ordinal", "path", "suffix", "size", "mtime",
         T.document_id(F.col("path"), F.col("content")).alias("doc_id"),
         T.clean_text(F.col("_r.text")).alias("text"), F.col("_r.error").alias("error"),
-        T.phenomenon(F.col("path")).alias("fenomeno"), F.struct(source.alias("procedencia")).alias("metadata"),
+        T.phenomenon(F.col("path")).alias("fenomeno"), F.struct(source.alias("procedencia"), F.when(F.col("_i.ancho").isNotNull(), F.col("_i")).alias("imagen")).alias("metadata"),
     )
 
 
