@@ -22,15 +22,36 @@ class Rows:
     def __len__(self) -> int:
         return len(self.offsets) - 1
 
-    def block(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Features in use and the dense matrix of these rows over them."""
+    def batch(self, rows: np.ndarray, more: Rows | None = None) -> Batch:
+        """These rows, and after them all of ``more``."""
         size = self.offsets[rows + 1] - self.offsets[rows]
         ends = np.concatenate(([0], np.cumsum(size)))
         at = np.repeat(self.offsets[rows] - ends[:-1], size) + np.arange(ends[-1])
-        used, column = np.unique(self.features[at], return_inverse=True)
-        dense = np.zeros((len(rows), len(used)))
-        dense[np.repeat(np.arange(len(rows)), size), column] = self.values[at]
-        return used, dense
+        parts = [(self.features[at], self.values[at], np.repeat(np.arange(len(rows)), size))]
+        n = len(rows)
+        if more is not None and len(more):
+            parts.append((more.features, more.values, np.repeat(np.arange(n, n + len(more)), np.diff(more.offsets))))
+            n += len(more)
+        return Batch(*(np.concatenate(c) for c in zip(*parts, strict=True)), n)
+
+
+class Batch:
+    """Some sparse rows over the features that they use: products without a dense matrix."""
+
+    def __init__(self, features: np.ndarray, values: np.ndarray, row: np.ndarray, n: int):
+        mark = np.zeros(int(features.max(initial=-1)) + 1, dtype=bool)
+        mark[features] = True
+        self.used = np.flatnonzero(mark)
+        place = np.cumsum(mark) - 1
+        self.at, self.values, self.row, self.n = place[features], values.astype(np.float64), row, n
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        """Rows times weights (of the used features; one column per class)."""
+        return np.stack([np.bincount(self.row, weights=self.values * w[self.at], minlength=self.n) for w in weights.T], axis=1)
+
+    def gradient(self, error: np.ndarray) -> np.ndarray:
+        """Transposed rows times an error per row (one column per class)."""
+        return np.stack([np.bincount(self.at, weights=self.values * e[self.row], minlength=len(self.used)) for e in error.T], axis=1)
 
 
 class Ftrl:

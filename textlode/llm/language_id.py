@@ -194,17 +194,17 @@ def fit(docs: DataFrame, label_col: str = "lang", text_col: str = "text", id_col
         rng.shuffle(train)
         for s in range(0, len(train), BATCH):
             rows_ = train[s : s + BATCH]
-            used, x = data.block(rows_)
-            w = learner.weights(used)
-            error = softmax(x @ w)
+            batch = data.batch(rows_)
+            w = learner.weights(batch.used)
+            error = softmax(batch.scores(w))
             error[np.arange(len(rows_)), target[rows_]] -= 1
-            learner.step(used, w, x.T @ error / len(rows_))
+            learner.step(batch.used, w, batch.gradient(error) / len(rows_))
     weights = learner.weights()
     back = np.flatnonzero(held)
     logits = np.zeros((len(back), len(labels)))
     for s in range(0, len(back), 64):
-        used, x = data.block(back[s : s + 64])
-        logits[s : s + 64] = x @ weights[used]
+        batch = data.batch(back[s : s + 64])
+        logits[s : s + 64] = batch.scores(weights[batch.used])
     return Model(labels, idf, weights[:FEATURES].astype(np.float32), weights[bias], temperature(logits, target[back]))
 
 

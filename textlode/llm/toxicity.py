@@ -162,24 +162,16 @@ def fit_rows(features: list[Features], toxic: np.ndarray, weight: np.ndarray, co
             rows = order[s : s + BATCH]
             other = [swaps.swap(*features[r], rng) if named[r] else None for r in rows]
             pair = np.array([k for k, o in enumerate(other) if o is not None], dtype=np.int64)
-            used, x = data.block(rows)
-            if len(pair):
-                more = _rows([other[k] for k in pair])
-                used2, x2 = more.block(np.arange(len(pair)))
-                every = np.union1d(used, used2)
-                wide = np.zeros((len(rows), len(every)))
-                wide[:, np.searchsorted(every, used)] = x
-                wide2 = np.zeros((len(pair), len(every)))
-                wide2[:, np.searchsorted(every, used2)] = x2
-                used, x = every, wide
-            free = (used == bias)[:, None]
-            w = np.where(free, learner.weights(used, l1=0.0), learner.weights(used))
-            p = 1 / (1 + np.exp(-np.clip((x @ w)[:, 0], -40, 40)))
-            g = x.T @ (weight[rows] * (p - toxic[rows]))[:, None]
-            if len(pair):
-                change = x[pair] - wide2
-                g = g + 2 * counterfactual * (change.T @ (change @ w))
-            learner.step(used, w, g)
+            batch = data.batch(rows, _rows([other[k] for k in pair]) if len(pair) else None)
+            free = (batch.used == bias)[:, None]
+            w = np.where(free, learner.weights(batch.used, l1=0.0), learner.weights(batch.used))
+            logit = batch.scores(w)[:, 0]
+            error = np.zeros(batch.n)
+            error[: len(rows)] = weight[rows] * (1 / (1 + np.exp(-np.clip(logit[: len(rows)], -40, 40))) - toxic[rows])
+            change = 2 * counterfactual * (logit[pair] - logit[len(rows) :])
+            error[pair] += change
+            error[len(rows) :] = -change
+            learner.step(batch.used, w, batch.gradient(error[:, None]))
     weights = learner.weights()[:, 0]
     return Model(weights[:bias], float(learner.weights(np.array([bias]), l1=0.0)[0, 0]), len(features), int(named.sum()))
 
