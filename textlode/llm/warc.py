@@ -133,6 +133,10 @@ class Damaged(ValueError):
     """A record that can't be read as one."""
 
 
+class Ended(Damaged):
+    """A record that the end of the data cuts short."""
+
+
 def parse_warc(file) -> Iterator[tuple[dict[str, str], bytes] | Damaged]:
     """(WARC headers with lower-case names, block) of each record of a binary stream, plain or of gzip members.
 
@@ -158,15 +162,17 @@ def parse_warc(file) -> Iterator[tuple[dict[str, str], bytes] | Damaged]:
             length = head.get("content-length", "0")
             if not length.isascii() or not length.isdigit() or int(length) > MOST_BLOCK:
                 raise Damaged(f"bad Content-Length {length[:40]!r}")
+            block = data.read(int(length))
+            if len(block) < int(length):
+                raise Ended(f"the file ends within a block of {length} bytes")
+        except Ended as e:
+            if not (members and members.error):  # else that says why
+                yield e
+            break
         except Damaged as e:
             astray = True
             yield e
             continue
-        block = data.read(int(length))
-        if len(block) < int(length):
-            if not (members and members.error):
-                yield Damaged(f"the file ends within a block of {length} bytes")
-            break
         astray = False
         yield head, block
     if members and members.error:
@@ -225,7 +231,7 @@ def _head(data, ends: bool = True) -> dict[str, str]:
         if line == "" and (raw or not ends):
             return head
         if not raw:
-            break
+            raise Ended("the file ends within a header")
         if len(raw) == MOST_LINE:
             break
         if line[0] in " \t" and name:
