@@ -13,9 +13,9 @@ FIELD = r"(?i)(?:^|\s)(?:title|date|authors?\[\d+\]|abstract|keywords?\[\d+\]|do
 TERMINAL = r"[.!?…][\"'”’»)\]}]*$"
 
 
-def is_structural(fmt: Column, text: Column, split: Column) -> Column:
-    """Tables, divided chunks, field lists and short or upper-case texts: no prose to judge."""
-    found = T.words(text)
+def is_structural(fmt: Column, text: Column, split: Column, found: Column | None = None) -> Column:
+    """Tables, divided chunks, field lists and short or upper-case texts: no prose to judge; ``found`` are the words of ``text``."""
+    found = T.words(text) if found is None else found
     alpha = F.filter(found, lambda w: w.rlike(r"\p{L}"))
     bare = lambda w: F.regexp_replace(w, r"^[.,:;()\[\]]+|[.,:;()\[\]]+$", "")
     upper = F.size(F.filter(alpha, lambda w: (F.upper(bare(w)) == bare(w)) & (F.lower(bare(w)) != bare(w))))
@@ -24,13 +24,34 @@ def is_structural(fmt: Column, text: Column, split: Column) -> Column:
     return F.when(low.isin(*STRUCTURED) | F.coalesce(split, F.lit(False)), True).when(low == "json", F.regexp_count(text, F.lit(FIELD)) >= 2).otherwise((F.size(found) <= 12) | loud)
 
 
-def continues(left: Column, right: Column) -> Column:
-    """Whether ``right`` seems to go on in the sentence that ends ``left``."""
-    last = F.regexp_replace(F.lower(F.element_at(F.concat(F.array(F.lit("")), T.words(left)), -1)), r"^[.,;:!?…()\[\]{}\"'”’»-]+|[.,;:!?…()\[\]{}\"'”’»-]+$", "")
+def continues(left: Column, right: Column, found: Column | None = None) -> Column:
+    """Whether ``right`` seems to go on in the sentence that ends ``left``; ``found`` are the words of ``left``."""
+    found = T.words(left) if found is None else found
+    last = F.regexp_replace(F.lower(F.element_at(F.concat(F.array(F.lit("")), found), -1)), r"^[.,;:!?…()\[\]{}\"'”’»-]+|[.,;:!?…()\[\]{}\"'”’»-]+$", "")
     first = F.regexp_extract(right, r"\p{L}", 0)
     open_end = F.regexp_replace(left, r"\s+$", "").rlike("[,–-]$")
     lower = (first != "") & (F.lower(first) == first) & (F.upper(first) != first)
-    return T.looks_like_prose(left) & (T.strip(right) != "") & (lower | last.isin(*T.CONNECTORS) | open_end)
+    return T.looks_like_prose(left, found=found) & (T.strip(right) != "") & (lower | last.isin(*T.CONNECTORS) | open_end)
+
+
+def neighbours(chunks: DataFrame, by: str = "doc_id", order: str = "posicion", text: str = "texto", fmt: Column | None = None, split: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every chunk with its number of ``words`` and, of the pair with the chunk before, shared_words, cuts_sentence and doubtful.
+
+    ``paired`` says whether there is such a pair; without one the others are null.
+    Each text is cut into words once, in a column of its own.
+    """
+    w = Window.partitionBy(by).orderBy(order)
+    form, divided = fmt if fmt is not None else F.lit("txt"), split if split is not None else F.lit(False)
+    before = F.lag(F.struct(F.col(text).alias("t"), form.alias("f"), divided.alias("d"))).over(w)
+    base, left, a, b = [by, order, *keep], F.col("_left"), F.col("_a"), F.col("_w")
+    rows = chunks.withColumn("_b", before).select(*base, F.col("_b.f").alias("_f"), F.col("_b.d").alias("_d"), F.col("_b.t").isNotNull().alias("paired"), F.regexp_replace(F.col("_b.t"), r"(?U)\s+$", "").alias("_left"), T.words(F.col(text)).alias("_w"))
+    rows = rows.select(*base, "_f", "_d", "paired", left, T.words(left).alias("_a"), b)
+    rows = rows.select(*base, "_f", "_d", "paired", left, a, b, F.when(F.col("paired"), T.shared_words(a, b)).alias("shared_words"))
+    fresh = F.array_join(F.slice(b, F.col("shared_words") + 1, F.greatest(F.size(b) - F.col("shared_words"), F.lit(0))), " ")
+    open_end = ~left.rlike(TERMINAL) & ~is_structural(F.col("_f"), left, F.col("_d"), a)
+    rows = rows.select(*base, "paired", left, a, F.coalesce(F.size(b), F.lit(0)).alias("words"), "shared_words", open_end.alias("_open"), F.when(open_end, fresh).alias("_fresh"))
+    rows = rows.select(*base, "paired", left, a, "words", "shared_words", "_open", (F.col("_open") & continues(left, F.col("_fresh"), a)).alias("cuts_sentence"))
+    return rows.select(*base, "paired", "words", "shared_words", "cuts_sentence", (F.col("_open") & ~F.col("cuts_sentence") & T.looks_like_prose(left, found=a)).alias("doubtful"))
 
 
 def adjacent_pairs(chunks: DataFrame, by: str = "doc_id", order: str = "posicion", text: str = "texto", fmt: Column | None = None, split: Column | None = None) -> DataFrame:
@@ -40,16 +61,7 @@ def adjacent_pairs(chunks: DataFrame, by: str = "doc_id", order: str = "posicion
     shows that the next chunk goes on.  ``fmt`` and ``split`` are the format of
     a chunk and whether it was divided.
     """
-    w = Window.partitionBy(by).orderBy(order)
-    form, divided = fmt if fmt is not None else F.lit("txt"), split if split is not None else F.lit(False)
-    before = F.lag(F.struct(F.col(text).alias("t"), form.alias("f"), divided.alias("d"))).over(w)
-    paired = chunks.withColumn("_b", before).where(F.col("_b.t").isNotNull())
-    left = F.regexp_replace(F.col("_b.t"), r"(?U)\s+$", "")
-    shared = T.word_overlap(left, F.col(text))
-    fresh = F.array_join(F.slice(T.words(F.col(text)), shared + 1, F.greatest(T.word_count(F.col(text)) - shared, F.lit(0))), " ")
-    open_end = ~left.rlike(TERMINAL) & ~is_structural(F.col("_b.f"), left, F.col("_b.d"))
-    cut = open_end & continues(left, fresh)
-    return paired.select(by, order, shared.alias("shared_words"), cut.alias("cuts_sentence"), (open_end & ~cut & T.looks_like_prose(left)).alias("doubtful"))
+    return neighbours(chunks, by, order, text, fmt, split).where("paired").select(by, order, "shared_words", "cuts_sentence", "doubtful")
 
 
 def preflight(units: DataFrame, count: Column, unit: str, limit: int) -> DataFrame:
@@ -68,20 +80,23 @@ def sentence_loss(units: DataFrame, chunks: DataFrame, by: str = "doc_id", text:
     """(by, unit, said, missing): sentences that the chunks of a document hold less often than the document, as multisets.
 
     What chunks repeat as overlap counts more than once, so a sentence is only
-    missing if all its places together are too few.
+    missing if all its places together are too few.  Both sides are counted in
+    one aggregation: neither is sorted to be joined.
     """
-    said = units.groupBy(by, "unit").agg(F.count(F.lit(1)).alias("said"))
-    kept = chunks.select(by, F.explode(T.sentence_units(F.col(text))).alias("unit")).groupBy(by, "unit").agg(F.count(F.lit(1)).alias("kept"))
-    missing = F.col("said") - F.coalesce("kept", F.lit(0))
-    return said.join(kept, [by, "unit"], "left").withColumn("missing", missing).where("missing > 0").select(by, "unit", "said", "missing")
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    said = units.select(by, "unit", one.alias("said"), none.alias("kept"))
+    kept = chunks.select(by, F.explode(T.sentence_units(F.col(text))).alias("unit"), none.alias("said"), one.alias("kept"))
+    both = said.unionByName(kept).groupBy(by, "unit").agg(F.sum("said").alias("said"), F.sum("kept").alias("kept"))
+    return both.withColumn("missing", F.col("said") - F.col("kept")).where("missing > 0").select(by, "unit", "said", "missing")
 
 
 def overlap_report(chunks: DataFrame, by: str = "doc_id", order: str = "posicion", text: str = "texto") -> DataFrame:
     """Pairs, pairs with overlap, mean overlap words and share of repeated words."""
-    pairs = adjacent_pairs(chunks, by, order, text)
-    words = chunks.agg(F.sum(T.word_count(F.col(text))).alias("words"))
-    facts = pairs.agg(F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("shared_words") > 0).alias("overlapping"), F.round(F.avg("shared_words"), 6).alias("mean_shared"), F.sum("shared_words").alias("shared"), F.count_if("cuts_sentence").alias("cut_sentences"))
-    return facts.join(words).select("pairs", "overlapping", "mean_shared", "cut_sentences", F.round(F.col("shared") / F.col("words"), 6).alias("repeated_share"))
+    facts = neighbours(chunks, by, order, text).agg(
+        F.count_if("paired").alias("pairs"), F.count_if(F.col("shared_words") > 0).alias("overlapping"), F.round(F.avg("shared_words"), 6).alias("mean_shared"),
+        F.sum("shared_words").alias("shared"), F.count_if("cuts_sentence").alias("cut_sentences"), F.sum("words").alias("words"),
+    )
+    return facts.select("pairs", "overlapping", "mean_shared", "cut_sentences", F.round(F.col("shared") / F.col("words"), 6).alias("repeated_share"))
 
 
 def language_report(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -108,11 +123,13 @@ def corpus_quality(docs: DataFrame, chunks: DataFrame, most: int = 256, limit: i
     sentences = F.size(T.sentence_units(F.coalesce("texto", F.lit(""))))
     facts = judged.select("doc_id", "d.*", "lang", sentences.alias("sentences"), (F.col("lang") == F.col("d.language")).cast("int").alias("right"))
     n, share = F.col("num_tokens"), F.col("num_tokens") / most
-    own = chunks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("chunks"), F.sum(n).alias("tokens"), F.max(n).alias("longest"), F.count_if(share < 0.25).alias("u25"), F.count_if(share < 0.5).alias("u50"), F.count_if((share > 0.9) & (share <= 1)).alias("o90"), F.count_if(n > limit).alias("over"), F.sum(T.word_count(F.col("texto"))).alias("words"))
-    pairs = adjacent_pairs(chunks).groupBy("doc_id").agg(F.sum("shared_words").alias("shared"), F.count_if("cuts_sentence").alias("cut"))
+    own = neighbours(chunks, keep=("num_tokens",)).groupBy("doc_id").agg(  # chunks meet by document once
+        F.count(F.lit(1)).alias("chunks"), F.sum(n).alias("tokens"), F.max(n).alias("longest"), F.count_if(share < 0.25).alias("u25"), F.count_if(share < 0.5).alias("u50"), F.count_if((share > 0.9) & (share <= 1)).alias("o90"), F.count_if(n > limit).alias("over"),
+        F.sum("words").alias("words"), F.sum("shared_words").alias("shared"), F.count_if("cuts_sentence").alias("cut"),
+    )
     units = docs.select("doc_id", F.explode(T.sentence_units(F.col("texto"))).alias("unit"))
     lost = sentence_loss(units, chunks).groupBy("doc_id").agg(F.sum("missing").alias("missing"))
-    whole = facts.join(own, "doc_id", "left").join(pairs, "doc_id", "left").join(lost, "doc_id", "left")
+    whole = facts.join(own, "doc_id", "left").join(lost, "doc_id", "left")
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     part = lambda c: F.round(total(c) / F.greatest(total("chunks"), F.lit(1)), 6)
     return whole.rollup("language").agg(

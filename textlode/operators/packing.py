@@ -16,75 +16,84 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-UNIT = "struct<t:string,n:int>"
-
 
 def counted_units(units: Column, count: Callable[[Column], Column] = T.word_count) -> Column:
     return F.transform(units, lambda u: F.struct(u.alias("t"), count(u).cast("int").alias("n")))
 
 
-def _total(units: Column) -> Column:
-    return F.aggregate(units, F.lit(0), lambda s, u: s + u["n"])
+def _tail(sizes: Column, a: Column, b: Column, room: Column) -> Column:
+    """struct(k, n): the longest run of last units of ``sizes[a:b]`` that adds at most ``room`` tokens, and what it adds."""
 
+    def step(s: Column, n: Column) -> Column:
+        fits = s["fits"] & F.coalesce(s["n"] + n <= room, F.lit(False))
+        return F.struct(F.when(fits, s["k"] + 1).otherwise(s["k"]).alias("k"), F.when(fits, s["n"] + n).otherwise(s["n"]).alias("n"), fits.alias("fits"))
 
-def _none() -> Column:
-    return F.array().cast(f"array<{UNIT}>")
+    start = F.struct(F.lit(0).alias("k"), F.lit(0).alias("n"), F.lit(True).alias("fits"))
+    return F.aggregate(F.reverse(F.slice(sizes, a + 1, b - a)), start, step, lambda s: F.struct(s["k"].alias("k"), s["n"].alias("n")))
 
 
-def _tail(units: Column, budget: Column) -> Column:
-    """The longest run of last units of at most ``budget`` tokens."""
-    sizes = F.when(F.size(units) > 0, F.sequence(F.lit(1), F.size(units))).otherwise(F.array().cast("array<int>"))
-    fitting = F.filter(sizes, lambda k: _total(F.slice(units, -k, k)) <= budget)
-    k = F.coalesce(F.array_max(fitting), F.lit(0))
-    return F.when(k > 0, F.slice(units, -k, k)).otherwise(_none())
+def _groups(sizes: Column, most: int, prefix: int, carried: int = 0) -> Column:
+    """Groups of units as array<struct(a, b, n)>: units a to b, which add n tokens.
 
+    An oversized unit stands alone; a full group is closed, and the next begins
+    with its end of at most ``carried`` tokens.  Only numbers are folded: texts
+    would be copied with every unit.
+    """
+    group = lambda a, b, n: F.struct(a.alias("a"), b.alias("b"), n.alias("n"))
+    start = F.struct(F.array().cast("array<struct<a:int,b:int,n:int>>").alias("done"), F.lit(0).alias("a"), F.lit(0).alias("i"), F.lit(0).alias("n"))
 
-def _joined(units: Column) -> Column:
-    return F.array_join(F.transform(units, lambda u: u["t"]), " ")
+    def closed(s: Column) -> Column:
+        return F.when(s["i"] > s["a"], F.array_append(s["done"], group(s["a"], s["i"], s["n"]))).otherwise(s["done"])
 
+    def step(s: Column, n: Column) -> Column:
+        over = prefix + n > most
+        full = (s["i"] > s["a"]) & (prefix + s["n"] + n > most)
+        done = F.when(over, F.array_append(closed(s), group(s["i"], s["i"] + 1, n))).when(full, closed(s)).otherwise(s["done"])
 
-def _fold(units: Column, most: int, prefix: int, carry: Callable[[Column, Column], Column]) -> Column:
-    """Groups of units: an oversized unit stands alone, a full group is closed and ``carry`` begins the next."""
-    start = F.struct(F.array().cast(f"array<array<{UNIT}>>").alias("done"), _none().alias("open"))
+        def opened(lead: Column) -> Column:
+            first = F.when(over, s["i"] + 1).when(full, s["i"] - lead["k"]).otherwise(s["a"])
+            total = F.when(over, F.lit(0)).when(full, lead["n"] + n).otherwise(s["n"] + n)
+            return F.struct(done.alias("done"), first.alias("a"), (s["i"] + 1).alias("i"), total.alias("n"))
 
-    def closed(s: Column) -> Column:
-        return F.when(F.size(s["open"]) > 0, F.concat(s["done"], F.array(s["open"]))).otherwise(s["done"])
+        none = F.struct(F.lit(0).alias("k"), F.lit(0).alias("n"))
+        if not carried:
+            return opened(none)
+        return T.bound(F.when(full, _tail(sizes, s["a"], s["i"], F.least(F.lit(carried - prefix), F.lit(most - prefix) - n))).otherwise(none), opened)
 
-    def step(s: Column, u: Column) -> Column:
-        over = prefix + u["n"] > most
-        full = (F.size(s["open"]) > 0) & (prefix + _total(s["open"]) + u["n"] > most)
-        done = F.when(over, F.concat(closed(s), F.array(F.array(u)))).when(full, closed(s)).otherwise(s["done"])
-        rest = F.when(over, _none()).when(full, F.concat(carry(s["open"], u), F.array(u))).otherwise(F.concat(s["open"], F.array(u)))
-        return F.struct(done.alias("done"), rest.alias("open"))
+    return F.aggregate(sizes, start, step, closed)
 
-    return F.aggregate(units, start, step, closed)
+
+def _joined(units: Column, a: Column, b: Column) -> Column:
+    return F.array_join(F.transform(F.slice(units, a + 1, b - a), lambda u: u["t"]), " ")
+
+
+def _sizes(units: Column) -> Column:
+    return F.transform(units, lambda u: u["n"])
 
 
 def pack_scalar(units: Column, most: int = 256, overlap: int = 32, prefix: int = 0) -> Column:
     """Chunks whose overlap is carried inside the running chunk, so that it changes the grouping."""
 
-    def carry(open_units: Column, unit: Column) -> Column:
-        if not overlap:
-            return _none()
-        return _tail(open_units, F.least(F.lit(overlap - prefix), F.lit(most - prefix) - unit["n"]))
+    def packed(kept: Column) -> Column:
+        groups = T.bound(_sizes(kept), lambda sizes: _groups(sizes, most, prefix, overlap))
+        return F.transform(groups, lambda g: F.struct(_joined(kept, g["a"], g["b"]).alias("text"), (prefix + g["n"]).alias("num_tokens")))
 
-    groups = _fold(F.filter(units, lambda u: T.strip(u["t"]) != ""), most, prefix, carry)
-    return F.transform(groups, lambda g: F.struct(_joined(g).alias("text"), (prefix + _total(g)).alias("num_tokens")))
+    return T.bound(F.filter(units, lambda u: T.strip(u["t"]) != ""), packed)
 
 
 def pack_additive(units: Column, most: int = 256, overlap: int = 32, prefix: int = 0) -> Column:
     """Chunks grouped without overlap; then each gets the fitting end of the group before it."""
-    groups = _fold(units, most, prefix, lambda *_: _none())
 
-    def one(g: Column, i: Column, all_groups: Column) -> Column:
-        before = F.when(i > 0, F.get(all_groups, i - 1)).otherwise(_none())
-        room = F.least(F.lit(overlap - prefix), F.lit(most - prefix) - _total(g))
-        lead = _tail(before, room) if overlap else _none()
-        both = F.concat(lead, g)
-        return F.struct(_joined(both).alias("text"), (prefix + _total(both)).alias("num_tokens"))
+    def packed(units: Column, sizes: Column, groups: Column) -> Column:
+        def one(g: Column, i: Column) -> Column:
+            room = F.least(F.lit(overlap - prefix), F.lit(most - prefix) - g["n"])
+            none = F.struct(F.lit(0).alias("k"), F.lit(0).alias("n"))
+            lead = F.when(i > 0, _tail(sizes, F.get(groups, i - 1)["a"], g["a"], room)).otherwise(none) if overlap else none
+            return T.bound(lead, lambda x: F.struct(_joined(units, g["a"] - x["k"], g["b"]).alias("text"), (prefix + x["n"] + g["n"]).alias("num_tokens")))
+
+        return F.transform(groups, one)
 
-    # the groups are bound once, as the only element of an array, so that they are folded once
-    return F.flatten(F.transform(F.array(groups), lambda a: F.transform(a, lambda g, i: one(g, i, a))))
+    return T.bound(units, lambda u: T.bound(_sizes(u), lambda sizes: T.bound(_groups(sizes, most, prefix), lambda groups: packed(u, sizes, groups))))
 
 
 def is_additive(units: list[str], count: Callable[[str], int], ends: int = 8) -> bool:

@@ -13,8 +13,13 @@ from ..functions import text as T
 
 def failures(df: DataFrame, keys: list[str], checks: dict[str, Column]) -> DataFrame:
     """One row per failed check: keys and category.  A check is true where a row is wrong."""
+    return df.select(*keys, F.explode(failed(checks)).alias("category"))
+
+
+def failed(checks: dict[str, Column]) -> Column:
+    """Names of the checks that a row fails, as an array."""
     named = F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(name)) for name, bad in checks.items()])
-    return df.select(*keys, F.explode(F.filter(named, lambda c: c.isNotNull())).alias("category"))
+    return F.filter(named, lambda c: c.isNotNull())
 
 
 def document_checks(id_col: str, text_col: str, language_col: str, languages: tuple[str, ...], prefix: str = "", duplicate: Column | None = None) -> dict[str, Column]:
@@ -66,6 +71,17 @@ def position_gaps(chunks: DataFrame, by: str = "doc_id", order: str = "posicion"
     return chunks.withColumn("expected", expected).where(F.col("expected") != F.col(order))
 
 
+def chunk_failures(chunks: DataFrame, by: str = "doc_id", order: str = "posicion") -> DataFrame:
+    """chunk_id and category: failed checks of the contract, and 'position' of a gap.
+
+    Chunks are made once, and only the names of what failed meet by document.
+    """
+    checked = chunks.select(by, order, "chunk_id", failed(chunk_checks()).alias("failed"))
+    w = Window.partitionBy(by).orderBy(order)
+    gap = F.when(F.row_number().over(w) - 1 != F.col(order), F.array(F.lit("position"))).otherwise(F.array().cast("array<string>"))
+    return checked.withColumn("gap", gap).select("chunk_id", F.explode(F.concat("failed", "gap")).alias("category"))
+
+
 def order_violations(rows: DataFrame, by: list[str], order: str, value: str) -> DataFrame:
     """Rows below the running maximum of those before."""
     before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
