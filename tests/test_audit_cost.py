@@ -23,6 +23,11 @@ def test_corpus_quality_makes_chunks_twice_and_joins_no_sentences(spark):
     assert made.count("posexplode(") == 2 and made.count("Join ") == 2  # chunks of neighbours and of kept sentences; documents with both
 
 
+def test_overlap_report_makes_chunks_once(spark):
+    made = plan(catalog.queries()["overlap_report"](spark, D1))
+    assert made.count("posexplode(") == 1 and "Join " not in made
+
+
 def test_a_long_document_is_packed_in_seconds(spark):
     unit = lambda i: F.struct(F.concat(F.lit("w"), i.cast("string")).alias("t"), (i % 19 + 1).cast("int").alias("n"))
     long = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(4000)), unit).alias("units"))
