@@ -28,6 +28,18 @@ def test_overlap_report_makes_chunks_once(spark):
     assert made.count("posexplode(") == 1 and "Join " not in made
 
 
+def test_adjacent_audit_compares_few_runs(spark):
+    made = plan(catalog.queries()["adjacent_audit"](spark, D1))
+    assert made.count(r"[^\s\x1c-\x1f]+, 0)") == 3  # words of a chunk, of the one before, and the count of a unit
+    rng, rows = random.Random(3), []
+    for _ in range(200):
+        a, b = ([rng.choice("xy") for _ in range(rng.randrange(0, 12))] for _ in range(2))
+        rows.append((" ".join(a), " ".join(b), next((n for n in range(min(len(a), len(b), 5), 0, -1) if a[-n:] == b[:n]), 0)))
+    rows += [("x " * 300, "x " * 300, 5), (None, "x", 0), ("x", None, 0)]
+    df = spark.createDataFrame(rows, "l string, r string, n int")
+    assert [r for r in df.select("n", T.word_overlap(F.col("l"), F.col("r"), 5).alias("o")).collect() if r.n != r.o] == []
+
+
 def test_a_long_document_is_packed_in_seconds(spark):
     unit = lambda i: F.struct(F.concat(F.lit("w"), i.cast("string")).alias("t"), (i % 19 + 1).cast("int").alias("n"))
     long = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(4000)), unit).alias("units"))

@@ -34,6 +34,11 @@ def continues(left: Column, right: Column, found: Column | None = None) -> Colum
     return T.looks_like_prose(left, found=found) & (T.strip(right) != "") & (lower | last.isin(*T.CONNECTORS) | open_end)
 
 
+def _bare_end(text: Column) -> Column:
+    """No white space at the end; a text without any is not searched for it."""
+    return F.when(F.right(text, F.lit(1)).rlike(r"(?U)\s"), F.regexp_replace(text, r"(?U)\s+$", "")).otherwise(text)
+
+
 def neighbours(chunks: DataFrame, by: str = "doc_id", order: str = "posicion", text: str = "texto", fmt: Column | None = None, split: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every chunk with its number of ``words`` and, of the pair with the chunk before, shared_words, cuts_sentence and doubtful.
 
@@ -44,7 +49,7 @@ def neighbours(chunks: DataFrame, by: str = "doc_id", order: str = "posicion", t
     form, divided = fmt if fmt is not None else F.lit("txt"), split if split is not None else F.lit(False)
     before = F.lag(F.struct(F.col(text).alias("t"), form.alias("f"), divided.alias("d"))).over(w)
     base, left, a, b = [by, order, *keep], F.col("_left"), F.col("_a"), F.col("_w")
-    rows = chunks.withColumn("_b", before).select(*base, F.col("_b.f").alias("_f"), F.col("_b.d").alias("_d"), F.col("_b.t").isNotNull().alias("paired"), F.regexp_replace(F.col("_b.t"), r"(?U)\s+$", "").alias("_left"), T.words(F.col(text)).alias("_w"))
+    rows = chunks.withColumn("_b", before).select(*base, F.col("_b.f").alias("_f"), F.col("_b.d").alias("_d"), F.col("_b.t").isNotNull().alias("paired"), _bare_end(F.col("_b.t")).alias("_left"), T.words(F.col(text)).alias("_w"))
     rows = rows.select(*base, "_f", "_d", "paired", left, T.words(left).alias("_a"), b)
     rows = rows.select(*base, "_f", "_d", "paired", left, a, b, F.when(F.col("paired"), T.shared_words(a, b)).alias("shared_words"))
     fresh = F.array_join(F.slice(b, F.col("shared_words") + 1, F.greatest(F.size(b) - F.col("shared_words"), F.lit(0))), " ")
