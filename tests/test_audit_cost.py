@@ -40,6 +40,14 @@ def test_adjacent_audit_compares_few_runs(spark):
     assert [r for r in df.select("n", T.word_overlap(F.col("l"), F.col("r"), 5).alias("o")).collect() if r.n != r.o] == []
 
 
+def test_sentence_loss_joins_nothing_and_counts_rows_of_null_id(spark):
+    units = spark.createDataFrame([("d", "Uno."), ("d", "Uno."), ("d", "Dos."), (None, "Tres."), (None, "Ya.")], "doc_id string, unit string")
+    chunks = spark.createDataFrame([("d", "Uno. Dos."), ("d", "Dos. Nunca."), (None, "Tres.")], "doc_id string, texto string")
+    lost = D.sentence_loss(units, chunks)
+    assert sorted(map(tuple, lost.collect()), key=str) == [("d", "Uno.", 2, 1), (None, "Ya.", 1, 1)]
+    assert "Join " not in plan(lost)
+
+
 def test_a_long_document_is_packed_in_seconds(spark):
     unit = lambda i: F.struct(F.concat(F.lit("w"), i.cast("string")).alias("t"), (i % 19 + 1).cast("int").alias("n"))
     long = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(4000)), unit).alias("units"))
