@@ -48,6 +48,11 @@ def test_sentence_loss_joins_nothing_and_counts_rows_of_null_id(spark):
     assert "Join " not in plan(lost)
 
 
+def test_language_score_cuts_a_text_once(spark):
+    made = plan(catalog.queries()["language_score"](spark, D1))
+    assert made.count("regexp_extract_all(") == 1 and made.count("lower(") == 1
+
+
 def test_a_long_document_is_packed_in_seconds(spark):
     unit = lambda i: F.struct(F.concat(F.lit("w"), i.cast("string")).alias("t"), (i % 19 + 1).cast("int").alias("n"))
     long = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(4000)), unit).alias("units"))
