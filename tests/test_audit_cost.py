@@ -53,6 +53,16 @@ def test_language_score_cuts_a_text_once(spark):
     assert made.count("regexp_extract_all(") == 1 and made.count("lower(") == 1
 
 
+def test_chunk_violations_makes_chunks_once(spark):
+    made = plan(catalog.queries()["chunk_violations"](spark, D1))
+    assert made.count("posexplode(") == 1 and "Union" not in made
+    rows = [("a", 0, "a-chunk-0000", 3, "x y z"), ("a", 2, "a-chunk-0002", 0, " "), ("b", 0, "z", 600, "x"), ("b", 1, "b-chunk-0001", None, None)]
+    chunks = spark.createDataFrame(rows, "doc_id string, posicion int, chunk_id string, num_tokens int, texto string")
+    gaps = Q.position_gaps(chunks).select("chunk_id", F.lit("position").alias("category"))
+    want = Q.failures(chunks, ["chunk_id"], Q.chunk_checks()).union(gaps)
+    assert sorted(map(tuple, Q.chunk_failures(chunks).collect())) == sorted(map(tuple, want.collect())) and want.count() == 6
+
+
 def test_a_long_document_is_packed_in_seconds(spark):
     unit = lambda i: F.struct(F.concat(F.lit("w"), i.cast("string")).alias("t"), (i % 19 + 1).cast("int").alias("n"))
     long = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(4000)), unit).alias("units"))
