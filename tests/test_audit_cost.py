@@ -53,6 +53,11 @@ def test_language_score_cuts_a_text_once(spark):
     assert made.count("regexp_extract_all(") == 1 and made.count("lower(") == 1
 
 
+def test_language_report_cuts_a_text_once(spark):
+    made = plan(catalog.queries()["language_report"](spark, D1))
+    assert made.count("regexp_extract_all(") == 1 and made.count("lower(") == 1
+
+
 def test_chunk_violations_makes_chunks_once(spark):
     made = plan(catalog.queries()["chunk_violations"](spark, D1))
     assert made.count("posexplode(") == 1 and "Union" not in made
