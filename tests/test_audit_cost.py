@@ -53,6 +53,22 @@ def test_language_score_cuts_a_text_once(spark):
     assert made.count("regexp_extract_all(") == 1 and made.count("lower(") == 1
 
 
+def test_language_score_reads_a_text_up_to_the_third_pattern(spark):
+    made = plan(catalog.queries()["language_score"](spark, D1))
+    assert "regexp_replace(" not in made and made.count("filter(regexp_extract_all(") == 1  # no spaces made single; marker words are picked out once
+    parts, rng = ("th", "dad", "aa", "ñ", "ción", "'s"), random.Random(4)
+    texts = ["".join(rng.choice(["th", "da", "d", "a", "ñ", "ci", "ó", "ón", "'", "s", " ", "\n"]) for _ in range(rng.randrange(0, 40))) for _ in range(300)]
+    got = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", *[T.few_occurrences(F.col("t"), p, 3).alias(f"p{i}") for i, p in enumerate(parts)]).collect()
+    assert [tuple(r) for r in got] == [(t, *(float(min((t or "").count(p), 3)) for p in parts)) for t in [*texts, None]]
+
+
+def test_language_scores_find_patterns_with_spaces(spark):
+    markers = {"es": {"common_words": ["uno"], "distinctive_words": ["dos"], "patterns": ["o d", "ñ", "é "]}}
+    texts = ["UNO\n\tdos", "uno  dos  uno dos", " Ñandú é  x é\u00a0y", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(T.language_scores(F.col("t"), markers).es.alias("s")).collect()
+    assert [r.s for r in got] == [0.5 + 2 + 1.5, 1 + 4 + 3, 1.5 + 3, 0.0]
+
+
 def test_language_report_cuts_a_text_once(spark):
     made = plan(catalog.queries()["language_report"](spark, D1))
     assert made.count("regexp_extract_all(") == 1 and made.count("lower(") == 1
