@@ -1,6 +1,7 @@
 """What audits of chunks cost: each text is cut, packed and scored once, however long it is."""
 
 import random
+import re
 import time
 
 from pyspark.sql import functions as F
@@ -84,6 +85,18 @@ def test_chunk_violations_makes_chunks_once(spark):
     assert sorted(map(tuple, Q.chunk_failures(chunks).collect())) == sorted(map(tuple, want.collect())) and want.count() == 6
 
 
+def test_chunk_violations_counts_no_words_of_chunks_and_strips_ends_only(spark):
+    made = plan(catalog.queries()["chunk_violations"](spark, D1))
+    assert made.count("regexp_extract_all(") == 1 and "substring(" not in made  # the count of a unit; no look at the ends of a text
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab.!…é!\u00a0 \n\t\x1c\x85\u2003\u200b\U0001f600") for _ in range(rng.randrange(0, 30))) for _ in range(600)]
+    df = spark.createDataFrame([(t,) for t in [*texts, "", " ", ". ", " .\n"]], "t string")
+    for r in df.select("t", T.word_count(F.col("t")).alias("n"), T.words(F.col("t")).alias("w"), T.is_blank(F.col("t")).alias("b"), T.sentence_units(F.col("t")).alias("u")).collect():
+        assert (r.n, r.w, r.b) == (len(r.t.split()), r.t.split(), not r.t.split())
+        assert r.u == [u for u in re.split(r"(?<=[.!?…])\s+", r.t.strip()) if u]
+    assert spark.range(1).select(T.is_blank(F.lit(None).cast("string")).alias("b")).first().b
+
+
 def test_a_long_document_is_packed_in_seconds(spark):
     unit = lambda i: F.struct(F.concat(F.lit("w"), i.cast("string")).alias("t"), (i % 19 + 1).cast("int").alias("n"))
     long = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(4000)), unit).alias("units"))

@@ -28,7 +28,7 @@ def document_checks(id_col: str, text_col: str, language_col: str, languages: tu
         "missing_id": F.col(id_col).isNull() | (F.col(id_col).cast("string") == ""),
         "bad_prefix": ~F.col(id_col).cast("string").startswith(prefix) if prefix else F.lit(False),
         "missing_text": text.isNull(),
-        "empty_text": text.isNotNull() & (T.word_count(text) == 0),
+        "empty_text": text.isNotNull() & T.is_blank(text),
         "bad_language": F.col(language_col).isNotNull() & ~F.col(language_col).isin(*languages),
     }
     return checks | ({"duplicate_id": duplicate} if duplicate is not None else {})
@@ -58,7 +58,7 @@ def strict_document_checks(documents: DataFrame) -> DataFrame:
 def chunk_checks(limit: int = 510) -> dict[str, Column]:
     """Contract of a chunk row."""
     return {
-        "empty_text": T.word_count(F.col("texto")) == 0,
+        "empty_text": T.is_blank(F.col("texto")),
         "over_limit": F.col("num_tokens") > limit,
         "no_tokens": F.col("num_tokens") <= 0,
         "bad_chunk_id": F.col("chunk_id") != F.format_string("%s-chunk-%04d", F.col("doc_id").cast("string"), F.col("posicion")),
